@@ -30,11 +30,27 @@ def calendar_columns(days: DataFrame, day: str = "date_key", rules: Rules = DEFA
     )
 
 
+def profile(transactions: DataFrame) -> DataFrame:
+    """What dates, categories, channels and price bands need, in one pass over the lines.
+
+    One row per (category, channel, price); equal prices collapse before the shuffle.
+    """
+    return transactions.groupBy("category", "channel", "unit_price").agg(
+        F.count("*").alias("rows"),
+        F.min("transaction_date").alias("first_day"),
+        F.max("transaction_date").alias("last_day"),
+    )
+
+
 def dim_date(transactions: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Every day from the first to the last transaction, days without sales included."""
-    days = transactions.agg(
-        F.min("transaction_date").alias("first"), F.max("transaction_date").alias("last")
-    ).select(F.explode(F.sequence("first", "last")).alias("date_key"))
+    day = "transaction_date"
+    return date_table(transactions.agg(F.min(day).alias("first"), F.max(day).alias("last")), rules)
+
+
+def date_table(span: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """``span`` is one row with the ``first`` and ``last`` day."""
+    days = span.select(F.explode(F.sequence("first", "last")).alias("date_key"))
     return calendar_columns(days, rules=rules).select(*DIM_DATE_COLUMNS)
 
 
@@ -62,24 +78,32 @@ def dim_category(
         medians = transactions.groupBy("category").agg(
             F.percentile_approx("unit_price", 0.5, 10000).cast("double").alias("median_price")
         )
-    else:
-        prices = materialize(histogram(transactions, "unit_price", ["category"]), "prices")
-        medians = exact_median(prices, "unit_price", ["category"], out="median_price")
+        return _banded(medians, rules)
+    return category_table(materialize(histogram(transactions, "unit_price", ["category"])), rules)
+
+
+def category_table(prices: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """``prices`` is a written histogram of (category, unit_price)."""
+    return _banded(exact_median(prices, "unit_price", ["category"], out="median_price"), rules)
+
+
+def _banded(medians: DataFrame, rules: Rules) -> DataFrame:
     price = F.col("median_price")
-    banded = medians.select(
+    bands = medians.select(
         "category",
         F.when(price >= rules.premium_from, "Premium")
         .when(price >= rules.mid_from, "Mid")
         .otherwise("Value")
         .alias("price_band"),
     )
-    return with_surrogate_key(banded, "category", "category_id").select(
+    return with_surrogate_key(bands, "category", "category_id").select(
         "category_id", "category", "price_band"
     )
 
 
-def dim_channel(transactions: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    names = transactions.select("channel").distinct()
+def dim_channel(lines: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Channels found in ``lines`` (transactions or their profile)."""
+    names = lines.select("channel").distinct()
     return with_surrogate_key(names, "channel", "channel_id").select(
         "channel_id",
         "channel",

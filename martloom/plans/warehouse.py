@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from martloom import schemas
 from martloom.functions import calendar as cal
 from martloom.operators import dimensions as dims
 from martloom.operators.facts import fact_sales
+from martloom.operators.scratch import materialize
 from martloom.rules import DEFAULT_RULES, Rules
 from martloom.sources import extracts
 
@@ -35,11 +36,19 @@ def build(
     budget: DataFrame,
     rules: Rules = DEFAULT_RULES,
 ) -> Warehouse:
-    """Plan all seven tables. Only the two small keyed dimensions are computed here."""
-    categories = dims.dim_category(transactions, rules)
-    channels = dims.dim_channel(transactions, rules)
+    """Plan all seven tables.
+
+    One pass over the transactions gives a small written profile, from which the calendar
+    and the two keyed dimensions follow.
+    """
+    profile = materialize(dims.profile(transactions), "profile")
+    span = profile.agg(F.min("first_day").alias("first"), F.max("last_day").alias("last"))
+    prices = profile.where(F.col("unit_price").isNotNull())
+    prices = prices.groupBy("category", "unit_price").agg(F.sum("rows").alias("rows"))
+    categories = dims.category_table(prices, rules)
+    channels = dims.dim_channel(profile, rules)
     return Warehouse(
-        dim_date=dims.dim_date(transactions, rules),
+        dim_date=dims.date_table(span, rules),
         dim_store=dims.dim_store(stores),
         dim_category=categories,
         dim_channel=channels,
@@ -58,30 +67,43 @@ def build_from_csv(spark: SparkSession, data_dir: str, rules: Rules = DEFAULT_RU
     )
 
 
-def save(warehouse: Warehouse, out_dir: str, fmt: str = "parquet") -> None:
-    """Full refresh of every table.
+def save(warehouse: Warehouse, out_dir: str, fmt: str = "parquet") -> Warehouse:
+    """Full refresh of every table; returns the stored warehouse.
 
-    The fact is partitioned by month: days would make many tiny files. ``rebalance`` puts
-    a month's rows together for large files, and splits a month that is far larger than
-    the others over several tasks. ``dim_date`` carries the same ``year_month``, so a
-    filter on the calendar prunes the fact's folders at run time.
+    The fact goes first, so that customers are summed from four of its stored columns
+    and not from the extracts again.
     """
     if fmt not in ("parquet", "delta"):
         raise ValueError(f"unknown table format: {fmt}")
+    spark = warehouse.fact_sales.sparkSession
+    _write(warehouse.fact_sales, "fact_sales", out_dir, fmt)
+    fact = spark.read.format(fmt).load(f"{out_dir}/fact_sales")
+    customers = dims.dim_customer(fact.withColumnRenamed("date_key", "transaction_date"))
+    for name, table in replace(warehouse, dim_customer=customers).tables().items():
+        if name != "fact_sales":
+            _write(table, name, out_dir, fmt)
+    return load(spark, out_dir, fmt)
+
+
+def _write(table: DataFrame, name: str, out_dir: str, fmt: str) -> None:
+    """Write one table; the fact by month, since days would make many tiny files.
+
+    ``rebalance`` puts a month's rows together for large files, and splits a month that is
+    far larger than the others over several tasks. ``dim_date`` carries the same
+    ``year_month``, so a filter on the calendar prunes the fact's folders at run time.
+    """
     month = cal.year_month(F.col("date_key"))
-    for name, table in warehouse.tables().items():
-        if name == "dim_date":
-            table = table.withColumn("year_month", month)
-        if name == "fact_sales":
-            table = table.withColumn("year_month", month).hint("rebalance", "year_month")
-        writer = table.write.mode("overwrite").format(fmt)
-        if name == "fact_sales":
-            writer = writer.partitionBy("year_month")
-        writer.save(f"{out_dir}/{name}")
+    if name == "fact_sales":
+        table = table.withColumn("year_month", month).hint("rebalance", "year_month")
+    if name == "dim_date":
+        table = table.withColumn("year_month", month)
+    writer = table.write.mode("overwrite").format(fmt)
+    if name == "fact_sales":
+        writer = writer.partitionBy("year_month")
+    writer.save(f"{out_dir}/{name}")
 
 
 def load(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> Warehouse:
-    # Without inference, "2024-04" in a folder name would be guessed to be something else.
     reader = spark.read.format(fmt)
     tables = {f.name: reader.load(f"{out_dir}/{f.name}") for f in fields(Warehouse)}
     return Warehouse(**tables)

@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from martloom.rules import Rules
 
-# Fixed values of this adapter: gross margin by part type.
-MARGIN_BY_TYPE = {
-    "ECONOMY": "0.41",
-    "LARGE": "0.24",
-    "MEDIUM": "0.34",
-    "PROMO": "0.31",
-    "SMALL": "0.46",
-    "STANDARD": "0.38",
+# Fixed values of this adapter: gross margin in percent by part type.
+MARGIN_PCT_BY_TYPE = {
+    "ECONOMY": 41,
+    "LARGE": 24,
+    "MEDIUM": 34,
+    "PROMO": 31,
+    "SMALL": 46,
+    "STANDARD": 38,
 }
 
 # Order priorities play the channels; these two count as physical. Median prices lie
@@ -30,13 +30,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _margin(part_type: Column) -> Column:
-    rates = [
-        piece
-        for name, rate in MARGIN_BY_TYPE.items()
-        for piece in (F.lit(name), F.lit(rate).cast("decimal(3,2)"))
-    ]
-    return F.element_at(F.create_map(*rates), part_type)
+def _margin_pct(part_type: Column) -> Column:
+    pairs = [F.lit(v) for pair in MARGIN_PCT_BY_TYPE.items() for v in pair]
+    return F.element_at(F.create_map(*pairs), part_type)
+
+
+def _scaled(units: Column, digits: int, kind: str) -> Column:
+    """Whole units of 10**-digits as DECIMAL. A cast from DOUBLE would print and parse text."""
+    unit = F.lit(f"{10.0**-digits:.{digits}f}").cast(f"decimal({digits + 1},{digits})")
+    return (units.cast("decimal(18,0)") * unit).cast(kind)
+
+
+def _percent_of(cents: Column, pct: Column) -> Column:
+    """``cents * pct / 100``, rounded half up, in whole-number arithmetic."""
+    return F.floor((cents * pct + 50) / 100)
 
 
 def read_transactions(
@@ -57,14 +64,15 @@ def read_transactions(
     if until is not None:
         orders = orders.where(F.col("o_orderdate") < F.lit(until))
 
-    discount = F.col("l_discount").cast("decimal(5,2)")
-    gross = F.col("l_extendedprice").cast("decimal(18,2)")
+    gross = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
+    discount = F.rint(F.col("l_discount") * 100).cast("bigint")
     priced = (
-        lines.withColumn("net_amount", F.round(gross * (1 - discount), 2).cast("decimal(18,2)"))
+        lines.withColumn("net_cents", _percent_of(gross, 100 - discount))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
     )
-    kept = F.lit(1).cast("decimal(1,0)") - _margin(F.col("p_type"))
+    net, cost_pct = F.col("net_cents"), 100 - _margin_pct(F.col("p_type"))
+    unit_cents = F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100 + 0.5)
     return priced.select(
         F.concat_ws(
             "-",
@@ -80,12 +88,10 @@ def read_transactions(
         F.col("p_type").alias("category"),
         F.col("o_orderpriority").alias("channel"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        (F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100 + 0.5) / F.lit(100.0))
-        .cast("decimal(18,2)")
-        .alias("unit_price"),
-        F.abs("l_discount").cast("decimal(5,4)").alias("discount_pct"),
-        "net_amount",
-        F.round(F.col("net_amount") * kept, 2).cast("decimal(18,2)").alias("cogs"),
+        _scaled(unit_cents, 2, "decimal(18,2)").alias("unit_price"),
+        _scaled(F.rint(F.abs("l_discount") * 10000), 4, "decimal(5,4)").alias("discount_pct"),
+        _scaled(net, 2, "decimal(18,2)").alias("net_amount"),
+        _scaled(_percent_of(net, cost_pct), 2, "decimal(18,2)").alias("cogs"),
     )
 
 
