@@ -1,8 +1,8 @@
 """Exact medians from a value histogram, in bounded memory.
 
 The built-in exact median keeps every distinct value of a group in one task. Here the
-histogram is first folded into equal-width bins, and only the one or two bins that hold
-the middle rows are read value by value.
+histogram is first folded into bins of a fixed width, and only the one or two bins that
+hold the middle rows are read value by value.
 """
 
 from __future__ import annotations
@@ -25,28 +25,23 @@ def exact_median(
     value: str,
     keys: Sequence[str] = (),
     out: str = "median",
-    bins: int = 4096,
+    bin_width: float = 1.0,
 ) -> DataFrame:
     """Median per key as DOUBLE; the mean of the two middle values when the count is even.
 
-    ``counts`` comes from :func:`histogram` and is read three times: pass a written table
-    when computing it is expensive.
+    ``counts`` comes from :func:`histogram` and is read twice: pass a written table when
+    computing it is expensive. No task sees more than a key's bins, or one bin's values.
     """
     keys = list(keys)
-    values = counts.withColumn("_v", F.col(value).cast("double"))
-    span = values.groupBy(*keys).agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("rows").alias("_n")
+    binned = counts.withColumn("_v", F.col(value).cast("double")).withColumn(
+        "_bin", F.floor(F.col("_v") / bin_width)
     )
-    width = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1e-300))
-    binned = attach(values, span, keys).withColumn(
-        "_bin", F.floor((F.col("_v") - F.col("_lo")) / width * bins)
-    )
-
     running = Window.partitionBy(*keys).orderBy("_bin")
     per_bin = (
         binned.groupBy(*keys, "_bin")
-        .agg(F.sum("rows").alias("_rows"), F.max("_n").alias("_n"))
+        .agg(F.sum("rows").alias("_rows"))
         .withColumn("_until", F.sum("_rows").over(running))
+        .withColumn("_n", F.sum("_rows").over(Window.partitionBy(*keys)))
     )
     middle = (
         per_bin.where(_holds_middle(F.col("_until"), F.col("_rows"), F.col("_n")))
@@ -55,13 +50,13 @@ def exact_median(
             F.min("_bin").alias("_first"),
             F.max("_bin").alias("_last"),
             F.min(F.col("_until") - F.col("_rows")).alias("_skipped"),
+            F.max("_n").alias("_n"),
         )
     )
-
     running = Window.partitionBy(*keys).orderBy("_v")
     return (
         attach(binned, middle, keys)
-        .where(F.col("_bin").between(F.col("_first"), F.col("_last")))
+        .where(F.col("_bin").isin(F.col("_first"), F.col("_last")))
         .withColumn("_until", F.col("_skipped") + F.sum("rows").over(running))
         .where(_holds_middle(F.col("_until"), F.col("rows"), F.col("_n")))
         .groupBy(*keys)

@@ -17,6 +17,7 @@ from martloom.functions.rounding import half_even, ratio
 from martloom.operators.attach import attach
 from martloom.operators.median import exact_median, histogram
 from martloom.operators.ranking import quantile_score, with_global_rank
+from martloom.operators.scratch import materialize
 from martloom.rules import DEFAULT_RULES, Rules
 
 CUSTOMER_COLUMNS = [
@@ -62,6 +63,11 @@ def with_scores(history: DataFrame, bins: int = 5) -> DataFrame:
     ).drop("_r", "_f", "_m", "_n")
 
 
+def _gap_days() -> Column:
+    """Days on the books per repeat purchase; NULL for one-time buyers."""
+    return ratio(F.datediff("_as_of", "first_purchase"), F.col("frequency") - 1)
+
+
 def _overdue_ratio() -> Column:
     """Days since the last purchase over the expected gap. A zero gap makes any wait overdue
     without bound, and no wait undefined."""
@@ -94,22 +100,22 @@ def build(
 ) -> DataFrame:
     """Score and segment every customer. ``as_of`` defaults to the last sale; later sales
     still count when it is set earlier, so recency can be negative."""
-    scored = with_scores(purchase_history(detail, unique_ids))
+    history = materialize(purchase_history(detail, unique_ids), "history")
     if as_of is None:
-        scored = attach(scored, scored.agg(F.max("last_purchase").alias("_as_of")))
+        today = history.agg(F.max("last_purchase").alias("_as_of"))
     else:
-        scored = scored.withColumn("_as_of", F.lit(as_of))
-
-    repeats = F.col("frequency") - 1
-    rhythm = scored.withColumns(
-        {
-            "recency_days": F.datediff("_as_of", "last_purchase"),
-            "tenure_days": F.datediff("_as_of", "first_purchase"),
-        }
-    ).withColumn("avg_gap_days", ratio(F.col("tenure_days"), repeats))
-    usual = exact_median(histogram(rhythm, "avg_gap_days"), "avg_gap_days", out="_usual_gap")
+        today = history.agg(F.lit(as_of).alias("_as_of"))
+    gaps = attach(history, today).select(_gap_days().alias("gap"))
+    usual = exact_median(histogram(gaps, "gap"), "gap", out="_usual_gap")
     return (
-        attach(rhythm, usual)
+        attach(attach(with_scores(history), today), usual)
+        .withColumns(
+            {
+                "recency_days": F.datediff("_as_of", "last_purchase"),
+                "tenure_days": F.datediff("_as_of", "first_purchase"),
+                "avg_gap_days": _gap_days(),
+            }
+        )
         .withColumn("expected_gap", F.coalesce("avg_gap_days", "_usual_gap"))
         .withColumns(
             {

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.rules import Rules
 
@@ -26,8 +28,26 @@ ORDER_RULES = Rules(
 )
 
 
+@cache
+def _schema(spark: SparkSession, path: str) -> T.StructType:
+    """Each footer is read once per session, not by a job per query."""
+    return spark.read.parquet(path).schema
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
+
+
+def _spread(df: DataFrame, *by: str) -> DataFrame:
+    """Give a small or unsplittable input a task per core.
+
+    Spark cuts files down to 4 MB to occupy all cores. Fewer scan tasks than cores thus mean
+    at most 4 MB per core in total, and moving those rows costs little next to leaving the
+    cores idle. Larger inputs are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
 
 
 def _margin_pct(part_type: Column) -> Column:
@@ -56,7 +76,7 @@ def read_transactions(
 
     ``since`` (inclusive) and ``until`` (exclusive) reach the scan of ``orders``.
     """
-    lines = _table(spark, sf_dir, "lineitem")
+    lines = _spread(_table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey", "l_shipdate")
     orders = _table(spark, sf_dir, "orders")
     parts = _table(spark, sf_dir, "part").select("p_partkey", "p_type")
     if since is not None:
@@ -72,6 +92,7 @@ def read_transactions(
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
     )
     net, cost_pct = F.col("net_cents"), 100 - _margin_pct(F.col("p_type"))
+    shipped = F.col("l_shipdate").cast("date")
     unit_cents = F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100 + 0.5)
     return priced.select(
         F.concat_ws(
@@ -80,7 +101,7 @@ def read_transactions(
             "l_linenumber",
             "l_partkey",
             "l_suppkey",
-            F.date_format("l_shipdate", "yyyyMMdd"),
+            F.year(shipped) * 10000 + F.month(shipped) * 100 + F.day(shipped),
         ).alias("transaction_id"),
         F.col("o_orderdate").cast("date").alias("transaction_date"),
         F.col("l_suppkey").alias("store_id"),
