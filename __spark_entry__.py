@@ -22,7 +22,6 @@ import oracle  # noqa: E402
 from martloom.functions import calendar as cal  # noqa: E402
 from martloom.operators import contracts  # noqa: E402
 from martloom.operators import dimensions as dims  # noqa: E402
-from martloom.operators.facts import fact_sales  # noqa: E402
 from martloom.operators.scratch import materialize, scratch_root  # noqa: E402
 from martloom.plans import (  # noqa: E402
     customers,
@@ -63,7 +62,7 @@ def _sales(spark: SparkSession, sf_dir: str, fiscal_year: str | None = None) ->
     since, until = cal.fiscal_bounds(fiscal_year, ORDER_RULES) if fiscal_year else (None, None)
     return views.flat_sales(
         order_lines.read_transactions(spark, sf_dir, since, until),
-        order_lines.read_stores(spark, sf_dir),
+        order_lines.read_stores(spark, sf_dir, with_city=False),
     )
 
 
@@ -122,8 +121,7 @@ def q_dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _transactions(spark, sf_dir)
-    return fact_sales(lines, dims.dim_category(lines, ORDER_RULES), dims.dim_channel(lines, ORDER_RULES))
+    return _built(spark, sf_dir).fact_sales
 
 
 def q_sales_detail(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions import calendar as cal
 from martloom.rules import DEFAULT_RULES, Rules
-from martloom.schemas import FACT_COLUMNS
+from martloom.schemas import BUDGET, DIM_DATE_COLUMNS, FACT_COLUMNS
 
 FOREIGN_KEYS = {
     "date_key": "dim_date",
@@ -31,6 +31,14 @@ PRIMARY_KEYS = {
 
 UNIQUE_NAMES = {"dim_category": "category", "dim_channel": "channel"}
 
+REQUIRED = {
+    "dim_date": DIM_DATE_COLUMNS[1:],
+    "dim_store": ["store_name", "city"],
+    "dim_category": ["category", "price_band"],
+    "dim_channel": ["channel", "is_physical"],
+    "budget": BUDGET.names[3:],
+}
+
 
 def _report(row: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
     """Aggregate ``checks`` in one pass and turn the single row into one row per check."""
@@ -99,6 +107,15 @@ def key_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
+def required_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows of dimensions and budget in which a required column is missing."""
+    reports = []
+    for name, columns in REQUIRED.items():
+        missing = reduce(Column.__or__, [F.col(c).isNull() for c in columns])
+        reports.append(_report(tables[name], {f"{name} has a null": _rows_where(missing)}))
+    return reduce(DataFrame.unionByName, reports)
+
+
 def budget_checks(budget: DataFrame) -> DataFrame:
     """Revenue planned without units has no price to compare with."""
     bad = (F.col("budget_qty") == 0) & (F.col("budget_revenue") > 0)
@@ -142,6 +159,7 @@ def contract_report(
         grain_check(fact),
         orphan_checks(tables),
         key_checks(tables),
+        required_checks(tables),
         budget_checks(tables["budget"]),
         tie_out_checks(fact, kpi, mix),
         calendar_checks(tables["dim_date"], rules),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions import calendar as cal
 from martloom.operators.median import exact_median, histogram
-from martloom.operators.ranking import with_global_rank
+from martloom.operators.ranking import with_global_ranks
 from martloom.operators.scratch import materialize
 from martloom.rules import DEFAULT_RULES, Rules
 from martloom.schemas import DIM_DATE_COLUMNS, DIM_STORE_COLUMNS
@@ -59,10 +59,10 @@ def dim_store(stores: DataFrame) -> DataFrame:
 
 
 def with_surrogate_key(names: DataFrame, name: str, key: str) -> DataFrame:
-    """Number distinct names 1..n in sorted order. The result is a small written table."""
-    return with_global_rank(names, [F.col(name)], rank=key, label=key).withColumn(
-        key, F.col(key).cast("int")
-    )
+    """Number distinct names 1..n in sorted order. The result is a written table, so that
+    joins with the fact know its true size."""
+    ranked = with_global_ranks(materialize(names, "names"), {key: [F.col(name)]})
+    return materialize(ranked.withColumn(key, F.col(key).cast("int")).drop("total"), name)
 
 
 def dim_category(

@@ -1,35 +1,52 @@
-"""Exact global ranks, quintiles and n-tiles without a single-task sort.
+"""Exact global ranks, quintiles and n-tiles at any size.
 
-A window without partition keys sends every row through one task. Here the rows are range
-sorted across the cluster, each row notes the partition and position it landed on, and
-the partition sizes (one row per partition) turn positions into ranks.
+A window without partition keys sends every row through one task, which is right only for
+a small table. Above a checked size the rows are range sorted across the cluster instead:
+each row notes the partition and position it landed on, and the partition sizes (one row
+per partition) turn positions into ranks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.operators.scratch import materialize
 
+ONE_TASK_ROWS = 100_000
+
 _POSITION_BITS = 33  # monotonically_increasing_id: partition above, row position below
 
 
-def with_global_rank(
-    df: DataFrame,
-    order: Sequence[Column],
-    rank: str = "rank",
-    total: str | None = None,
-    label: str = "ranked",
+def with_global_ranks(
+    table: DataFrame,
+    orders: Mapping[str, Sequence[Column]],
+    total: str = "total",
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
-    """Add the 1-based rank of each row under ``order``, and optionally the row count.
+    """Add a 1-based rank column per entry of ``orders``, and the row count as ``total``.
 
-    ``order`` must end in a unique key, so that the rank is defined for ties as well.
+    Each order must end in a unique key, so that ranks are defined for ties as well.
+    ``table`` is counted first: pass a written table, as computing it twice would cost more.
     """
+    if table.limit(one_task_rows + 1).count() <= one_task_rows:
+        ranks = {
+            name: F.row_number().over(Window.orderBy(*order)).cast("bigint")
+            for name, order in orders.items()
+        }
+        return table.withColumns(ranks | {total: F.count("*").over(Window.partitionBy())})
+    for name, order in orders.items():
+        table = _rank_by_range_sort(table.drop(total), order, name, total)
+    return table
+
+
+def _rank_by_range_sort(
+    df: DataFrame, order: Sequence[Column], rank: str, total: str
+) -> DataFrame:
     placed = materialize(
-        df.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id()), label
+        df.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id()), "ranked"
     )
     slot = F.col("_slot")
     part = F.shiftright(slot, _POSITION_BITS).alias("_part")
@@ -41,13 +58,14 @@ def with_global_rank(
     offsets = sizes.select(
         "_part",
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
-        F.sum("_rows").over(Window.partitionBy()).alias("_total"),
+        F.sum("_rows").over(Window.partitionBy()).alias(total),
+    )
+    return (
+        placed.withColumn("_part", part)
+        .join(F.broadcast(offsets), "_part")
+        .withColumn(rank, F.col("_before") + position + 1)
+        .drop("_slot", "_part", "_before")
     )
-    ranked = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
-    added = {rank: F.col("_before") + position + 1}
-    if total:
-        added[total] = F.col("_total")
-    return ranked.withColumns(added).drop("_slot", "_part", "_before", "_total")
 
 
 def ntile_of(rank: Column, total: Column, tiles: int) -> Column:

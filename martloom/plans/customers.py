@@ -16,7 +16,7 @@ from martloom import rules as r
 from martloom.functions.rounding import half_even, ratio
 from martloom.operators.attach import attach
 from martloom.operators.median import exact_median, histogram
-from martloom.operators.ranking import quantile_score, with_global_rank
+from martloom.operators.ranking import quantile_score, with_global_ranks
 from martloom.operators.scratch import materialize
 from martloom.rules import DEFAULT_RULES, Rules
 
@@ -46,21 +46,15 @@ def purchase_history(detail: DataFrame, unique_ids: bool = False) -> DataFrame:
 def with_scores(history: DataFrame, bins: int = 5) -> DataFrame:
     """R, F and M from 1 to ``bins``; ties go by customer id.
 
-    Each ranking is one range sort over slim per-customer rows. The oldest last purchase
-    ranks lowest, so R needs no as-of date.
+    The oldest last purchase ranks lowest, so R needs no as-of date.
     """
     tie = F.asc("customer_id")
-    scored = with_global_rank(history, [F.asc("last_purchase"), tie], "_r", label="recency")
-    scored = with_global_rank(scored, [F.asc("frequency"), tie], "_f", label="frequency")
-    scored = with_global_rank(scored, [F.asc("monetary"), tie], "_m", "_n", label="monetary")
-    total = F.col("_n")
-    return scored.withColumns(
-        {
-            "R": quantile_score(F.col("_r"), total, bins),
-            "F": quantile_score(F.col("_f"), total, bins),
-            "M": quantile_score(F.col("_m"), total, bins),
-        }
-    ).drop("_r", "_f", "_m", "_n")
+    measures = {"R": "last_purchase", "F": "frequency", "M": "monetary"}
+    ranked = with_global_ranks(
+        history, {name: [F.asc(measure), tie] for name, measure in measures.items()}, "_n"
+    )
+    scores = {name: quantile_score(F.col(name), F.col("_n"), bins) for name in measures}
+    return ranked.withColumns(scores).drop("_n")
 
 
 def _gap_days() -> Column:

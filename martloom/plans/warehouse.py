@@ -39,7 +39,8 @@ def build(
     """Plan all seven tables.
 
     One pass over the transactions gives a small written profile, from which the calendar
-    and the two keyed dimensions follow.
+    and the two keyed dimensions follow. The given and keyed dimensions are written too, so
+    that the joins with the fact are planned on their true size.
     """
     profile = materialize(dims.profile(transactions), "profile")
     span = profile.agg(F.min("first_day").alias("first"), F.max("last_day").alias("last"))
@@ -49,7 +50,7 @@ def build(
     channels = dims.dim_channel(profile, rules)
     return Warehouse(
         dim_date=dims.date_table(span, rules),
-        dim_store=dims.dim_store(stores),
+        dim_store=materialize(dims.dim_store(stores), "stores"),
         dim_category=categories,
         dim_channel=channels,
         dim_customer=dims.dim_customer(transactions),
@@ -75,32 +76,33 @@ def save(warehouse: Warehouse, out_dir: str, fmt: str = "parquet") -> Warehouse:
     """
     if fmt not in ("parquet", "delta"):
         raise ValueError(f"unknown table format: {fmt}")
-    spark = warehouse.fact_sales.sparkSession
-    _write(warehouse.fact_sales, "fact_sales", out_dir, fmt)
-    fact = spark.read.format(fmt).load(f"{out_dir}/fact_sales")
+    fact = _write(warehouse.fact_sales, "fact_sales", out_dir, fmt)
     customers = dims.dim_customer(fact.withColumnRenamed("date_key", "transaction_date"))
-    for name, table in replace(warehouse, dim_customer=customers).tables().items():
-        if name != "fact_sales":
-            _write(table, name, out_dir, fmt)
-    return load(spark, out_dir, fmt)
+    rest = replace(warehouse, dim_customer=customers).tables()
+    del rest["fact_sales"]
+    stored = {name: _write(table, name, out_dir, fmt) for name, table in rest.items()}
+    return Warehouse(fact_sales=fact, **stored)
 
 
-def _write(table: DataFrame, name: str, out_dir: str, fmt: str) -> None:
-    """Write one table; the fact by month, since days would make many tiny files.
+def _write(table: DataFrame, name: str, out_dir: str, fmt: str) -> DataFrame:
+    """Write one table and scan it; the fact by month, since days would make many tiny files.
 
     ``rebalance`` puts a month's rows together for large files, and splits a month that is
     far larger than the others over several tasks. ``dim_date`` carries the same
     ``year_month``, so a filter on the calendar prunes the fact's folders at run time.
     """
-    month = cal.year_month(F.col("date_key"))
+    if name in ("fact_sales", "dim_date"):
+        table = table.withColumn("year_month", cal.year_month(F.col("date_key")))
+    path = f"{out_dir}/{name}"
     if name == "fact_sales":
-        table = table.withColumn("year_month", month).hint("rebalance", "year_month")
-    if name == "dim_date":
-        table = table.withColumn("year_month", month)
-    writer = table.write.mode("overwrite").format(fmt)
-    if name == "fact_sales":
-        writer = writer.partitionBy("year_month")
-    writer.save(f"{out_dir}/{name}")
+        monthly = table.hint("rebalance", "year_month").write.partitionBy("year_month")
+        monthly.mode("overwrite").format(fmt).save(path)
+    else:
+        table.write.mode("overwrite").format(fmt).save(path)
+    reader = table.sparkSession.read.format(fmt)
+    if fmt == "parquet":  # the schema is known: no need to read it from a file again
+        reader = reader.schema(table.schema)
+    return reader.load(path)
 
 
 def load(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> Warehouse:

@@ -71,7 +71,7 @@ tx AS (
 ),
 stores AS (
     SELECT s_suppkey AS store_id, s_name AS store_name, n_name AS city
-    FROM supplier JOIN nation ON s_nationkey = n_nationkey
+    FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
 ),
 dim_date AS (
     SELECT date_key, {_labels("date_key")}
@@ -427,6 +427,27 @@ def _contracts(prior: str, year: str) -> str:
             (f"{name} key is null", f"SELECT count(*) FROM {table} WHERE {key} IS NULL"),
             (f"{name} key repeats", f"SELECT count({key}) - count(DISTINCT {key}) FROM {table}"),
         ]
+    required = {
+        "dim_date": "dim_date", "dim_store": "stores", "dim_category": "dim_category",
+        "dim_channel": "dim_channel",
+    }
+    columns = {
+        "dim_date": "year month month_name quarter day_of_week is_weekend fiscal_year"
+        " fiscal_month season",
+        "dim_store": "store_name city",
+        "dim_category": "category price_band",
+        "dim_channel": "channel is_physical",
+    }
+    for name, table in required.items():
+        missing = " OR ".join(f"{c} IS NULL" for c in columns[name].split())
+        rules.append((f"{name} has a null", f"SELECT count(*) FROM {table} WHERE {missing}"))
+    rules.append(
+        (
+            "budget has a null",
+            "SELECT count(*) FROM planned WHERE budget_qty IS NULL OR price IS NULL"
+            " OR budget_revenue IS NULL",
+        )
+    )
     plan_keys = "fiscal_year IS NULL OR month IS NULL OR category IS NULL"
     rules += [
         ("budget key is null", f"SELECT count(*) FROM planned WHERE {plan_keys}"),

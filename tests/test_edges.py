@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martloom import rules
+from martloom.operators import ranking
 from martloom.plans import customers, forecasting, planning, variance, views
 
 ACTUAL = "category string, actual_qty int, actual_revenue decimal(28,2)"
@@ -104,6 +105,18 @@ def test_segments_against_a_data_frame(spark):
     assert got["avg_gap_days"].isna().tolist() == (want["n"] == 1).tolist()
 
 
+def test_large_and_small_ways_to_score_agree(spark, monkeypatch):
+    rows = [
+        (f"C{c}", dt.date(2025, 1, 1) + dt.timedelta(days=c % 9 + v), 5 * (c % 4))
+        for c in range(40)
+        for v in range(1 + c % 5)
+    ]
+    lines = _lines(spark, rows)
+    small = customers.build(lines).collect()
+    monkeypatch.setattr(ranking.with_global_ranks, "__defaults__", ("total", 0))
+    assert sorted(customers.build(lines).collect(), key=str) == sorted(small, key=str)
+
+
 def test_only_one_time_buyers(spark):
     day = dt.date(2025, 1, 1)
     rows = [(f"C{i}", day + dt.timedelta(days=i), 10) for i in range(6)]

@@ -17,31 +17,45 @@ from martloom.functions import calendar as cal
 from martloom.functions.rounding import half_even, half_up, ratio
 from martloom.operators import dimensions as dims
 from martloom.operators.median import exact_median, histogram
-from martloom.operators.ranking import ntile_of, quantile_score, with_global_rank
+from martloom.operators.ranking import (
+    ONE_TASK_ROWS,
+    ntile_of,
+    quantile_score,
+    with_global_ranks,
+)
 
 # --- ranks --------------------------------------------------------------------------
 
 
-def test_global_rank_with_a_hot_value(spark):
+@pytest.mark.parametrize("one_task_rows", [0, ONE_TASK_ROWS])
+def test_global_ranks_with_a_hot_value(spark, one_task_rows):
     rng = random.Random(5)
     rows = [(i, 7 if i % 3 == 0 else rng.randrange(50)) for i in range(5003)]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "id int, measure int").repartition(7)
-    ranked = with_global_rank(df, [F.desc("measure"), F.asc("id")], total="n").collect()
-    order = sorted(rows, key=lambda row: (-row[1], row[0]))
-    assert {row.id: row["rank"] for row in ranked} == {
-        row[0]: place for place, row in enumerate(order, start=1)
+    orders = {
+        "down": [F.desc("measure"), F.asc("id")],
+        "up": [F.asc("measure"), F.asc("id")],
     }
+    ranked = with_global_ranks(df, orders, "n", one_task_rows=one_task_rows)
+    assert dict(ranked.dtypes)["down"] == "bigint"
+    ranked = ranked.collect()
+    for name, sign in (("down", -1), ("up", 1)):
+        order = sorted(rows, key=lambda row: (sign * row[1], row[0]))
+        assert {row.id: row[name] for row in ranked} == {
+            row[0]: place for place, row in enumerate(order, start=1)
+        }
     assert {row.n for row in ranked} == {len(rows)}
 
 
-def test_global_rank_plan_never_sorts_lines_in_one_task(spark):
+def test_large_ranks_never_sort_in_one_task(spark):
     df = spark.range(1000).select("id", (F.col("id") % 5).alias("measure"))
-    ranked = with_global_rank(df, [F.asc("measure"), F.asc("id")])
+    order = {"place": [F.asc("measure"), F.asc("id")]}
+    ranked = with_global_ranks(df, order, one_task_rows=999)
     ranked.collect()
     plan = ranked._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("SinglePartition") <= 2  # the partition sizes only
     assert "Sort [measure" not in plan
+    assert "Sort [measure" in with_global_ranks(df, order)._jdf.queryExecution().toString()
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 6, 9, 10, 11, 37, 99, 100, 101, 723, 1204])

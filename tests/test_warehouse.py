@@ -91,7 +91,7 @@ def test_a_sound_warehouse_has_no_violations(stored):
     report = contracts.contract_report(
         stored.tables(), views.monthly_kpi(detail), views.channel_mix(detail)
     ).collect()
-    assert len(report) == 40 and len({row.check for row in report}) == 40
+    assert len(report) == 45 and len({row.check for row in report}) == 45
     assert all(row.violations == 0 for row in report)
 
 
