@@ -1,6 +1,6 @@
 """Build the warehouse and run every analysis::
 
-    spark-submit --py-files martloom.zip -m martloom --data DIR --out DIR --rebuild
+    spark-submit martloom_app.py --data DIR --out DIR --rebuild
     python -m martloom --data DIR --out DIR --fiscal-year FY2025-26 --horizon 6
 """
 

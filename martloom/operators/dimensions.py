@@ -33,9 +33,12 @@ def calendar_columns(days: DataFrame, day: str = "date_key", rules: Rules = DEFA
 def profile(transactions: DataFrame) -> DataFrame:
     """What dates, categories, channels and price bands need, in one pass over the lines.
 
-    One row per (category, channel, price); equal prices collapse before the shuffle.
+    Two grouping sets: a row per (category, price) and a row per channel. Equal values
+    collapse before the shuffle.
     """
-    return transactions.groupBy("category", "channel", "unit_price").agg(
+    sets = [["category", "unit_price"], ["channel"]]
+    return transactions.groupingSets(sets, "category", "unit_price", "channel").agg(
+        (F.grouping("channel") == 0).alias("is_channel"),
         F.count("*").alias("rows"),
         F.min("transaction_date").alias("first_day"),
         F.max("transaction_date").alias("last_day"),

@@ -44,10 +44,9 @@ def build(
     """
     profile = materialize(dims.profile(transactions), "profile")
     span = profile.agg(F.min("first_day").alias("first"), F.max("last_day").alias("last"))
-    prices = profile.where(F.col("unit_price").isNotNull())
-    prices = prices.groupBy("category", "unit_price").agg(F.sum("rows").alias("rows"))
+    prices = profile.where(~F.col("is_channel") & F.col("unit_price").isNotNull())
     categories = dims.category_table(prices, rules)
-    channels = dims.dim_channel(profile, rules)
+    channels = dims.dim_channel(profile.where("is_channel"), rules)
     return Warehouse(
         dim_date=dims.date_table(span, rules),
         dim_store=materialize(dims.dim_store(stores), "stores"),
