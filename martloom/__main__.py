@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from martloom.plans import customers, forecasting, summary, variance, views, warehouse
@@ -15,10 +16,9 @@ from martloom.sinks.exports import export_extracts, write_csv, write_json
 
 
 def run_all(
-    spark: SparkSession, warehouse_dir: str, out_dir: str, fiscal_year: str, horizon: int = 6
+    stored: warehouse.Warehouse, out_dir: str, fiscal_year: str, horizon: int = 6
 ) -> None:
     """Every analysis of a stored warehouse, written below ``out_dir``."""
-    stored = warehouse.load(spark, warehouse_dir)
     detail = views.sales_detail(stored)
 
     gap = variance.run(detail, stored.budget, fiscal_year)
@@ -56,9 +56,18 @@ def main() -> None:
 
     spark = SparkSession.builder.appName("martloom").getOrCreate()
     store = f"{args.out}/warehouse"
-    if args.rebuild:
-        warehouse.save(warehouse.build_from_csv(spark, args.data), store, args.format)
-    run_all(spark, store, args.out, args.fiscal_year, args.horizon)
+    stored = None if args.rebuild else _existing(spark, store, args.format)
+    if stored is None:
+        built = warehouse.build_from_csv(spark, args.data)
+        stored = warehouse.save(built, store, args.format)
+    run_all(stored, args.out, args.fiscal_year, args.horizon)
+
+
+def _existing(spark: SparkSession, store: str, fmt: str) -> warehouse.Warehouse | None:
+    try:
+        return warehouse.load(spark, store, fmt)
+    except AnalysisException:  # no such path
+        return None
 
 
 if __name__ == "__main__":

@@ -90,30 +90,29 @@ def orphan_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, orphans)
 
 
-def key_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows with a missing or repeated key in dimensions and budget, and repeated names."""
+def table_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Per dimension and the budget, in one pass each: missing or repeated keys, repeated
+    names, and missing values in required columns."""
     reports = []
     for name, keys in PRIMARY_KEYS.items():
-        groups = tables[name].groupBy(*keys).agg(F.count("*").alias("rows"))
-        missing = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+        no_key = _any_null(keys)
+        whole_keys = F.sum(F.when(no_key, 0).otherwise(1))
         checks = {
-            f"{name} key is null": F.sum(F.when(missing, F.col("rows")).otherwise(0)),
-            f"{name} key repeats": F.sum(F.when(missing, 0).otherwise(F.col("rows") - 1)),
+            f"{name} key is null": _rows_where(no_key),
+            # a distinct count passes over keys with a NULL in them
+            f"{name} key repeats": whole_keys - F.count_distinct(*keys),
         }
-        reports.append(_report(groups, checks))
-    for name, column in UNIQUE_NAMES.items():
-        repeats = F.count(column) - F.count_distinct(column)
-        reports.append(_report(tables[name], {f"{name}.{column} repeats": repeats}))
+        if name in UNIQUE_NAMES:
+            column = UNIQUE_NAMES[name]
+            checks[f"{name}.{column} repeats"] = F.count(column) - F.count_distinct(column)
+        if name in REQUIRED:
+            checks[f"{name} has a null"] = _rows_where(_any_null(REQUIRED[name]))
+        reports.append(_report(tables[name], checks))
     return reduce(DataFrame.unionByName, reports)
 
 
-def required_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows of dimensions and budget in which a required column is missing."""
-    reports = []
-    for name, columns in REQUIRED.items():
-        missing = reduce(Column.__or__, [F.col(c).isNull() for c in columns])
-        reports.append(_report(tables[name], {f"{name} has a null": _rows_where(missing)}))
-    return reduce(DataFrame.unionByName, reports)
+def _any_null(columns: list[str]) -> Column:
+    return reduce(Column.__or__, [F.col(c).isNull() for c in columns])
 
 
 def budget_checks(budget: DataFrame) -> DataFrame:
@@ -158,8 +157,7 @@ def contract_report(
         line_checks(fact),
         grain_check(fact),
         orphan_checks(tables),
-        key_checks(tables),
-        required_checks(tables),
+        table_checks(tables),
         budget_checks(tables["budget"]),
         tie_out_checks(fact, kpi, mix),
         calendar_checks(tables["dim_date"], rules),

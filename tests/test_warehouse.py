@@ -120,8 +120,9 @@ def test_contracts_count_what_is_wrong(spark, stored):
     orphans = {r.check: r.violations for r in contracts.orphan_checks(tables).collect()}
     assert orphans["fact_sales.store_id not in dim_store"] == 3
     assert orphans["fact_sales.date_key not in dim_date"] == 0
-    keys = {r.check: r.violations for r in contracts.key_checks(tables).collect()}
-    assert keys["dim_channel key repeats"] == 1 and keys["dim_channel.channel repeats"] == 1
+    found = {r.check: r.violations for r in contracts.table_checks(tables).collect()}
+    assert found["dim_channel key repeats"] == 1 and found["dim_channel.channel repeats"] == 1
+    assert found["budget key repeats"] == found["dim_store has a null"] == 0
     budget = spark.createDataFrame([(0, Decimal(5))], "budget_qty int, budget_revenue decimal(9,2)")
     assert contracts.budget_checks(budget).first().violations == 1
 
@@ -143,9 +144,9 @@ def test_unknown_format_is_refused(stored, tmp_path):
         warehouse.save(stored, str(tmp_path), "orc")
 
 
-def test_all_outputs(spark, store_dir, tmp_path):
+def test_all_outputs(spark, stored, tmp_path):
     out = str(tmp_path)
-    run_all(spark, store_dir, out, FISCAL_YEAR)
+    run_all(stored, out, FISCAL_YEAR)
     expected = [
         "variance_by_category", "variance_bridge", "rfm_customers", "rfm_segments", "forecast",
         "powerbi/v_monthly_kpi", "powerbi/v_channel_mix", "powerbi/v_customer_concentration",
