@@ -149,6 +149,19 @@ def q_stored_year_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_channel_by_month_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which channel sells how much, in which month, for which category: plain SQL."""
+    views.sales_detail(_built(spark, sf_dir)).createOrReplaceTempView("v_sales_detail")
+    return spark.sql(
+        """
+        SELECT fiscal_year, fiscal_month, month_name, category, channel,
+               SUM(quantity) AS units, SUM(net_amount) AS revenue
+        FROM v_sales_detail
+        GROUP BY fiscal_year, fiscal_month, month_name, category, channel
+        """
+    )
+
+
 def q_contract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = _stored(spark, sf_dir)
     detail = views.sales_detail(stored)
@@ -221,6 +234,11 @@ def q_bridge_by_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _variance(spark, sf_dir, ("store_id",)).bridge
 
 
+def q_waterfall_by_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = ("store_id",)
+    return variance.waterfall(_variance(spark, sf_dir, keys).bridge, keys)
+
+
 def q_variance_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variance.reconciliation_error(_variance(spark, sf_dir).by_category)
 
@@ -289,6 +307,29 @@ def q_backtest_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecasting.backtest(_series(spark, sf_dir, keys), keys=keys)
 
 
+def q_indices_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = ("category",)
+    return forecasting.seasonal_indices(_series(spark, sf_dir, keys), keys)
+
+
+def q_forecast_by_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = ("store_id",)
+    return forecasting.fit_predict(_series(spark, sf_dir, keys), keys=keys)
+
+
+def q_backtest_by_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = ("store_id",)
+    return forecasting.backtest(_series(spark, sf_dir, keys), keys=keys)
+
+
+def q_filled_series_by_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months without sales of a store as zero, the incomplete last month left out."""
+    lines = _sales(spark, sf_dir)
+    return forecasting.monthly_series(
+        lines, ["store_id"], fill_gaps=True, drop_partial_last=True
+    )
+
+
 def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     gap = _variance(spark, sf_dir)
     return summary.run_summary(

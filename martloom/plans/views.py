@@ -195,3 +195,21 @@ def season_rollup(detail: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     return months.groupBy(cal.season(F.col("period"), rules.seasons).alias("season")).agg(
         F.sum("revenue").alias("revenue")
     )
+
+
+def register(warehouse: Warehouse, rules: Rules = DEFAULT_RULES) -> list[str]:
+    """Make the tables and views known to ``spark.sql`` under their usual names.
+
+    The concentration view ranks all customers and is computed here, once; the others are
+    planned anew by each statement that reads them.
+    """
+    detail = sales_detail(warehouse)
+    frames = warehouse.tables() | {
+        "v_sales_detail": detail,
+        "v_monthly_kpi": monthly_kpi(detail, rules),
+        "v_channel_mix": channel_mix(detail, rules),
+        "v_customer_concentration": customer_concentration(detail),
+    }
+    for name, frame in frames.items():
+        frame.createOrReplaceTempView(name)
+    return list(frames)

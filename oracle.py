@@ -216,11 +216,14 @@ _VARIANCE_SELECT = f"""category, budget_qty, actual_qty, {dbl("budget_price")} A
     {dbl("price_variance")} AS price_variance, {dbl("volume_variance")} AS volume_variance,
     {dbl("mix_variance")} AS mix_variance, achievement_pct FROM variances"""
 
-# Waterfall: deltas stand on the first total plus the deltas before them.
-_WATERFALL = f"""
-    SELECT step_no, step, CASE WHEN kind = 'total' THEN 0.0
-        ELSE {dbl("sum(value) OVER (ORDER BY step_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")}
-             / 1e7 END AS bottom,
+
+def _waterfall(keys: str = "") -> str:
+    """Deltas stand on the first total plus the deltas before them."""
+    part = f"PARTITION BY {keys.rstrip(', ')}" if keys else ""
+    before = f"OVER ({part} ORDER BY step_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return f"""
+    SELECT {keys} step_no, step, CASE WHEN kind = 'total' THEN 0.0
+        ELSE {dbl(f"sum(value) {before}")} / 1e7 END AS bottom,
         {dbl("value")} / 1e7 AS height,
         CASE WHEN kind = 'total' THEN 'total' WHEN value >= 0 THEN 'up' ELSE 'down' END AS direction
     FROM bridge"""
@@ -587,7 +590,8 @@ def statements(year: str, prior: str) -> dict[str, str]:
             " - sum(total_variance)) AS DOUBLE) AS reconciliation_error FROM variances",
         ),
         "largest_miss": _with(gap, miss),
-        "waterfall_frame": _with(gap, _WATERFALL),
+        "waterfall_frame": _with(gap, _waterfall()),
+        "waterfall_by_store": _with(gap_store, _waterfall(store)),
         "rfm_customers": _with(
             _RFM,
             f"SELECT customer_id, last_purchase, first_purchase, frequency,"
@@ -623,4 +627,27 @@ def statements(year: str, prior: str) -> dict[str, str]:
             "SELECT * EXCLUDE (step) FROM fc",
         ),
         "backtest_by_category": _with(_backtest(r.HOLDOUT_MONTHS, by_cat), ""),
+        "indices_by_category": _with(
+            _series(by_cat) + _indices("idx", "series", by_cat), "SELECT * FROM idx"
+        ),
+        "forecast_by_store": _with(
+            _series(store) + _forecast("fc", "series", r.HORIZON_MONTHS, store),
+            "SELECT * EXCLUDE (step) FROM fc",
+        ),
+        "backtest_by_store": _with(_backtest(r.HOLDOUT_MONTHS, store), ""),
+        "filled_series_by_store": _with(
+            _series(store),
+            f"""SELECT store_id, period, coalesce({dbl("revenue")}, 0) AS revenue FROM (
+                SELECT store_id, CAST(unnest(generate_series(
+                    min(period), max(period), INTERVAL 1 MONTH)) AS DATE) AS period
+                FROM series WHERE last_day(period) <= (SELECT max(date_key) FROM detail)
+                GROUP BY store_id)
+            LEFT JOIN series USING (store_id, period)""",
+        ),
+        "channel_by_month_sql": _with(
+            "",
+            "SELECT fiscal_year, fiscal_month, month_name, category, channel,"
+            f" CAST(sum(quantity) AS BIGINT) AS units, {dbl('sum(net_amount)')} AS revenue"
+            " FROM detail GROUP BY ALL",
+        ),
     }

@@ -16,6 +16,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     session = local_session(8, shuffle_partitions=4)
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set("spark.sql.crossJoin.enabled", "false")  # refuse implicit cross joins
     yield session
     session.stop()
 

@@ -34,6 +34,8 @@ def _sortable(row):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, sf_dir, db, name):
     got = QUERIES[name](spark, sf_dir)
+    plan = got._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     expected = db.sql(ORACLE[name])
     kinds = dict(zip(expected.columns, map(str, expected.types), strict=True))
     assert {c: SQL_TYPES[t] for c, t in got.dtypes} == kinds
@@ -58,10 +60,3 @@ def test_run_summary_nests_bridge_and_backtest(spark, sf_dir):
 
 def test_entry_has_rows(spark):
     assert entry_module.entry(spark).count() > 0
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_plans_have_no_cross_join(spark, sf_dir, name):
-    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().toString()
-    assert "CartesianProduct" not in plan
-    assert "NestedLoopJoin" not in plan

@@ -139,6 +139,17 @@ def test_the_date_dimension_has_no_gaps(stored):
     assert row[0] == dt.date(1995, 1, 1)
 
 
+def test_views_answer_sql(spark, stored):
+    names = views.register(stored, ORDER_RULES)
+    assert len(names) == 11
+    fact = spark.sql("SELECT ROUND(SUM(net_amount), 2) AS r FROM fact_sales").first().r
+    kpi = spark.sql("SELECT ROUND(SUM(revenue), 2) AS r FROM v_monthly_kpi").first().r
+    deciles = spark.sql("SELECT SUM(revenue) AS r FROM v_customer_concentration").first().r
+    assert fact == kpi == deciles
+    shares = spark.sql("SELECT SUM(pct_of_revenue) AS s FROM v_channel_mix GROUP BY fiscal_year")
+    assert all(abs(row.s - 100) < 0.1 for row in shares.collect())
+
+
 def test_unknown_format_is_refused(stored, tmp_path):
     with pytest.raises(ValueError, match="format"):
         warehouse.save(stored, str(tmp_path), "orc")
