@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import os
 import sys
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -22,7 +21,7 @@ import oracle  # noqa: E402
 from martloom.functions import calendar as cal  # noqa: E402
 from martloom.operators import contracts  # noqa: E402
 from martloom.operators import dimensions as dims  # noqa: E402
-from martloom.operators.scratch import materialize, scratch_root  # noqa: E402
+from martloom.operators.scratch import materialize, scratch_path  # noqa: E402
 from martloom.plans import (  # noqa: E402
     customers,
     forecasting,
@@ -93,8 +92,7 @@ def _built(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
 
 def _stored(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
     """The star schema written to the shared folder and read back."""
-    path = f"{scratch_root(spark)}/martloom-warehouse-{uuid.uuid4().hex}"
-    return warehouse.save(_built(spark, sf_dir), path)
+    return warehouse.save(_built(spark, sf_dir), scratch_path(spark, "warehouse"))
 
 
 # --- dimensions and fact ------------------------------------------------------------
@@ -162,6 +160,10 @@ def q_channel_by_month_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_extract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contracts.extract_checks(_transactions(spark, sf_dir))
+
+
 def q_contract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = _stored(spark, sf_dir)
     detail = views.sales_detail(stored)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions import calendar as cal
 from martloom.rules import DEFAULT_RULES, Rules
-from martloom.schemas import BUDGET, DIM_DATE_COLUMNS, FACT_COLUMNS
+from martloom.schemas import BUDGET, DIM_DATE_COLUMNS, FACT_COLUMNS, TRANSACTIONS
 
 FOREIGN_KEYS = {
     "date_key": "dim_date",
@@ -58,17 +58,27 @@ def _rows_where(bad: Column) -> Column:
     return F.sum(F.when(bad, 1).otherwise(0))
 
 
+def extract_checks(transactions: DataFrame) -> DataFrame:
+    """The same rules on the raw extract, before the key lookup: a line without a category or
+    channel finds no key there and would drop out unseen."""
+    return _line_report(transactions, "transactions", TRANSACTIONS.names)
+
+
 def line_checks(fact: DataFrame) -> DataFrame:
     """NOT NULL and domain rules of the fact, all in one pass over it."""
-    checks = {f"fact_sales.{c} is null": _rows_where(F.col(c).isNull()) for c in FACT_COLUMNS}
+    return _line_report(fact, "fact_sales", FACT_COLUMNS)
+
+
+def _line_report(lines: DataFrame, table: str, required: list[str]) -> DataFrame:
     share = F.col("discount_pct")
+    checks = {f"{table}.{c} is null": _rows_where(F.col(c).isNull()) for c in required}
     checks |= {
-        "fact_sales.quantity <= 0": _rows_where(F.col("quantity") <= 0),
-        "fact_sales.unit_price <= 0": _rows_where(F.col("unit_price") <= 0),
-        "fact_sales.discount_pct outside [0, 1)": _rows_where((share < 0) | (share >= 1)),
-        "fact_sales.net_amount <= 0": _rows_where(F.col("net_amount") <= 0),
+        f"{table}.quantity <= 0": _rows_where(F.col("quantity") <= 0),
+        f"{table}.unit_price <= 0": _rows_where(F.col("unit_price") <= 0),
+        f"{table}.discount_pct outside [0, 1)": _rows_where((share < 0) | (share >= 1)),
+        f"{table}.net_amount <= 0": _rows_where(F.col("net_amount") <= 0),
     }
-    return _report(fact, checks)
+    return _report(lines, checks)
 
 
 def grain_check(fact: DataFrame) -> DataFrame:

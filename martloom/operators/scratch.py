@@ -15,8 +15,9 @@ _local_roots: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one in local mode only."""
+    """The checkpoint folder of the session; a temporary one in local mode only."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = shared or spark.sparkContext.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
     if not spark.conf.get("spark.master", "local").startswith("local"):
@@ -27,17 +28,19 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
-def materialize(df: DataFrame, label: str = "table") -> DataFrame:
-    """Write ``df`` once and return a scan of the written table."""
-    spark = df.sparkSession
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path below the scratch folder; what is written there goes when the driver ends."""
     path = f"{scratch_root(spark)}/martloom-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _delete_on_exit(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    file_system = target.getFileSystem(conf)
+    file_system.mkdirs(target)
+    file_system.deleteOnExit(target)
+    return path
 
 
-def _delete_on_exit(spark: SparkSession, path: str) -> None:
-    """Ask the file system to drop the folder when the driver ends."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+    """Write ``df`` once and return a scan of the written table."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -388,6 +388,20 @@ SELECT {keys} '{r.STATUS_TOO_SHORT}', NULL, NULL, NULL, NULL, NULL
 FROM placed WHERE months <= {holdout} + 12 {f"GROUP BY {by}" if keys else "GROUP BY months"}"""
 
 
+def _extract_checks() -> str:
+    columns = (
+        "transaction_id transaction_date store_id customer_id category channel quantity"
+        " unit_price discount_pct net_amount cogs"
+    ).split()
+    rules = {f"{c} is null": f"{c} IS NULL".replace("transaction_date", "date_key") for c in columns}
+    rules |= {f"{c} <= 0": f"{c} <= 0" for c in ("quantity", "unit_price", "net_amount")}
+    rules["discount_pct outside [0, 1)"] = "discount_pct < 0 OR discount_pct >= 1"
+    return " UNION ALL ".join(
+        f"SELECT 'transactions.{name}' AS \"check\", count(*) AS violations FROM tx WHERE {bad}"
+        for name, bad in rules.items()
+    )
+
+
 def _contracts(prior: str, year: str) -> str:
     fact_columns = (
         "transaction_id date_key store_id category_id channel_id customer_id quantity "
@@ -539,6 +553,7 @@ def statements(year: str, prior: str) -> dict[str, str]:
             f" {dbl('sum(net_amount)')} AS revenue FROM detail"
             f" WHERE fiscal_year = '{year}' GROUP BY ALL",
         ),
+        "extract_report": _with("", _extract_checks()),
         "contract_report": _contracts(prior, year),
         "monthly_kpi": _with("", _KPI),
         "channel_mix": _with("", _MIX),

@@ -127,6 +127,13 @@ def test_contracts_count_what_is_wrong(spark, stored):
     assert contracts.budget_checks(budget).first().violations == 1
 
 
+def test_a_line_without_a_category_is_reported(spark, data_dir):
+    tx = extracts.read_transactions(spark, f"{data_dir}/transactions.csv")
+    holes = tx.limit(2).withColumn("category", F.lit(None).cast("string"))
+    report = contracts.extract_checks(tx.unionByName(holes)).where("violations > 0").collect()
+    assert [tuple(row) for row in report] == [("transactions.category is null", 2)]
+
+
 def test_orphans_drop_out_of_the_star_join(stored):
     stray = stored.fact_sales.limit(2).withColumn("store_id", F.lit("nowhere"))
     wider = warehouse.Warehouse(**(stored.tables() | {"fact_sales": stored.fact_sales.unionByName(stray)}))
