@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
-import oracle  # noqa: E402
+import martloom_sql  # noqa: E402
 from martloom.functions import calendar as cal  # noqa: E402
 from martloom.operators import contracts  # noqa: E402
 from martloom.operators import dimensions as dims  # noqa: E402
@@ -357,4 +357,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements(FISCAL_YEAR, PRIOR_YEAR)
+    return martloom_sql.statements(FISCAL_YEAR, PRIOR_YEAR)

@@ -40,6 +40,8 @@ def monthly_series(
     series = detail.groupBy(*keys, cal.month_start(F.col("date_key")).alias("period")).agg(
         F.sum("net_amount").alias("revenue"), F.max("date_key").alias("_latest")
     )
+    if fill_gaps or drop_partial_last:
+        series = materialize(series, "months")  # read more than once below
     if drop_partial_last:
         end = series.groupBy().agg(F.max("_latest").alias("_end"))
         series = attach(series, end).where(F.last_day("period") <= F.col("_end"))

@@ -76,7 +76,7 @@ def read_transactions(
 
     ``since`` (inclusive) and ``until`` (exclusive) reach the scan of ``orders``.
     """
-    lines = _spread(_table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey", "l_shipdate")
+    lines = _spread(_table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
     orders = _table(spark, sf_dir, "orders")
     parts = _table(spark, sf_dir, "part").select("p_partkey", "p_type")
     if since is not None:

@@ -60,3 +60,9 @@ def test_run_summary_nests_bridge_and_backtest(spark, sf_dir):
 
 def test_entry_has_rows(spark):
     assert entry_module.entry(spark).count() > 0
+
+
+def test_the_fiscal_year_reaches_the_scan(spark, sf_dir):
+    plan = QUERIES["actuals_by_category"](spark, sf_dir)._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(o_orderdate,1999-04-01" in plan
+    assert "l_tax" not in plan.split("== Optimized Logical Plan ==")[1].split("ReadSchema", 1)[1]
