@@ -39,6 +39,15 @@ FISCAL_YEAR = "FY1999-00"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The text operators are an optional part: without their files the rest works as before.
+_OPTIONAL = ("corpus_pipeline", "martloom.llm", "martloom.llm.registry")
+try:
+    import martloom.llm.registry as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in _OPTIONAL:
+        raise
+    llm = None
+
 
 def _comparable(df: DataFrame) -> DataFrame:
     """DECIMAL columns as DOUBLE: engines name the precision of a sum differently."""
@@ -353,8 +362,10 @@ def queries() -> dict[str, Query]:
     def checked(fn: Query) -> Query:
         return lambda spark, sf_dir: _comparable(fn(spark, sf_dir))
 
-    return {name: checked(fn) for name, fn in found.items()}
+    text_queries = llm.queries() if llm else {}
+    return {name: checked(fn) for name, fn in found.items()} | text_queries
 
 
 def oracle_sql() -> dict[str, str]:
-    return martloom_sql.statements(FISCAL_YEAR, PRIOR_YEAR)
+    checks = martloom_sql.statements(FISCAL_YEAR, PRIOR_YEAR)
+    return checks | (llm.oracle_sql() if llm else {})

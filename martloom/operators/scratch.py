@@ -6,39 +6,46 @@ optimizer a true size, so a later join is broadcast only when the table really i
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
+_scopes: list[list[tuple[SparkSession, str]]] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; a temporary one in local mode only."""
+    """``spark.checkpoint.dir``; where a session sets none, a folder of the warehouse, which
+    all executors share as well. Never a temporary folder of one machine."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    shared = shared or spark.sparkContext.getCheckpointDir()
-    if shared:
-        return shared.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.conf.get("spark.app.id", "local")
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="martloom-")
-    return _local_roots[app]
+    root = shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the scratch folder; what is written there goes when the driver ends."""
+    """A new path below the scratch folder; an open :func:`scope` empties it when it ends."""
     path = f"{scratch_root(spark)}/martloom-{label}-{uuid.uuid4().hex}"
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    file_system = target.getFileSystem(conf)
-    file_system.mkdirs(target)
-    file_system.deleteOnExit(target)
+    if _scopes:
+        _scopes[-1].append((spark, path))
     return path
 
 
+@contextmanager
+def scope() -> Iterator[None]:
+    """Empty the scratch tables made inside, so that a long session keeps none of them.
+
+    For work that ends inside the scope: a lazy result that still reads a scratch table
+    must not leave it. A path is emptied through Spark's own writer, whatever its store.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for spark, path in _scopes.pop():
+            spark.range(0).coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once and return a scan of the written table."""
     path = scratch_path(df.sparkSession, label)

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("martloom")
         .config("spark.ui.enabled", "false")
@@ -18,5 +18,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    if folder := os.environ.get("MARTLOOM_SCRATCH"):  # else the session's own setting
+        builder = builder.config("spark.checkpoint.dir", folder)
+    return builder.getOrCreate()

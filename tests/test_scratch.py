@@ -1,53 +1,51 @@
-"""Where scratch tables go. Sessions run in their own process to try other settings."""
+"""Where scratch tables go, and that a scope leaves none behind."""
 
 from __future__ import annotations
 
-import subprocess
-import sys
 from pathlib import Path
 
 import pytest
 
 from martloom.operators import scratch
 
-ROOT = Path(__file__).resolve().parents[1]
-
-SCRIPT = """
-import sys
-from pyspark.sql import SparkSession
-from martloom.operators.scratch import materialize, scratch_root
-spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
-         .config("spark.checkpoint.dir", sys.argv[1]).getOrCreate())
-spark.sparkContext.setLogLevel("OFF")
-table = materialize(spark.range(10), "numbers")
-print("ROOT", scratch_root(spark), table.count(), table.inputFiles()[0])
-spark.stop()
-"""
-
-
-def test_the_named_folder_is_used_and_left_clean(tmp_path):
-    shared = tmp_path / "shared"
-    done = subprocess.run(
-        [sys.executable, "-c", SCRIPT, str(shared)],
-        cwd=ROOT, capture_output=True, text=True, timeout=120, check=True,
-    )
-    (line,) = [out for out in done.stdout.splitlines() if out.startswith("ROOT")]
-    _, root, rows, file = line.split()
-    assert root == str(shared) and rows == "10" and str(shared) in file
-    assert not list(shared.glob("martloom-*"))
-
-
-def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
-    class Conf(dict):
-        get = dict.get
-
-    class Session:
-        conf = Conf({"spark.master": "spark://host:7077"})
-
-        class sparkContext:
-            @staticmethod
-            def getCheckpointDir():
-                return None
-
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch.scratch_root(Session())
+
+class Session:
+    def __init__(self, **conf):
+        self.conf = {k.replace("__", "."): v for k, v in conf.items()}
+
+
+def test_the_named_folder_is_used():
+    assert scratch.scratch_root(Session(spark__checkpoint__dir="s3a://b/c/")) == "s3a://b/c"
+
+
+def test_without_a_named_folder_the_shared_warehouse_is_used():
+    session = Session(spark__sql__warehouse__dir="hdfs://nn/warehouse")
+    assert scratch.scratch_root(session) == "hdfs://nn/warehouse/scratch"
+
+
+def test_a_table_is_written_below_the_root(spark):
+    table = scratch.materialize(spark.range(10), "numbers")
+    root = scratch.scratch_root(spark).removeprefix("file:")
+    assert table.count() == 10 and root in table.inputFiles()[0]
+
+
+def test_a_scope_empties_its_tables_only(spark):
+    kept = scratch.materialize(spark.range(5))
+    with scratch.scope():
+        inside = scratch.materialize(spark.range(100_000))
+        with scratch.scope():
+            nested = scratch.materialize(spark.range(100_000))
+            nested_path = Path(nested.inputFiles()[0].removeprefix("file://")).parent
+        assert inside.count() == 100_000
+        inside_path = Path(inside.inputFiles()[0].removeprefix("file://")).parent
+        assert sum(p.stat().st_size for p in nested_path.glob("*.parquet")) < 1000
+    assert sum(p.stat().st_size for p in inside_path.glob("*.parquet")) < 1000
+    assert kept.count() == 5
+
+
+def test_a_scope_cleans_up_after_an_error(spark):
+    with pytest.raises(ValueError), scratch.scope():
+        inside = scratch.materialize(spark.range(100_000))
+        path = Path(inside.inputFiles()[0].removeprefix("file://")).parent
+        raise ValueError
+    assert sum(p.stat().st_size for p in path.glob("*.parquet")) < 1000
