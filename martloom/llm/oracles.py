@@ -15,5 +15,39 @@ WINDOW own AS (PARTITION BY norm ORDER BY doc_id NULLS LAST)
 """
 
 
+_WORDS = (
+    r"list_filter(string_split_regex(translate(coalesce(text, ''),"
+    r" 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    r" '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '')"
+)
+
+DECONTAMINATION = f"""
+WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+phrases AS (
+    SELECT DISTINCT item_id, p, len(p) AS n FROM (
+        SELECT item_id, unnest(list_transform(
+            range(1, greatest(1, len(w) - 9) + 1), i -> w[i:i + 9])) AS p
+        FROM items WHERE len(w) > 0)),
+docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+lengths AS (SELECT DISTINCT n FROM phrases),
+places AS (
+    SELECT doc_id, n, i, w[i:i + n - 1] AS p
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, lengths)),
+found AS (
+    SELECT doc_id, item_id, i, places.n
+    FROM places JOIN phrases ON places.n = phrases.n AND places.p = phrases.p),
+covered AS (
+    SELECT doc_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM found) GROUP BY doc_id),
+listed AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT doc_id, coalesce(item_id::VARCHAR, '') AS id FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op3_exact_dedup": EXACT_DEDUP}
+    return {"op3_exact_dedup": EXACT_DEDUP, "op9_decontamination": DECONTAMINATION}

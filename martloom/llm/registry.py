@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import chunk_dedup, oracles
+from martloom.llm import chunk_dedup, decontaminate, oracles
 from martloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,12 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.groups(table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def queries() -> dict[str, Query]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
     return found
