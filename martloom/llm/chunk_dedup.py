@@ -127,16 +127,19 @@ def verified_recipes(docs: DataFrame) -> DataFrame:
 def groups(docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept and text_sha256, one row per row of ``docs``.
 
-    A group's size and first row are combined before the shuffle. They are joined back by
-    recipe; a group with a large part of the rows is split by adaptive execution.
+    A group's size and first row are combined before the shuffle. Groups of two rows or more
+    are written and joined back by recipe; as both sides of that join are plain scans, adaptive
+    execution can split a group that holds a large part of the rows.
     """
     own = verified_recipes(docs)
     rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("row").alias("r"))
     found = own.groupBy("recipe").agg(F.min(rank).alias("first"), F.count("*").alias("group_size"))
-    return own.join(found, "recipe").select(
+    shared = materialize(found.where("group_size > 1"), "groups")
+    alone = F.col("first").isNull()
+    return own.join(shared, "recipe", "left").select(
         "doc_id",
-        F.col("first.id").alias("keep_id"),
-        "group_size",
-        (F.col("row") == F.col("first.r")).alias("kept"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("first.id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).cast("bigint").alias("group_size"),
+        (alone | (F.col("row") == F.col("first.r"))).alias("kept"),
         "text_sha256",
     )
