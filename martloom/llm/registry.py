@@ -6,16 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import chunk_dedup, decontaminate, forest_join, oracles
+from martloom.llm import (
+    chunk_dedup,
+    decontaminate,
+    forest_join,
+    mixing,
+    oracles,
+    token_planes,
+)
 from martloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.groups(table(spark, sf_dir, "documents"))
 
 
+def op4_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_planes.encode_and_read(table(spark, sf_dir, "documents"))
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = forest_join.classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "n_links", "kept")
