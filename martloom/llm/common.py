@@ -11,6 +11,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.operators.scratch import materialize
+
 SLICE_BYTES = 4 << 20
 
 _SPACES = bytes(0x20 if 0x09 <= b <= 0x0D else b for b in range(256))
@@ -63,3 +65,48 @@ def task_id() -> int:
 def fold(doc_id: str, parts: int) -> Column:
     """``crc32(doc_id as text) mod parts``, null for a null id."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, fit: Column, per_class: int
+) -> DataFrame:
+    """(doc_id, text, y): at most ``per_class`` documents of each label 0 and 1, chosen by a hash
+    of the doc_id among the rows of ``labels`` for which ``fit`` holds."""
+    known = labels.where(fit & F.col(label).isin(0, 1)).groupBy("doc_id")
+    known = known.agg(F.max(label).cast("int").alias("y"))
+    order = F.xxhash64("doc_id", F.lit(5))
+    chosen = [known.where(F.col("y") == y).orderBy(order, "doc_id").limit(per_class) for y in (0, 1)]
+    ids = materialize(chosen[0].unionByName(chosen[1]), "sample")
+    texts = docs.select(F.col("doc_id").cast("bigint"), "text")
+    return materialize(texts.join(ids, "doc_id").dropDuplicates(["doc_id"]), "texts")
+
+
+def class_sizes(labels: DataFrame, label: str, fit: Column) -> tuple[int, int]:
+    """Labelled rows of class 0 and of class 1 among those for which ``fit`` holds."""
+    own = labels.where(fit)
+    row = own.agg(F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1"))
+    found = row.first()
+    return found.n0, found.n1
+
+
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
+    """Slope and offset of the weighted logistic curve of ``y`` over ``x`` (Platt scaling, with
+    targets drawn in a little so that separable classes keep a finite slope)."""
+    n0, n1 = (y == 0).sum(), (y == 1).sum()
+    target = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    scale = x.std() or 1.0
+    design = np.stack([(x - x.mean()) / scale, np.ones(len(x))], axis=1)
+    beta = np.zeros(2)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
+        slope = design.T @ (weight * (target - p)) - ridge * beta * np.array([1, 0])
+        curve = (design * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ design
+        step = np.linalg.solve(curve + ridge * np.eye(2), slope)
+        beta += np.clip(step, -3, 3)
+        if np.abs(step).max() < 1e-8:
+            break
+    return float(beta[0] / scale), float(beta[1] - beta[0] * x.mean() / scale)
+
+
+def probability(x: np.ndarray, curve: tuple[float, float]) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(curve[0] * x + curve[1], -30, 30)))

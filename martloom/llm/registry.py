@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martloom.llm import (
     chunk_dedup,
+    compression_quality,
     decontaminate,
     forest_join,
     mixing,
     oracles,
+    string_kernel,
     token_planes,
 )
 from martloom.llm.common import table
@@ -36,12 +38,22 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "n_links", "kept")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return string_kernel.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_quality.scored(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def queries() -> dict[str, Query]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
     return found
