@@ -16,18 +16,18 @@ WINDOW own AS (PARTITION BY norm ORDER BY doc_id NULLS LAST)
 
 
 _WORDS = (
-    r"list_filter(string_split_regex(translate(coalesce(text, ''),"
+    r"[x for x in string_split_regex(translate(coalesce(text, ''),"
     r" 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
-    r" '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '')"
+    r" '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') if x <> '']"
 )
 
 DECONTAMINATION = f"""
 WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 phrases AS (
     SELECT DISTINCT item_id, p, len(p) AS n FROM (
-        SELECT item_id, unnest(list_transform(
-            range(1, greatest(1, len(w) - 9) + 1), i -> w[i:i + 9])) AS p
-        FROM items WHERE len(w) > 0)),
+        SELECT item_id, w[i:i + 9] AS p
+        FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i
+              FROM items WHERE len(w) > 0))),
 docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 lengths AS (SELECT DISTINCT n FROM phrases),
 places AS (
@@ -49,5 +49,59 @@ FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
 
+_CONTROL = (
+    r"(\\*)(\[INST\]|\[/INST\]|<s>|</s>|<<SYS>>|<</SYS>>|\[ROLE\]|\[TEXT\]|\[/ROLE\])"
+)
+_SHOWN = "length({0}) + len(regexp_extract_all({0}, '" + _CONTROL + "'))"
+
+CHAT_FORMAT = f"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+           AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+           FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum({_SHOWN.format("text")} + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 9
+           WHEN 'system' THEN 17 ELSE 23 + {_SHOWN.format("role")} END)::BIGINT AS formatted_chars
+FROM said GROUP BY conv_id
+"""
+
+WARC_AUDIT = """
+WITH records AS (
+    SELECT coalesce(page_id // 4096, -1) AS file_no, page_id,
+           'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
+           || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+           || 'WARC-Date: 1970-01-01T00:00:00Z' || chr(13) || chr(10)
+           || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::VARCHAR, '') || '>'
+           || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10)
+           || 'Content-Length: ' || strlen(coalesce(html, ''))
+           || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '')
+           || chr(13) || chr(10) || chr(13) || chr(10) AS record
+    FROM pages),
+placed AS (
+    SELECT file_no, page_id, strlen(record)::BIGINT AS length, sha256(record) AS sha256, record,
+           coalesce(sum(strlen(record)) OVER (PARTITION BY file_no ORDER BY page_id
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+    FROM records)
+SELECT file_no, start, length, page_id, sha256,
+       CASE sha256[1:2] WHEN '00' THEN length WHEN '02' THEN length - 10 END AS found_length,
+       CASE sha256[1:2] WHEN '00' THEN sha256(left(record, -1) || '?')
+           WHEN '02' THEN sha256(CASE WHEN right(record, 4) = chr(13) || chr(10) || chr(13) || chr(10)
+               THEN left(record, -10) END) END AS found_sha256,
+       CASE sha256[1:2] WHEN '01' THEN 'missing' ELSE 'altered' END AS status
+FROM placed WHERE sha256[1:2] IN ('00', '01', '02')
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op3_exact_dedup": EXACT_DEDUP, "op9_decontamination": DECONTAMINATION}
+    return {
+        "op3_exact_dedup": EXACT_DEDUP,
+        "op6_chat_format": CHAT_FORMAT,
+        "op8_warc_audit": WARC_AUDIT,
+        "op9_decontamination": DECONTAMINATION,
+    }

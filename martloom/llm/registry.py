@@ -7,20 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom.llm import (
+    chat_format,
     chunk_dedup,
     compression_quality,
     decontaminate,
     forest_join,
+    merkle_audit,
     mixing,
     oracles,
     string_kernel,
     token_planes,
+    url_filter,
 )
 from martloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"))
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -38,10 +45,19 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "n_links", "kept")
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.digests(chat_format.with_conflict(table(spark, sf_dir, "conversations")))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return string_kernel.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle_audit.audit_pages(table(spark, sf_dir, "pages"))
+    return found.withColumnsRenamed({"file": "file_no", "offset": "start"})
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
