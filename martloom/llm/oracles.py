@@ -49,6 +49,33 @@ FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
 
+NGRAM_JACCARD = """
+WITH RECURSIVE words AS (
+    SELECT doc_id, [x for x in string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x20\\x09-\\x0D]+') if x <> ''] AS w
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, hash(w[i:i + 4]) AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i
+          FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+    SELECT a, b FROM (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+        FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id
+        GROUP BY x.doc_id, y.doc_id)
+    JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+    WHERE 10 * common >= 8 * (p.n + q.n - common)),
+reached AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+classes AS (SELECT a AS doc_id, min(b) AS class_id FROM reached GROUP BY a),
+counts AS (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT doc_id, class_id, coalesce(n_links, 0)::BIGINT AS n_links, doc_id = class_id AS kept
+FROM classes LEFT JOIN counts USING (doc_id)
+"""
+
 _CONTROL = (
     r"(\\*)(\[INST\]|\[/INST\]|<s>|</s>|<<SYS>>|<</SYS>>|\[ROLE\]|\[TEXT\]|\[/ROLE\])"
 )
@@ -101,6 +128,7 @@ FROM placed WHERE sha256[1:2] IN ('00', '01', '02')
 def statements() -> dict[str, str]:
     return {
         "op3_exact_dedup": EXACT_DEDUP,
+        "op5_ngram_jaccard": NGRAM_JACCARD,
         "op6_chat_format": CHAT_FORMAT,
         "op8_warc_audit": WARC_AUDIT,
         "op9_decontamination": DECONTAMINATION,
