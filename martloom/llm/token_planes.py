@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -57,7 +58,7 @@ class PieceTokenizer:
     reaches over white space, so each distinct piece is encoded once and remembered.
     """
 
-    _PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,]?)")
+    _PLAIN = re.compile("[a-zß-öø-ÿ]+")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -65,7 +66,7 @@ class PieceTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.marks = {m: self._whole(m) for m in (".", ",")}
+        self.marks = {m.encode(): self._whole(m) for m in (".", ",")}
         # byte-level models name a byte by a printable character
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in own]
@@ -77,46 +78,62 @@ class PieceTokenizer:
 
     def _forget(self) -> None:
         self.numbers: dict[bytes, int] = {}
-        self.starts: list[int] = []
-        self.lengths: list[int] = []
-        self.flat: list[int] = []
+        self.starts, self.lengths, self.flat = array("q"), array("q"), array("I")
+
+    def _letters(self, piece: bytes) -> str | None:
+        """The byte-level name of a piece of plain lower-case letters, else None."""
+        if piece.isalpha() and piece.islower():
+            return piece.decode()
+        text = piece.decode("utf-8", "replace")
+        plain = self._PLAIN.fullmatch(text)
+        return text.encode().decode("latin-1").translate(self.byte_names) if plain else None
 
     def _learn(self, pieces: set[bytes]) -> None:
         hard = []
+        tokenize, marks = self.model.tokenize, self.marks
         for piece in pieces:
-            plain = self._PLAIN.fullmatch(text := piece.decode("utf-8", "replace"))
-            if plain:
-                letters, mark = plain.groups()
-                named = letters.encode().decode("latin-1").translate(self.byte_names)
-                ids = [token.id for token in self.model.tokenize(named)]
-                self._remember(piece, ids + self.marks[mark] if mark else ids)
-            else:
-                hard.append((piece, text))
-        found = self.tokenizer.encode_batch_fast([t for _, t in hard], add_special_tokens=False)
-        for (piece, _), encoding in zip(hard, found, strict=True):
+            mark = marks.get(piece[-1:])
+            letters = self._letters(piece[:-1] if mark else piece)
+            if letters is None or not letters:
+                hard.append(piece)
+                continue
+            ids = [token.id for token in tokenize(letters)]
+            self._remember(piece, ids + mark if mark else ids)
+        texts = [p.decode("utf-8", "replace") for p in hard]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        for piece, encoding in zip(hard, found, strict=True):
             self._remember(piece, encoding.ids)
 
     def _remember(self, piece: bytes, ids: list[int]) -> None:
         self.numbers[piece] = len(self.starts)
         self.starts.append(len(self.flat))
         self.lengths.append(len(ids))
-        self.flat += ids
+        self.flat.extend(ids)
+
+    def _keep(self, pieces: set[bytes]) -> None:
+        """Forget all but ``pieces``."""
+        kept = [(p, self.numbers[p]) for p in pieces if p in self.numbers]
+        ids = [self.flat[self.starts[n] : self.starts[n] + self.lengths[n]] for _, n in kept]
+        self._forget()
+        for (piece, _), own in zip(kept, ids, strict=True):
+            self._remember(piece, own)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and the number of ids of each text."""
         # "<|" may begin a special token, whose letters must stay as they are
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
         flat = [piece for pieces in split for piece in pieces]
+        distinct = set(flat)
         if len(self.numbers) > _KNOWN_PIECES:
-            self._forget()
-        self._learn(set(flat).difference(self.numbers))
-        numbers = np.array([self.numbers[p] for p in flat], np.int64)
-        lengths = np.array(self.lengths, np.int64)[numbers]
-        starts = np.array(self.starts, np.int64)[numbers]
+            self._keep(distinct)
+        self._learn(distinct.difference(self.numbers))
+        numbers = np.fromiter(map(self.numbers.__getitem__, flat), np.int64, len(flat))
+        lengths = np.frombuffer(self.lengths, np.int64)[numbers] if len(flat) else numbers
+        starts = np.frombuffer(self.starts, np.int64)[numbers] if len(flat) else numbers
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
         at = np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
-        ids = np.array(self.flat, np.uint32)[at]
+        ids = np.frombuffer(self.flat, np.uint32)[at] if total else np.zeros(0, np.uint32)
         pieces = np.cumsum([0] + [len(p) for p in split])
         sums = np.concatenate([[0], ends])
         return ids, np.diff(sums[pieces])

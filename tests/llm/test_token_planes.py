@@ -22,6 +22,7 @@ def hard_texts(seed=2, n=300):
     rng = random.Random(seed)
     letters = "abcXYZ.,'!?-_0129 \t\n\r\x0b\x0céßÄñçŒœ日本語𝄞́̈  ΣςİIıǅﬁ…<|>\\\x1c\x85"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 80))) for _ in range(n)]
+    texts += ["<|x ABC Def, ghi. <|endoftext|>"]
     texts += ["<|endoftext|> a<|startoftext|>b <|ENDOFTEXT|>", "it's don't, 'S. we'll.. x.,y", ""]
     texts += ["é. é.", "Stupid, words. (and) more.", "a" * 5000, "..,,", "word.", "ÄÖ. Straße,"]
     return texts
