@@ -6,6 +6,7 @@ adapter. The plan for FISCAL_YEAR is built from the actuals of PRIOR_YEAR.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import sys
 from collections.abc import Callable
@@ -31,11 +32,13 @@ from martloom.plans import (  # noqa: E402
     views,
     warehouse,
 )
-from martloom.sources import order_lines  # noqa: E402
+from martloom.sinks import exports  # noqa: E402
+from martloom.sources import extracts, order_lines  # noqa: E402
 from martloom.sources.order_lines import ORDER_RULES  # noqa: E402
 
 PRIOR_YEAR = "FY1998-99"
 FISCAL_YEAR = "FY1999-00"
+AS_OF = dt.date(2000, 6, 30)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,7 +104,13 @@ def _built(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
 
 def _stored(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
     """The star schema written to the shared folder and read back."""
-    return warehouse.save(_built(spark, sf_dir), scratch_path(spark, "warehouse"))
+    return _saved(spark, sf_dir, check_grain=False)
+
+
+def _saved(spark: SparkSession, sf_dir: str, check_grain: bool) -> warehouse.Warehouse:
+    folder = scratch_path(spark, "warehouse")
+    warehouse.save(_built(spark, sf_dir), folder, check_grain=check_grain)
+    return warehouse.load(spark, folder)
 
 
 # --- dimensions and fact ------------------------------------------------------------
@@ -175,13 +184,7 @@ def q_extract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_contract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = _stored(spark, sf_dir)
-    detail = views.sales_detail(stored)
-    return contracts.contract_report(
-        stored.tables(),
-        views.monthly_kpi(detail, ORDER_RULES),
-        views.channel_mix(detail, ORDER_RULES),
-        ORDER_RULES,
-    )
+    return contracts.contract_report(stored.tables(), ORDER_RULES, stored.extract_rows)
 
 
 # --- reporting views ----------------------------------------------------------------
@@ -208,6 +211,13 @@ def q_monthly_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.monthly_grain(_sales(spark, sf_dir), categories, ORDER_RULES)
 
 
+def q_monthly_grain_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On a stored warehouse: its grain check has found the ids unique, so bills are rows."""
+    stored = _saved(spark, sf_dir, check_grain=True)
+    detail = views.sales_detail(stored)
+    return views.monthly_grain(detail, rules=ORDER_RULES, unique_ids=stored.unique_ids)
+
+
 def q_season_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.season_rollup(_sales(spark, sf_dir), ORDER_RULES)
 
@@ -269,6 +279,11 @@ def q_rfm_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.by_value(customers.build(_sales(spark, sf_dir), rules=ORDER_RULES))
 
 
+def q_rfm_customers_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments as of a day before the last sale."""
+    return customers.by_value(customers.build(_sales(spark, sf_dir), AS_OF, ORDER_RULES))
+
+
 def q_rfm_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.summary(customers.build(_sales(spark, sf_dir), rules=ORDER_RULES))
 
@@ -299,6 +314,10 @@ def q_revenue_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecasting.fit_predict(_series(spark, sf_dir))
 
 
+def q_revenue_forecast_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forecasting.fit_predict(_series(spark, sf_dir), horizon=12)
+
+
 def q_forecast_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecasting.backtest(_series(spark, sf_dir))
 
@@ -341,7 +360,14 @@ def q_filled_series_by_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_filled_series_to_common_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As above, with every store's series up to the last whole month of all stores."""
+    return forecasting.monthly_series(
+        _sales(spark, sf_dir), ["store_id"], fill_gaps=True, drop_partial_last=True, to_common_end=True
+    )
+
+
+def _run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     gap = _variance(spark, sf_dir)
     return summary.run_summary(
         FISCAL_YEAR,
@@ -351,6 +377,58 @@ def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested summary, written as JSON, read back and laid flat: a row per bridge step."""
+    path = exports.write_json(_run_summary(spark, sf_dir), scratch_path(spark, "summary"))
+    stored = spark.read.json(path)
+    step = F.posexplode("bridge").alias("place", "step")
+    flat = stored.select("fiscal_year", "reconciliation_error_inr", step, "backtest")
+    backtest = [F.col(f"backtest.{name}") for name in summary.BACKTEST_FIELDS]
+    return flat.select(
+        "fiscal_year", "reconciliation_error_inr", "place", "step.step", "step.value",
+        "step.kind", *backtest,
+    )
+
+
+# --- files --------------------------------------------------------------------------
+
+
+def _as_csv(table: DataFrame, label: str) -> str:
+    return exports.write_csv(table, scratch_path(table.sparkSession, label))
+
+
+def q_csv_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines written as an extract and read with its declared schema."""
+    return extracts.read_transactions(spark, _as_csv(_transactions(spark, sf_dir), "tx"))
+
+
+def q_csv_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stores = order_lines.read_stores(spark, sf_dir)
+    return extracts.read_stores(spark, _as_csv(stores, "stores"))
+
+
+def q_csv_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracts.read_budget(spark, _as_csv(_plan(spark, sf_dir), "budget"))
+
+
+def _exported(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the exported extracts, read back with the types it was written with."""
+    stored = _stored(spark, sf_dir)
+    detail = views.sales_detail(stored)
+    folder = scratch_path(spark, "export")
+    exports.export_extracts(detail, folder, ORDER_RULES)
+    return spark.read.option("header", True).option("inferSchema", True).csv(f"{folder}/{name}")
+
+
+def q_exported_channel_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _exported(spark, sf_dir, "v_channel_mix").withColumn("customers", F.col("customers").cast("bigint"))
+
+
+def q_exported_monthly_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grain = _exported(spark, sf_dir, "fact_monthly_grain")
+    return grain.withColumns({c: F.col(c).cast("bigint") for c in ("bills", "units")})
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Monthly KPIs on the smallest test tables."""
     return queries()["monthly_kpi"](spark, "/root/testdata/sf0.001")
@@ -367,5 +445,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    checks = martloom_sql.statements(FISCAL_YEAR, PRIOR_YEAR)
+    checks = martloom_sql.statements(FISCAL_YEAR, PRIOR_YEAR, AS_OF)
     return checks | (llm.oracle_sql() if llm else {})

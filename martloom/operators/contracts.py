@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.functions import calendar as cal
+from martloom.functions.rounding import half_up, percent
+from martloom.operators.scratch import materialize
 from martloom.rules import DEFAULT_RULES, Rules
 from martloom.schemas import BUDGET, DIM_DATE_COLUMNS, FACT_COLUMNS, TRANSACTIONS
 
@@ -64,21 +66,47 @@ def extract_checks(transactions: DataFrame) -> DataFrame:
     return _line_report(transactions, "transactions", TRANSACTIONS.names)
 
 
-def line_checks(fact: DataFrame) -> DataFrame:
-    """NOT NULL and domain rules of the fact, all in one pass over it."""
-    return _line_report(fact, "fact_sales", FACT_COLUMNS)
+def _line_rules(table: str, required: list[str]) -> dict[str, Column]:
+    """What must not hold for any line."""
+    share = F.col("discount_pct")
+    rules = {f"{table}.{c} is null": F.col(c).isNull() for c in required}
+    return rules | {
+        f"{table}.quantity <= 0": F.col("quantity") <= 0,
+        f"{table}.unit_price <= 0": F.col("unit_price") <= 0,
+        f"{table}.discount_pct outside [0, 1)": (share < 0) | (share >= 1),
+        f"{table}.net_amount <= 0": F.col("net_amount") <= 0,
+    }
 
 
 def _line_report(lines: DataFrame, table: str, required: list[str]) -> DataFrame:
-    share = F.col("discount_pct")
-    checks = {f"{table}.{c} is null": _rows_where(F.col(c).isNull()) for c in required}
-    checks |= {
-        f"{table}.quantity <= 0": _rows_where(F.col("quantity") <= 0),
-        f"{table}.unit_price <= 0": _rows_where(F.col("unit_price") <= 0),
-        f"{table}.discount_pct outside [0, 1)": _rows_where((share < 0) | (share >= 1)),
-        f"{table}.net_amount <= 0": _rows_where(F.col("net_amount") <= 0),
-    }
-    return _report(lines, checks)
+    rules = _line_rules(table, required)
+    return _report(lines, {name: _rows_where(bad) for name, bad in rules.items()})
+
+
+STAR_KEYS = ["date_key", "store_id", "category_id", "channel_id"]
+
+
+def star_cells(fact: DataFrame) -> DataFrame:
+    """One pass over the fact: rows, revenue and broken line rules per day, store, category and
+    channel. All checks but those on ids and customers follow from it."""
+    rules = _line_rules("fact_sales", FACT_COLUMNS)
+    return fact.groupBy(*STAR_KEYS).agg(
+        F.count("*").alias("rows"),
+        F.sum("net_amount").alias("revenue"),
+        *[_rows_where(bad).alias(name) for name, bad in rules.items()],
+    )
+
+
+def line_checks(star: DataFrame) -> DataFrame:
+    """NOT NULL and domain rules of the fact, from its :func:`star_cells`."""
+    rules = _line_rules("fact_sales", FACT_COLUMNS)
+    return _report(star, {name: F.sum(F.col(f"`{name}`")) for name in rules})
+
+
+def completeness_check(star: DataFrame, extract_rows: int) -> DataFrame:
+    """Lines of the extract that found no key and are not in the fact."""
+    lost = F.lit(extract_rows) - F.coalesce(F.sum("rows"), F.lit(0))
+    return _report(star, {"transactions not in fact_sales": lost})
 
 
 def grain_check(fact: DataFrame) -> DataFrame:
@@ -87,15 +115,18 @@ def grain_check(fact: DataFrame) -> DataFrame:
     return _report(fact, {"fact_sales.transaction_id repeats": repeats})
 
 
-def orphan_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Fact rows whose key is missing in a dimension, per foreign key."""
-    fact = tables["fact_sales"]
+def orphan_checks(tables: Mapping[str, DataFrame], star: DataFrame | None = None) -> DataFrame:
+    """Fact rows whose key is missing in a dimension, per foreign key.
+
+    Rows are counted per key before the join: a dimension meets each key once, however many
+    lines a hot key has. The small keys are counted over ``star``.
+    """
+    star = star_cells(tables["fact_sales"]) if star is None else star
+    buyers = tables["fact_sales"].groupBy("customer_id").agg(F.count("*").alias("rows"))
     orphans = []
     for key, dim in FOREIGN_KEYS.items():
-        # Count per key before the join: the dimension meets each key once, however many
-        # lines a hot key has.
-        used = fact.groupBy(key).agg(F.count("*").alias("rows"))
-        missing = used.join(tables[dim].select(key), key, "left_anti")
+        counted = buyers if key == "customer_id" else star.groupBy(key).agg(F.sum("rows").alias("rows"))
+        missing = counted.join(tables[dim].select(key), key, "left_anti")
         orphans.append(_report(missing, {f"fact_sales.{key} not in {dim}": F.sum("rows")}))
     return reduce(DataFrame.unionByName, orphans)
 
@@ -132,18 +163,27 @@ def budget_checks(budget: DataFrame) -> DataFrame:
 
 
 def tie_out_checks(
-    fact: DataFrame, kpi: DataFrame, mix: DataFrame, tolerance: float = 1.0
+    tables: Mapping[str, DataFrame], star: DataFrame, tolerance: float = 1.0
 ) -> DataFrame:
-    """View revenue against the fact, and channel shares against 100 percent per year."""
-    both = fact.agg(F.sum("net_amount").alias("fact")).withColumn(
-        "view", kpi.agg(F.sum("revenue")).scalar()
+    """Revenue of the star join against the fact, and channel shares against 100 percent per
+    year. Cells of the fact are joined, not its lines."""
+    joined = (
+        star.join(tables["dim_date"].select("date_key", "fiscal_year"), "date_key")
+        .join(tables["dim_store"].select("store_id"), "store_id")
+        .join(tables["dim_category"].select("category_id"), "category_id")
+        .join(tables["dim_channel"].select("channel_id", "channel"), "channel_id")
     )
-    gap = F.abs(F.col("fact") - F.col("view")) > tolerance
+    both = star.agg(F.sum("revenue").alias("fact")).withColumn(
+        "view", joined.agg(F.sum("revenue")).scalar()
+    )
+    gap = F.abs(F.col("fact") - F.coalesce("view", F.lit(0))) > tolerance
     revenue = _report(both, {"monthly_kpi revenue differs from fact_sales": _rows_where(gap)})
-    years = mix.groupBy("fiscal_year").agg(F.sum("pct_of_revenue").alias("share"))
+    mix = joined.groupBy("fiscal_year", "channel").agg(F.sum("revenue").alias("revenue"))
+    total = F.sum("revenue").over(Window.partitionBy("fiscal_year"))  # a year's channels
+    shares = mix.withColumn("share", half_up(percent(F.col("revenue"), total)))
+    years = shares.groupBy("fiscal_year").agg(F.sum("share").alias("share"))
     off = F.abs(F.col("share") - 100) >= 0.1
-    shares = _report(years, {"channel_mix shares do not add to 100": _rows_where(off)})
-    return revenue.unionByName(shares)
+    return revenue.unionByName(_report(years, {"channel_mix shares do not add to 100": _rows_where(off)}))
 
 
 def calendar_checks(dim_date: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -157,19 +197,25 @@ def calendar_checks(dim_date: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFr
 
 def contract_report(
     tables: Mapping[str, DataFrame],
-    kpi: DataFrame,
-    mix: DataFrame,
     rules: Rules = DEFAULT_RULES,
+    extract_rows: int | None = None,
 ) -> DataFrame:
-    """All checks: ``(check, violations)``. A sound warehouse shows zero everywhere."""
+    """All checks: ``(check, violations)``. A sound warehouse shows zero everywhere.
+
+    The fact is read three times: for its cells, for its ids and for its customers.
+    ``extract_rows`` adds the check for lines lost on the way from the extract.
+    """
     fact = tables["fact_sales"]
+    star = materialize(star_cells(fact), "cells")
     parts = [
-        line_checks(fact),
+        line_checks(star),
         grain_check(fact),
-        orphan_checks(tables),
+        orphan_checks(tables, star),
         table_checks(tables),
         budget_checks(tables["budget"]),
-        tie_out_checks(fact, kpi, mix),
+        tie_out_checks(tables, star),
         calendar_checks(tables["dim_date"], rules),
     ]
+    if extract_rows is not None:
+        parts.append(completeness_check(star, extract_rows))
     return reduce(DataFrame.unionByName, parts)

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.functions import calendar as cal
 from martloom.operators.median import exact_median, histogram
-from martloom.operators.ranking import with_global_ranks
 from martloom.operators.scratch import materialize
 from martloom.rules import DEFAULT_RULES, Rules
 from martloom.schemas import DIM_DATE_COLUMNS, DIM_STORE_COLUMNS
@@ -62,10 +61,12 @@ def dim_store(stores: DataFrame) -> DataFrame:
 
 
 def with_surrogate_key(names: DataFrame, name: str, key: str) -> DataFrame:
-    """Number distinct names 1..n in sorted order. The result is a written table, so that
-    joins with the fact know its true size."""
-    ranked = with_global_ranks(materialize(names, "names"), {key: [F.col(name)]})
-    return materialize(ranked.withColumn(key, F.col(key).cast("int")).drop("total"), name)
+    """Number distinct names 1..n in sorted order, for dimensions of a few thousand names: one
+    task sorts them. A missing name gets no key; the contracts report such lines. The result is
+    a written table, so that joins with the fact know its true size."""
+    number = F.row_number().over(Window.orderBy(name))
+    named = names.where(F.col(name).isNotNull())
+    return materialize(named.withColumn(key, number), name)
 
 
 def dim_category(

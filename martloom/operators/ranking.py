@@ -1,9 +1,8 @@
 """Exact global ranks, quintiles and n-tiles at any size.
 
-A window without partition keys sends every row through one task, which is right only for
-a small table. Above a checked size the rows are range sorted across the cluster instead:
-each row notes the partition and position it landed on, and the partition sizes (one row
-per partition) turn positions into ranks.
+A window without partition keys sends every row through one task. Here the rows are range
+sorted across the cluster instead: each row notes the partition and position it landed on,
+and the partition sizes (one row per partition) turn positions into ranks.
 """
 
 from __future__ import annotations
@@ -15,28 +14,17 @@ from pyspark.sql import functions as F
 
 from martloom.operators.scratch import materialize
 
-ONE_TASK_ROWS = 100_000
-
 _POSITION_BITS = 33  # monotonically_increasing_id: partition above, row position below
 
 
 def with_global_ranks(
-    table: DataFrame,
-    orders: Mapping[str, Sequence[Column]],
-    total: str = "total",
-    one_task_rows: int = ONE_TASK_ROWS,
+    table: DataFrame, orders: Mapping[str, Sequence[Column]], total: str = "total"
 ) -> DataFrame:
     """Add a 1-based rank column per entry of ``orders``, and the row count as ``total``.
 
     Each order must end in a unique key, so that ranks are defined for ties as well.
-    ``table`` is counted first: pass a written table, as computing it twice would cost more.
+    ``table`` is read by the sort and by its sampling: pass a written table.
     """
-    if table.limit(one_task_rows + 1).count() <= one_task_rows:
-        ranks = {
-            name: F.row_number().over(Window.orderBy(*order)).cast("bigint")
-            for name, order in orders.items()
-        }
-        return table.withColumns(ranks | {total: F.count("*").over(Window.partitionBy())})
     for name, order in orders.items():
         table = _rank_by_range_sort(table.drop(total), order, name, total)
     return table

@@ -100,7 +100,8 @@ def build(
     else:
         today = history.agg(F.lit(as_of).alias("_as_of"))
     gaps = attach(history, today).select(_gap_days().alias("gap"))
-    usual = exact_median(histogram(gaps, "gap"), "gap", out="_usual_gap")
+    gaps = materialize(histogram(gaps, "gap"), "gaps")
+    usual = materialize(exact_median(gaps, "gap", out="_usual_gap"), "usual_gap")
     return (
         attach(attach(with_scores(history), today), usual)
         .withColumns(
@@ -163,6 +164,12 @@ def by_revenue_share(segments: DataFrame) -> DataFrame:
     return segments.orderBy("pct_of_revenue", "segment")
 
 
-def run(detail: DataFrame, rules: Rules = DEFAULT_RULES) -> SegmentRun:
-    customers = build(detail, rules=rules)
+def run(
+    detail: DataFrame,
+    as_of: dt.date | None = None,
+    rules: Rules = DEFAULT_RULES,
+    unique_ids: bool = False,
+) -> SegmentRun:
+    """Customers are written once and serve both results."""
+    customers = materialize(build(detail, as_of, rules, unique_ids), "customers")
     return SegmentRun(by_value(customers), summary(customers))

@@ -33,9 +33,12 @@ def monthly_series(
     keys: Sequence[str] = (),
     fill_gaps: bool = False,
     drop_partial_last: bool = False,
+    to_common_end: bool = False,
 ) -> DataFrame:
-    """Revenue per month. ``fill_gaps`` adds months without sales as zero;
-    ``drop_partial_last`` leaves out a last month that stops before its final day."""
+    """Revenue per month. ``fill_gaps`` adds months without sales as zero, up to each key's own
+    last month, or with ``to_common_end`` to the last month of all keys, so that a store that
+    closed is not projected from its last sale; ``drop_partial_last`` leaves out a last month
+    that stops before its final day."""
     keys = list(keys)
     series = detail.groupBy(*keys, cal.month_start(F.col("date_key")).alias("period")).agg(
         F.sum("net_amount").alias("revenue"), F.max("date_key").alias("_latest")
@@ -48,7 +51,13 @@ def monthly_series(
     series = series.select(*keys, "period", "revenue")
     if fill_gaps:
         months = F.sequence(F.min("period"), F.max("period"), F.expr("interval 1 month"))
-        spans = series.groupBy(*keys).agg(months.alias("months"))
+        if to_common_end:
+            last = series.groupBy().agg(F.max("period").alias("_end"))
+            starts = attach(series.groupBy(*keys).agg(F.min("period").alias("_start")), last)
+            months = F.sequence("_start", "_end", F.expr("interval 1 month"))
+            spans = starts.select(*keys, months.alias("months"))
+        else:
+            spans = series.groupBy(*keys).agg(months.alias("months"))
         every = spans.select(*keys, F.explode("months").alias("period"))
         series = every.join(series, [*keys, "period"], "left").na.fill(0, ["revenue"])
     return series
@@ -154,7 +163,9 @@ def backtest(
     """Train without the last ``holdout`` months and compare with the same month last year.
 
     One row per series. Too short a series gets a status instead of numbers. Months with zero
-    revenue have no percentage error and are left out.
+    revenue have no percentage error and are left out. ``model_months`` and ``naive_months``
+    count the months behind each of the two rates. If the model has no forecast for a month
+    that has an error, its rate is NULL and the status says so.
     """
     keys = list(keys)
     latest_first = Window.partitionBy(*keys).orderBy(F.desc("period"))
@@ -177,13 +188,17 @@ def backtest(
         F.add_months("period", 12).alias("period"),
         F.col("revenue").cast("double").alias("_naive"),
     )
+    due = F.count_if(F.col("_actual") != 0)
     errors = (
-        test.join(predicted, [*keys, "step"])
+        test.join(predicted, [*keys, "step"], "left")
         .join(year_ago, [*keys, "period"], "left")
         .groupBy(*keys)
         .agg(
-            _mape(F.col("forecast")).alias("_model"),
+            F.when(due == _months("forecast"), _mape(F.col("forecast"))).alias("_model"),
             _mape(F.col("_naive")).alias("_base"),
+            _months("forecast").alias("model_months"),
+            _months("_naive").alias("naive_months"),
+            (due == _months("forecast")).alias("_whole"),
             F.count("*").alias("_tested"),
         )
         .where("_tested > 0")  # without keys there is a row even if no series was tested
@@ -191,12 +206,16 @@ def backtest(
     model, base = F.col("_model"), F.col("_base")
     scored = errors.select(
         *keys,
-        F.lit(r.STATUS_OK).alias("status"),
+        F.when(F.col("_whole"), r.STATUS_OK).otherwise(r.STATUS_NO_FORECAST).alias("status"),
         F.lit(holdout).alias("holdout_months"),
+        "model_months",
+        "naive_months",
         half_even(model).alias("model_mape_pct"),
         half_even(base).alias("seasonal_naive_mape_pct"),
         half_even(base - model).alias("improvement_pct_points"),
-        F.when(model < base, r.VERDICT_MODEL).otherwise(r.VERDICT_NAIVE).alias("verdict"),
+        F.when(model < base, r.VERDICT_MODEL)
+        .when(F.col("_whole"), r.VERDICT_NAIVE)
+        .alias("verdict"),
     )
     too_short = (
         placed.groupBy(*keys)
@@ -207,6 +226,10 @@ def backtest(
     return scored.unionByName(too_short, allowMissingColumns=True)
 
 
+def _months(guess: str) -> Column:
+    return F.count_if((F.col("_actual") != 0) & F.col(guess).isNotNull())
+
+
 def _mape(guess: Column) -> Column:
     actual = F.col("_actual")
     return F.avg(F.abs(ratio(actual - guess, actual))) * 100.0

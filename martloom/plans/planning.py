@@ -35,7 +35,7 @@ def build_plan(
         in_fiscal_year(detail, prior_year, rules)
         .groupBy(*keys, F.month("date_key").alias("month"), "category")
         .agg(
-            half_even(units * F.lit(uplift), 0).cast("int").alias("budget_qty"),
+            half_even(units * F.lit(uplift), 0).cast("bigint").alias("budget_qty"),
             half_even(ratio(revenue, units), 2).alias("price"),
         )
         .select(

@@ -1,13 +1,10 @@
 """Price / volume / mix variance against the plan.
 
-For each category with quantity Q, price P and unit share m (a: actual, b: budget)::
-
-    price  = Qa * (Pa - Pb)
-    volume = Pb * mb * (sum Qa - sum Qb)
-    mix    = Pb * sum Qa * (ma - mb)
-
-and the three add up to actual minus budget revenue. ``keys`` runs one decomposition per
-store, region or any other column set, all in the same plan.
+The gap to the plan has three parts. Price: the units sold, each at the difference of the two
+average prices. Volume: the extra units of the whole business, spread as planned and at planned
+prices. Mix: all units sold, by how far their split over the categories moved, at planned
+prices. They add up to actual minus budget revenue. ``keys`` runs one decomposition
+per store, region or any other column set, all in the same plan.
 """
 
 from __future__ import annotations

@@ -198,7 +198,8 @@ def season_rollup(detail: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
 
 
 def register(warehouse: Warehouse, rules: Rules = DEFAULT_RULES) -> list[str]:
-    """Make the tables and views known to ``spark.sql`` under their usual names.
+    """Make the tables and views known to ``spark.sql`` under their usual names. Bills are rows
+    where the warehouse's grain check has found its ids unique.
 
     The concentration view ranks all customers and is computed here, once; the others are
     planned anew by each statement that reads them.
@@ -206,7 +207,7 @@ def register(warehouse: Warehouse, rules: Rules = DEFAULT_RULES) -> list[str]:
     detail = sales_detail(warehouse)
     frames = warehouse.tables() | {
         "v_sales_detail": detail,
-        "v_monthly_kpi": monthly_kpi(detail, rules),
+        "v_monthly_kpi": monthly_kpi(detail, rules, warehouse.unique_ids),
         "v_channel_mix": channel_mix(detail, rules),
         "v_customer_concentration": customer_concentration(detail),
     }

@@ -1,23 +1,40 @@
-"""Star schema: built from extracts, stored as Parquet, read back by the analyses."""
+"""Star schema: built from extracts, stored as Parquet, read back by the analyses.
+
+A stored warehouse is a folder of versions. A refresh writes a whole new version and then adds
+a row to ``versions``, so a refresh that stops half-way changes nothing for readers: they take
+the last version named there. Older versions stay until someone removes their folders.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields, replace
+import uuid
+from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom import schemas
 from martloom.functions import calendar as cal
+from martloom.operators import contracts
 from martloom.operators import dimensions as dims
 from martloom.operators.facts import fact_sales
 from martloom.operators.scratch import materialize
 from martloom.rules import DEFAULT_RULES, Rules
 from martloom.sources import extracts
 
+TABLES = [
+    "dim_date", "dim_store", "dim_category", "dim_channel", "dim_customer", "fact_sales", "budget",
+]
+
+VERSIONS = "number int, version string, unique_ids boolean, extract_rows bigint"
+
 
 @dataclass(frozen=True)
 class Warehouse:
+    """``unique_ids`` is what the grain check of a stored fact has found; ``extract_rows`` the
+    number of lines in the extract it was built from, where that is known."""
+
     dim_date: DataFrame
     dim_store: DataFrame
     dim_category: DataFrame
@@ -25,9 +42,13 @@ class Warehouse:
     dim_customer: DataFrame
     fact_sales: DataFrame
     budget: DataFrame
+    unique_ids: bool = False
+    extract_rows: int | None = None
+    number: int | None = None
+    version: str | None = None
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {name: getattr(self, name) for name in TABLES}
 
 
 def build(
@@ -47,6 +68,7 @@ def build(
     prices = profile.where(~F.col("is_channel") & F.col("unit_price").isNotNull())
     categories = dims.category_table(prices, rules)
     channels = dims.dim_channel(profile.where("is_channel"), rules)
+    lines = profile.where("is_channel").agg(F.sum("rows")).first()[0]
     return Warehouse(
         dim_date=dims.date_table(span, rules),
         dim_store=materialize(dims.dim_store(stores), "stores"),
@@ -55,6 +77,7 @@ def build(
         dim_customer=dims.dim_customer(transactions),
         fact_sales=fact_sales(transactions, categories, channels),
         budget=budget.select(*schemas.BUDGET.names),
+        extract_rows=lines or 0,
     )
 
 
@@ -67,20 +90,52 @@ def build_from_csv(spark: SparkSession, data_dir: str, rules: Rules = DEFAULT_RU
     )
 
 
-def save(warehouse: Warehouse, out_dir: str, fmt: str = "parquet") -> Warehouse:
-    """Full refresh of every table; returns the stored warehouse.
+def save(
+    warehouse: Warehouse,
+    out_dir: str,
+    fmt: str = "parquet",
+    check_grain: bool = True,
+    make_current: bool = True,
+) -> Warehouse:
+    """Full refresh into a new version; returns the stored warehouse.
 
-    The fact goes first, so that customers are summed from four of its stored columns
-    and not from the extracts again.
+    Customers are those of the extracts. ``check_grain`` counts repeated transaction ids once;
+    where there are none, the stored warehouse lets views count rows instead of distinct ids.
+    Without ``make_current`` readers keep the version they had until :func:`publish`.
     """
     if fmt not in ("parquet", "delta"):
         raise ValueError(f"unknown table format: {fmt}")
-    fact = _write(warehouse.fact_sales, "fact_sales", out_dir, fmt)
-    customers = dims.dim_customer(fact.withColumnRenamed("date_key", "transaction_date"))
-    rest = replace(warehouse, dim_customer=customers).tables()
-    del rest["fact_sales"]
-    stored = {name: _write(table, name, out_dir, fmt) for name, table in rest.items()}
-    return Warehouse(fact_sales=fact, **stored)
+    spark = warehouse.fact_sales.sparkSession
+    known = _versions(spark, out_dir)
+    number = known.agg(F.max("number")).first()[0] + 1 if known is not None else 1
+    version = f"v{number:06d}-{uuid.uuid4().hex}"
+    stored = {
+        name: _write(table, name, f"{out_dir}/{version}", fmt)
+        for name, table in warehouse.tables().items()
+    }
+    unique = check_grain and contracts.grain_check(stored["fact_sales"]).first().violations == 0
+    whole = Warehouse(**stored, unique_ids=unique, extract_rows=warehouse.extract_rows,
+                      number=number, version=version)
+    if make_current:
+        publish(whole, out_dir)
+    return whole
+
+
+def publish(stored: Warehouse, out_dir: str) -> None:
+    """Make a saved version the current one."""
+    row = [(stored.number, stored.version, stored.unique_ids, stored.extract_rows)]
+    named = stored.fact_sales.sparkSession.createDataFrame(row, VERSIONS).coalesce(1)
+    named.write.mode("append").parquet(f"{out_dir}/versions")
+
+
+def _versions(spark: SparkSession, out_dir: str) -> DataFrame | None:
+    """The versions written whole; None if nothing was ever stored here."""
+    try:
+        return spark.read.schema(VERSIONS).parquet(f"{out_dir}/versions")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def _write(table: DataFrame, name: str, out_dir: str, fmt: str) -> DataFrame:
@@ -104,10 +159,16 @@ def _write(table: DataFrame, name: str, out_dir: str, fmt: str) -> DataFrame:
     return reader.load(path)
 
 
-def load(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> Warehouse:
+def load(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> Warehouse | None:
+    """The last whole version, or None if there is none."""
+    known = _versions(spark, out_dir)
+    last = known.orderBy(F.desc("number"), "version").first() if known is not None else None
+    if last is None:
+        return None
     reader = spark.read.format(fmt)
-    tables = {f.name: reader.load(f"{out_dir}/{f.name}") for f in fields(Warehouse)}
-    return Warehouse(**tables)
+    tables = {name: reader.load(f"{out_dir}/{last.version}/{name}") for name in TABLES}
+    return Warehouse(**tables, unique_ids=last.unique_ids, extract_rows=last.extract_rows,
+                     number=last.number, version=last.version)
 
 
 def load_totals(fact: DataFrame) -> DataFrame:

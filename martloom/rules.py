@@ -46,6 +46,7 @@ VERDICT_MODEL = "model beats seasonal naive"
 VERDICT_NAIVE = "seasonal naive is as good or better - prefer it"
 STATUS_TOO_SHORT = "insufficient history for an honest backtest"
 STATUS_OK = "ok"
+STATUS_NO_FORECAST = "a held-out month has no forecast"
 
 SEASON_LENGTH = 12
 HORIZON_MONTHS = 6

@@ -36,7 +36,7 @@ BUDGET = _schema(
     ("fiscal_year", T.StringType()),
     ("month", T.IntegerType()),
     ("category", T.StringType()),
-    ("budget_qty", T.IntegerType()),
+    ("budget_qty", T.LongType()),
     ("budget_price", MONEY),
     ("budget_revenue", MONEY),
 )

@@ -11,7 +11,8 @@ EXTRACTS = ["v_monthly_kpi", "v_channel_mix", "v_customer_concentration", "fact_
 
 
 def write_csv(df: DataFrame, path: str, one_file: bool = False) -> str:
-    """``one_file`` is for reports of a few rows; it must not be used on per-customer data."""
+    """``one_file`` is for reports whose rows are months, channels, deciles or segments; any
+    other result stays in as many files as it has partitions."""
     out = df.coalesce(1) if one_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
     return path
@@ -22,13 +23,15 @@ def write_json(df: DataFrame, path: str) -> str:
     return path
 
 
-def export_extracts(detail: DataFrame, out_dir: str, rules: Rules = DEFAULT_RULES) -> list[str]:
+def export_extracts(
+    detail: DataFrame, out_dir: str, rules: Rules = DEFAULT_RULES, unique_ids: bool = False
+) -> list[str]:
     """The three aggregate views and the monthly grain, for BI tools to import as they are."""
     frames = [
-        views.monthly_kpi(detail, rules).orderBy("year", "month"),
+        views.monthly_kpi(detail, rules, unique_ids).orderBy("year", "month"),
         views.channel_mix(detail, rules).orderBy("fiscal_year", "channel"),
         views.customer_concentration(detail),
-        views.monthly_grain(detail, rules=rules),
+        views.monthly_grain(detail, rules=rules, unique_ids=unique_ids),
     ]
     small = [True, True, True, False]
     return [

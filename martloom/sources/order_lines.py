@@ -3,24 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from martloom.rules import Rules
 
-# Fixed values of this adapter: gross margin in percent by part type.
-MARGIN_PCT_BY_TYPE = {
-    "ECONOMY": 41,
-    "LARGE": 24,
-    "MEDIUM": 34,
-    "PROMO": 31,
-    "SMALL": 46,
-    "STANDARD": 38,
-}
-
 # Order priorities play the channels; these two count as physical. Median prices lie
 # close together, so the band thresholds are narrower than the retail defaults.
 ORDER_RULES = Rules(
@@ -28,31 +16,23 @@ ORDER_RULES = Rules(
 )
 
 
-@cache
-def _schema(spark: SparkSession, path: str) -> T.StructType:
-    """Each footer is read once per session, not by a job per query."""
-    return spark.read.parquet(path).schema
-
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    return spark.read.schema(_schema(spark, path)).parquet(path)
-
+# Declared, so that no query spends a job on reading footers.
+TABLES = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz,"
+    " o_orderpriority string",
+    "part": "p_partkey bigint, p_type string, p_size int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+}
 
-def _spread(df: DataFrame, *by: str) -> DataFrame:
-    """Give a small or unsplittable input a task per core.
+# A part's unit cost in percent of its net price: this much, and one more per unit of size.
+BASE_COST_PCT = 40
 
-    Spark cuts files down to 4 MB to occupy all cores. Fewer scan tasks than cores thus mean
-    at most 4 MB per core in total, and moving those rows costs little next to leaving the
-    cores idle. Larger inputs are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
 
-
-def _margin_pct(part_type: Column) -> Column:
-    pairs = [F.lit(v) for pair in MARGIN_PCT_BY_TYPE.items() for v in pair]
-    return F.element_at(F.create_map(*pairs), part_type)
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _scaled(units: Column, digits: int, kind: str) -> Column:
@@ -76,9 +56,9 @@ def read_transactions(
 
     ``since`` (inclusive) and ``until`` (exclusive) reach the scan of ``orders``.
     """
-    lines = _spread(_table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
+    lines = _table(spark, sf_dir, "lineitem")
     orders = _table(spark, sf_dir, "orders")
-    parts = _table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    parts = _table(spark, sf_dir, "part")
     if since is not None:
         orders = orders.where(F.col("o_orderdate") >= F.lit(since))
     if until is not None:
@@ -91,7 +71,7 @@ def read_transactions(
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
     )
-    net, cost_pct = F.col("net_cents"), 100 - _margin_pct(F.col("p_type"))
+    net, cost_pct = F.col("net_cents"), F.col("p_size") + BASE_COST_PCT
     shipped = F.col("l_shipdate").cast("date")
     unit_cents = F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100 + 0.5)
     return priced.select(

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from martloom import rules as r
-from martloom.sources.order_lines import MARGIN_PCT_BY_TYPE, ORDER_RULES
+from martloom.sources.order_lines import BASE_COST_PCT, ORDER_RULES
 
 
 def half_up(x: str, digits: int = 2) -> str:
@@ -24,11 +26,8 @@ def div(top: str, bottom: str) -> str:
     return f"({dbl(top)} / nullif({dbl(bottom)}, 0))"
 
 
-def _case(on: str, pairs: dict, quote: bool) -> str:
-    arms = " ".join(
-        f"WHEN {on} = " + (f"'{k}' THEN {v}" if not quote else f"{k} THEN '{v}'")
-        for k, v in pairs.items()
-    )
+def _case(on: str, names: dict) -> str:
+    arms = " ".join(f"WHEN {on} = {k} THEN '{v}'" for k, v in names.items())
     return f"CASE {arms} END"
 
 
@@ -44,7 +43,7 @@ def _labels(day: str) -> str:
         CAST(CASE WHEN isodow({day}) >= 6 THEN 1 ELSE 0 END AS INTEGER) AS is_weekend,
         'FY' || {fy} || '-' || lpad(CAST(({fy} + 1) % 100 AS VARCHAR), 2, '0') AS fiscal_year,
         CAST(((month({day}) - 4) % 12 + 12) % 12 + 1 AS INTEGER) AS fiscal_month,
-        {_case(f"month({day})", r.SEASON_BY_MONTH, True)} AS season"""
+        {_case(f"month({day})", r.SEASON_BY_MONTH)} AS season"""
 
 
 _PHYSICAL = ", ".join(f"'{c}'" for c in ORDER_RULES.physical_channels)
@@ -52,7 +51,7 @@ _PHYSICAL = ", ".join(f"'{c}'" for c in ORDER_RULES.physical_channels)
 # The transactions, stores and star schema every statement starts from.
 BASE = f"""
 tx AS (
-    SELECT *, CAST(round(net_amount * (1 - margin), 2) AS DECIMAL(18,2)) AS cogs FROM (
+    SELECT *, CAST(round(net_amount * cost, 2) AS DECIMAL(18,2)) AS cogs FROM (
         SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
                          strftime(l_shipdate, '%Y%m%d')) AS transaction_id,
                CAST(o_orderdate AS DATE) AS date_key,
@@ -64,8 +63,7 @@ tx AS (
                CAST(abs(l_discount) AS DECIMAL(5,4)) AS discount_pct,
                CAST(round(CAST(l_extendedprice AS DECIMAL(18,2))
                     * (1 - CAST(l_discount AS DECIMAL(5,2))), 2) AS DECIMAL(18,2)) AS net_amount,
-               CAST({_case("p_type", MARGIN_PCT_BY_TYPE, False)} AS DECIMAL(5,2))
-                   * CAST(0.01 AS DECIMAL(3,2)) AS margin
+               CAST({BASE_COST_PCT} + p_size AS DECIMAL(5,2)) * CAST(0.01 AS DECIMAL(3,2)) AS cost
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
                       JOIN part ON l_partkey = p_partkey)
 ),
@@ -155,7 +153,7 @@ def _plan(prior: str, year: str, keys: str = "") -> str:
 planned AS (
     SELECT *, CAST({half_even("budget_qty * price")} AS DECIMAL(18,2)) AS budget_revenue FROM (
         SELECT {keys} '{year}' AS fiscal_year, month, category,
-               CAST({half_even(f"{units} * CAST({r.PLAN_UPLIFT} AS DOUBLE)", 0)} AS INTEGER)
+               CAST({half_even(f"{units} * CAST({r.PLAN_UPLIFT} AS DOUBLE)", 0)} AS BIGINT)
                    AS budget_qty, {price} AS price
         FROM detail WHERE fiscal_year = '{prior}' GROUP BY {keys} month, category)
 )"""
@@ -234,7 +232,8 @@ def _score(order: str) -> str:
     return f"CAST(greatest(1, (5 * ({rank} - 1) + (n - 2)) // greatest(n - 1, 1)) AS INTEGER)"
 
 
-_RFM = f""",
+def _rfm(as_of: str = "max(last_purchase) OVER ()") -> str:
+    return f""",
 history AS (
     SELECT customer_id, max(date_key) AS last_purchase, min(date_key) AS first_purchase,
            count(DISTINCT transaction_id) AS frequency, sum(net_amount) AS monetary
@@ -244,7 +243,7 @@ paced AS (
     SELECT *, CAST(as_of - last_purchase AS INTEGER) AS recency_days,
            CAST(as_of - first_purchase AS INTEGER) AS tenure_days,
            {div("as_of - first_purchase", "frequency - 1")} AS avg_gap_days
-    FROM (SELECT *, max(last_purchase) OVER () AS as_of, count(*) OVER () AS n FROM history)
+    FROM (SELECT *, {as_of} AS as_of, count(*) OVER () AS n FROM history)
 ),
 usual AS (
     SELECT avg(avg_gap_days) AS gap
@@ -358,6 +357,7 @@ def _backtest(holdout: int, keys: str = "") -> str:
     by = keys.rstrip(", ")
     part = f"PARTITION BY {by}" if keys else ""
     mape = lambda x: f"avg(abs(({x})) ) * 100.0"
+    seen = lambda x: f"count({x}) FILTER (actual <> 0)"
     error = lambda guess: f"(actual - {guess}) / nullif(actual, 0)"
     return f"""{_series(keys)},
 placed AS (
@@ -372,20 +372,27 @@ test AS (SELECT {keys} period, actual, {holdout} + 1 - back AS step FROM placed
 year_ago AS (SELECT {keys} CAST(period + INTERVAL 12 MONTH AS DATE) AS period,
                     {dbl("revenue")} AS naive FROM series),
 errors AS (
-    SELECT {keys} {mape(error("forecast"))} AS model, {mape(error("naive"))} AS base,
-           count(*) AS tested
-    FROM test JOIN (SELECT {keys} step, forecast FROM fc) USING ({keys} step)
+    SELECT {keys} count(*) FILTER (actual <> 0) AS due, {seen("forecast")} AS model_months,
+           {seen("naive")} AS naive_months,
+           CASE WHEN {seen("forecast")} = count(*) FILTER (actual <> 0)
+                THEN {mape(error("forecast"))} END AS model,
+           {mape(error("naive"))} AS base, count(*) AS tested
+    FROM test LEFT JOIN (SELECT {keys} step, forecast FROM fc) USING ({keys} step)
     LEFT JOIN year_ago USING ({keys} period)
     {f"GROUP BY {by}" if keys else ""}
-)
-SELECT {keys} '{r.STATUS_OK}' AS status, {holdout} AS holdout_months,
+),
+bt AS (
+SELECT {keys} CASE WHEN due = model_months THEN '{r.STATUS_OK}' ELSE '{r.STATUS_NO_FORECAST}' END
+           AS status, {holdout} AS holdout_months, model_months, naive_months,
        {half_even("model")} AS model_mape_pct, {half_even("base")} AS seasonal_naive_mape_pct,
        {half_even("base - model")} AS improvement_pct_points,
-       CASE WHEN model < base THEN '{r.VERDICT_MODEL}' ELSE '{r.VERDICT_NAIVE}' END AS verdict
+       CASE WHEN model < base THEN '{r.VERDICT_MODEL}'
+            WHEN due = model_months THEN '{r.VERDICT_NAIVE}' END AS verdict
 FROM errors WHERE tested > 0
 UNION ALL
-SELECT {keys} '{r.STATUS_TOO_SHORT}', NULL, NULL, NULL, NULL, NULL
-FROM placed WHERE months <= {holdout} + 12 {f"GROUP BY {by}" if keys else "GROUP BY months"}"""
+SELECT {keys} '{r.STATUS_TOO_SHORT}', NULL, NULL, NULL, NULL, NULL, NULL, NULL
+FROM placed WHERE months <= {holdout} + 12 {f"GROUP BY {by}" if keys else "GROUP BY months"}
+)"""
 
 
 def _extract_checks() -> str:
@@ -482,6 +489,10 @@ def _contracts(prior: str, year: str) -> str:
             "SELECT count(*) FROM (SELECT sum(net_amount) AS a FROM fact),"
             " (SELECT sum(net_amount) AS b FROM detail) WHERE abs(a - b) > 1",
         ),
+        (
+            "transactions not in fact_sales",
+            "SELECT (SELECT count(*) FROM tx) - (SELECT count(*) FROM fact)",
+        ),
         (
             "channel_mix shares do not add to 100",
             "SELECT count(*) FROM (SELECT sum(pct_of_revenue) AS share FROM mix"
@@ -505,7 +516,7 @@ def _contracts(prior: str, year: str) -> str:
     return _with(f"{_plan(prior, year)}, mix AS ({_MIX})", body)
 
 
-def statements(year: str, prior: str) -> dict[str, str]:
+def statements(year: str, prior: str, as_of: dt.date) -> dict[str, str]:
     store = "store_id, "
     by_cat = "category, "
     gap = _variance(prior, year)
@@ -520,6 +531,30 @@ def statements(year: str, prior: str) -> dict[str, str]:
         for c in ("unit_price", "discount_pct", "net_amount", "cogs", "gross_margin")
     )
     grain = "fiscal_year, year, month, month_name, season, store_name, category, price_band, channel"
+    grain_rows = _with(
+        "",
+        f"SELECT {grain}, count(DISTINCT transaction_id) AS bills,"
+        f" CAST(sum(quantity) AS BIGINT) AS units, {dbl('sum(net_amount)')} AS revenue,"
+        f" {dbl('sum(gross_margin)')} AS gross_margin FROM detail GROUP BY ALL",
+    )
+    budget_rows = _with(
+        _plan(prior, year),
+        f"SELECT fiscal_year, month, category, budget_qty, price AS budget_price,"
+        f" {dbl('budget_revenue')} AS budget_revenue FROM planned",
+    )
+    rfm_select = (
+        f"SELECT customer_id, last_purchase, first_purchase, frequency,"
+        f" {dbl('monetary')} AS monetary, recency_days, tenure_days, avg_gap_days,"
+        " expected_gap, overdue_ratio, R, F, M, rfm_score, avg_order_value, segment FROM rfm"
+    )
+    filled = lambda end: f"""SELECT store_id, period, coalesce({dbl("revenue")}, 0) AS revenue FROM (
+                SELECT store_id, CAST(unnest(generate_series(
+                    min(period), {end}, INTERVAL 1 MONTH)) AS DATE) AS period
+                FROM series WHERE last_day(period) <= (SELECT max(date_key) FROM detail)
+                GROUP BY store_id)
+            LEFT JOIN series USING (store_id, period)"""
+    last_whole = """(SELECT max(period) FROM series
+        WHERE last_day(period) <= (SELECT max(date_key) FROM detail))"""
     return {
         "dim_date": _with("", "SELECT * FROM dim_date"),
         "dim_store": _with("", "SELECT * FROM stores"),
@@ -568,20 +603,25 @@ def statements(year: str, prior: str) -> dict[str, str]:
             f" {dbl(f'sum(revenue) {_CUM}')} AS cum_revenue,"
             f" {_CUM_SHARE} AS cum_pct_of_revenue FROM deciles",
         ),
-        "monthly_grain": _with(
+        "monthly_grain": grain_rows,
+        "monthly_grain_stored": grain_rows,
+        "exported_monthly_grain": grain_rows,
+        "exported_channel_mix": _with("", _MIX),
+        "csv_transactions": _with(
             "",
-            f"SELECT {grain}, count(DISTINCT transaction_id) AS bills,"
-            f" CAST(sum(quantity) AS BIGINT) AS units, {dbl('sum(net_amount)')} AS revenue,"
-            f" {dbl('sum(gross_margin)')} AS gross_margin FROM detail GROUP BY ALL",
+            "SELECT transaction_id, date_key AS transaction_date, CAST(store_id AS VARCHAR) AS"
+            " store_id, CAST(customer_id AS VARCHAR) AS customer_id, category, channel, quantity,"
+            f" {dbl('unit_price')} AS unit_price, {dbl('discount_pct')} AS discount_pct,"
+            f" {dbl('net_amount')} AS net_amount, {dbl('cogs')} AS cogs FROM tx",
         ),
+        "csv_stores": _with(
+            "", "SELECT CAST(store_id AS VARCHAR) AS store_id, store_name, city FROM stores"
+        ),
+        "csv_budget": budget_rows,
         "season_rollup": _with(
             "", f"SELECT season, {dbl('sum(net_amount)')} AS revenue FROM detail GROUP BY season"
         ),
-        "budget_plan": _with(
-            _plan(prior, year),
-            f"SELECT fiscal_year, month, category, budget_qty, price AS budget_price,"
-            f" {dbl('budget_revenue')} AS budget_revenue FROM planned",
-        ),
+        "budget_plan": budget_rows,
         "actuals_by_category": _with(
             gap,
             f"SELECT category, actual_qty, {dbl('actual_revenue')} AS actual_revenue FROM actual",
@@ -608,14 +648,13 @@ def statements(year: str, prior: str) -> dict[str, str]:
         "waterfall_frame": _with(gap, _waterfall()),
         "waterfall_by_store": _with(gap_store, _waterfall(store)),
         "rfm_customers": _with(
-            _RFM,
-            f"SELECT customer_id, last_purchase, first_purchase, frequency,"
-            f" {dbl('monetary')} AS monetary, recency_days, tenure_days, avg_gap_days,"
-            " expected_gap, overdue_ratio, R, F, M, rfm_score, avg_order_value, segment FROM rfm",
+            _rfm(),
+            rfm_select,
         ),
-        "rfm_segments": _with(_RFM, "SELECT * FROM shares"),
+        "rfm_customers_as_of": _with(_rfm(f"DATE '{as_of}'"), rfm_select),
+        "rfm_segments": _with(_rfm(), "SELECT * FROM shares"),
         "segment_shares": _with(
-            _RFM, "SELECT segment, pct_of_customers, pct_of_revenue FROM shares"
+            _rfm(), "SELECT segment, pct_of_customers, pct_of_revenue FROM shares"
         ),
         "monthly_series": _with(
             _series(), f"SELECT period, {dbl('revenue')} AS revenue FROM series"
@@ -629,7 +668,7 @@ def statements(year: str, prior: str) -> dict[str, str]:
             _series() + _forecast("fc", "series", r.HORIZON_MONTHS),
             "SELECT * EXCLUDE (step) FROM fc",
         ),
-        "forecast_backtest": _with(_backtest(r.HOLDOUT_MONTHS), ""),
+        "forecast_backtest": _with(_backtest(r.HOLDOUT_MONTHS), "SELECT * FROM bt"),
         "history_and_forecast": _with(
             _series() + _forecast("fc", "series", r.HORIZON_MONTHS),
             f"SELECT period, 'actual' AS kind, {dbl('revenue')} AS revenue,"
@@ -641,7 +680,7 @@ def statements(year: str, prior: str) -> dict[str, str]:
             _series(by_cat) + _forecast("fc", "series", r.HORIZON_MONTHS, by_cat),
             "SELECT * EXCLUDE (step) FROM fc",
         ),
-        "backtest_by_category": _with(_backtest(r.HOLDOUT_MONTHS, by_cat), ""),
+        "backtest_by_category": _with(_backtest(r.HOLDOUT_MONTHS, by_cat), "SELECT * FROM bt"),
         "indices_by_category": _with(
             _series(by_cat) + _indices("idx", "series", by_cat), "SELECT * FROM idx"
         ),
@@ -649,15 +688,20 @@ def statements(year: str, prior: str) -> dict[str, str]:
             _series(store) + _forecast("fc", "series", r.HORIZON_MONTHS, store),
             "SELECT * EXCLUDE (step) FROM fc",
         ),
-        "backtest_by_store": _with(_backtest(r.HOLDOUT_MONTHS, store), ""),
-        "filled_series_by_store": _with(
-            _series(store),
-            f"""SELECT store_id, period, coalesce({dbl("revenue")}, 0) AS revenue FROM (
-                SELECT store_id, CAST(unnest(generate_series(
-                    min(period), max(period), INTERVAL 1 MONTH)) AS DATE) AS period
-                FROM series WHERE last_day(period) <= (SELECT max(date_key) FROM detail)
-                GROUP BY store_id)
-            LEFT JOIN series USING (store_id, period)""",
+        "backtest_by_store": _with(_backtest(r.HOLDOUT_MONTHS, store), "SELECT * FROM bt"),
+        "filled_series_by_store": _with(_series(store), filled("max(period)")),
+        "filled_series_to_common_end": _with(_series(store), filled(last_whole)),
+        "revenue_forecast_year": _with(
+            _series() + _forecast("fc", "series", 12), "SELECT * EXCLUDE (step) FROM fc"
+        ),
+        "run_summary": _with(
+            f"{gap}{_backtest(r.HOLDOUT_MONTHS)}",
+            f"SELECT '{year}' AS fiscal_year, (SELECT CAST(abs(sum(price_variance + volume_variance"
+            " + mix_variance) - sum(total_variance)) AS DOUBLE) FROM variances)"
+            " AS reconciliation_error_inr, CAST(step_no - 1 AS INTEGER) AS place, step,"
+            f" {dbl('value')} AS value, kind, status, CAST(holdout_months AS BIGINT) AS holdout_months,"
+            " model_mape_pct, seasonal_naive_mape_pct, improvement_pct_points, verdict"
+            " FROM bridge, bt",
         ),
         "channel_by_month_sql": _with(
             "",

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+import statistics
 from decimal import Decimal
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from martloom import rules
-from martloom.operators import ranking
 from martloom.plans import customers, forecasting, planning, variance, views
 
 ACTUAL = "category string, actual_qty int, actual_revenue decimal(28,2)"
@@ -25,9 +25,22 @@ def _decompose(spark, actual, budget):
     return {row.category: row for row in rows}
 
 
-def test_pure_price_change(spark):
-    row = _decompose(spark, [("A", 100, 1200)], [("A", 100, 1000)])["A"]
-    assert (row.price_variance, row.volume_variance, row.mix_variance) == (200, 0, 0)
+def test_only_the_price_moves(spark):
+    rows = _decompose(
+        spark, [("tea", 30, 105), ("salt", 8, 8)], [("tea", 30, 120), ("salt", 8, 8)]
+    )
+    assert (rows["tea"].price_variance, rows["salt"].price_variance) == (-15, 0)
+    assert all(r.volume_variance == 0 == r.mix_variance for r in rows.values())
+
+
+def test_a_plan_beyond_32_bits(spark):
+    rows = [(dt.date(2024, 5, 2), "A", 2_000_000_000, Decimal("4000000000.00"))] * 3
+    detail = spark.createDataFrame(
+        rows, "date_key date, category string, quantity int, net_amount decimal(18,2)"
+    )
+    plan = planning.build_plan(detail, "FY2024-25")
+    assert plan.first().budget_qty == 6_720_000_000
+    assert variance.budget_by_category(plan, "FY2025-26").first().budget_qty == 6_720_000_000
 
 
 def test_unbudgeted_and_unsold_categories(spark):
@@ -73,48 +86,52 @@ def _lines(spark, rows):
     )
 
 
-def _score(series, ascending):
-    ranked = series.rank(method="first", ascending=ascending)
-    return pd.qcut(ranked, 5, labels=range(1, 6)).astype(int)
-
-
-def test_segments_against_a_data_frame(spark):
+def _expected(rows):
+    """Scores, gaps and overdue ratios straight from their definitions, for one as-of day."""
+    visits = {}
+    for customer, day, value in rows:
+        visits.setdefault(customer, []).append((day, value))
+    as_of = max(day for _, day, _ in rows)
+    measures = {
+        "R": {c: max(d for d, _ in v) for c, v in visits.items()},
+        "F": {c: len(v) for c, v in visits.items()},
+        "M": {c: sum(x for _, x in v) for c, v in visits.items()},
+    }
+    found = {c: {} for c in visits}
+    for name, values in measures.items():
+        placed = sorted(visits, key=lambda c: (values[c], c))
+        cuts = [(len(placed) - 1) * k / 5 for k in (1, 2, 3, 4)]  # of the ranks 0, 1, ...
+        for rank, c in enumerate(placed):
+            found[c][name] = 1 + sum(rank > cut for cut in cuts)
+    gaps = {
+        c: (as_of - min(d for d, _ in v)).days / (len(v) - 1)
+        for c, v in visits.items()
+        if len(v) > 1
+    }
+    for c in visits:
+        found[c]["gap"] = gaps.get(c)
+        found[c]["expected"] = gaps.get(c, statistics.median(gaps.values()))
+        waited = (as_of - measures["R"][c]).days
+        found[c]["overdue"] = round(waited / found[c]["expected"], 2)
+    return found
+
+
+def test_segments_against_plain_python(spark):
+    rng = random.Random(31)
     rows = []
-    for c in range(83):  # many equal values, and one customer with a third of the lines
-        visits = 60 if c == 4 else 1 + c % 3
-        for v in range(visits):
-            day = dt.date(2025, 1, 1) + dt.timedelta(days=(c % 7) * 20 + v * 3)
-            rows.append((f"C{c:03d}", day, 100 + 10 * (c % 5)))
-    got = customers.build(_lines(spark, rows)).toPandas().sort_values("customer_id")
-    got = got.reset_index(drop=True)
-    frame = pd.DataFrame(rows, columns=["customer_id", "day", "net"])
-    frame["day"] = pd.to_datetime(frame["day"])
-    want = frame.groupby("customer_id").agg(
-        last=("day", "max"), first=("day", "min"), n=("day", "size"), money=("net", "sum")
-    )
-    want = want.reset_index()
-    as_of = frame["day"].max()
-    recency = (as_of - want["last"]).dt.days
-    gap = ((as_of - want["first"]).dt.days / (want["n"] - 1)).where(want["n"] > 1)
-    assert list(got["R"]) == list(_score(recency, ascending=False))
-    assert list(got["F"]) == list(_score(want["n"], ascending=True))
-    assert list(got["M"]) == list(_score(want["money"], ascending=True))
-    expected = gap.fillna(gap.median())
-    assert list(got["expected_gap"]) == pytest.approx(list(expected))
-    assert list(got["overdue_ratio"]) == pytest.approx(list((recency / expected).round(2)))
-    assert got["avg_gap_days"].isna().tolist() == (want["n"] == 1).tolist()
-
-
-def test_large_and_small_ways_to_score_agree(spark, monkeypatch):
-    rows = [
-        (f"C{c}", dt.date(2025, 1, 1) + dt.timedelta(days=c % 9 + v), 5 * (c % 4))
-        for c in range(40)
-        for v in range(1 + c % 5)
-    ]
-    lines = _lines(spark, rows)
-    small = customers.build(lines).collect()
-    monkeypatch.setattr(ranking.with_global_ranks, "__defaults__", ("total", 0))
-    assert sorted(customers.build(lines).collect(), key=str) == sorted(small, key=str)
+    for c in range(97):  # many equal values, and one customer with a third of the lines
+        first = dt.date(2023, 6, 10) + dt.timedelta(days=rng.choice([0, 30, 30, 75, 200]))
+        for _ in range(110 if c == 11 else rng.choice([1, 1, 2, 4])):
+            day = first + dt.timedelta(days=rng.randrange(140))
+            rows.append((f"B{c:02d}", day, rng.choice([40, 40, 55])))
+    want = _expected(rows)
+    got = {row.customer_id: row for row in customers.build(_lines(spark, rows)).collect()}
+    assert set(got) == set(want)
+    for c, row in got.items():
+        assert (row.R, row.F, row.M) == (want[c]["R"], want[c]["F"], want[c]["M"])
+        assert row.avg_gap_days == (want[c]["gap"] and pytest.approx(want[c]["gap"]))
+        assert row.expected_gap == pytest.approx(want[c]["expected"])
+        assert row.overdue_ratio == pytest.approx(want[c]["overdue"], abs=0.011)
 
 
 def test_only_one_time_buyers(spark):
@@ -207,6 +224,28 @@ def test_zero_months_are_left_out_of_the_error(spark):
     values[27] = 0
     (row,) = forecasting.backtest(_series(spark, values)).collect()
     assert row.status == rules.STATUS_OK and row.model_mape_pct is not None
+    assert (row.model_months, row.naive_months) == (5, 5)
+
+
+def test_a_held_out_month_without_a_forecast_is_no_success(spark):
+    # December is seen in the last month only, so the training months give it no index
+    values = [100 + 7 * (m % 12) for m in range(36)]
+    (row,) = forecasting.backtest(_series(spark, values, skip=(11, 23))).collect()
+    assert row.status == rules.STATUS_NO_FORECAST and row.verdict is None
+    assert row.model_mape_pct is None and row.improvement_pct_points is None
+    assert (row.holdout_months, row.model_months, row.naive_months) == (6, 5, 5)
+    assert row.seasonal_naive_mape_pct is not None
+
+
+def test_series_up_to_a_common_end(spark):
+    rows = [("a", dt.date(2025, 1, 5), 1), ("b", dt.date(2025, 1, 9), 2), ("b", dt.date(2025, 4, 9), 3)]
+    detail = spark.createDataFrame(
+        [(s, d, Decimal(v)) for s, d, v in rows], "shop string, date_key date, net_amount decimal(18,2)"
+    )
+    own = forecasting.monthly_series(detail, ["shop"], fill_gaps=True)
+    common = forecasting.monthly_series(detail, ["shop"], fill_gaps=True, to_common_end=True)
+    assert own.where("shop = 'a'").count() == 1 and common.where("shop = 'a'").count() == 4
+    assert common.where("shop = 'b'").count() == own.where("shop = 'b'").count() == 4
 
 
 # --- views --------------------------------------------------------------------------

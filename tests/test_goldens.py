@@ -9,6 +9,8 @@ import pytest
 from martloom import rules
 from martloom.plans import forecasting, variance
 
+# Fixed values from here on: published inputs and the results published for them.
+
 # Monthly revenue, April 2024 to March 2026.
 REVENUE = """
 8148208.18 8021258.31 5813690.33 4385257.76 3759418.90 7278702.76
@@ -82,6 +84,8 @@ def test_backtest(series):
     assert row.asDict() == {
         "status": rules.STATUS_OK,
         "holdout_months": 6,
+        "model_months": 6,
+        "naive_months": 6,
         "model_mape_pct": 5.62,
         "seasonal_naive_mape_pct": 7.34,
         "improvement_pct_points": 1.72,

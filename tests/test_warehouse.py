@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from dataclasses import replace
 from decimal import Decimal
 from pathlib import Path
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import FISCAL_YEAR, _plan, _sales
 from martloom import schemas
-from martloom.__main__ import run_all
+from martloom.__main__ import main, run_all
 from martloom.operators import contracts
 from martloom.plans import views, warehouse
 from martloom.sources import extracts, order_lines
@@ -87,11 +88,8 @@ def test_a_calendar_filter_prunes_folders(stored):
 
 
 def test_a_sound_warehouse_has_no_violations(stored):
-    detail = views.sales_detail(stored)
-    report = contracts.contract_report(
-        stored.tables(), views.monthly_kpi(detail), views.channel_mix(detail)
-    ).collect()
-    assert len(report) == 45 and len({row.check for row in report}) == 45
+    report = contracts.contract_report(stored.tables(), extract_rows=stored.extract_rows).collect()
+    assert len(report) == 46 and len({row.check for row in report}) == 46
     assert all(row.violations == 0 for row in report)
 
 
@@ -106,7 +104,7 @@ def test_contracts_count_what_is_wrong(spark, stored):
         }
     )
     broken_fact = fact.unionByName(bad)
-    lines = {r.check: r.violations for r in contracts.line_checks(broken_fact).collect()}
+    lines = {r.check: r.violations for r in contracts.line_checks(contracts.star_cells(broken_fact)).collect()}
     assert lines["fact_sales.quantity <= 0"] == 3
     assert lines["fact_sales.discount_pct outside [0, 1)"] == 3
     assert lines["fact_sales.cogs is null"] == 3
@@ -136,7 +134,7 @@ def test_a_line_without_a_category_is_reported(spark, data_dir):
 
 def test_orphans_drop_out_of_the_star_join(stored):
     stray = stored.fact_sales.limit(2).withColumn("store_id", F.lit("nowhere"))
-    wider = warehouse.Warehouse(**(stored.tables() | {"fact_sales": stored.fact_sales.unionByName(stray)}))
+    wider = replace(stored, fact_sales=stored.fact_sales.unionByName(stray))
     assert views.sales_detail(wider).count() == stored.fact_sales.count()
 
 
@@ -146,6 +144,85 @@ def test_the_date_dimension_has_no_gaps(stored):
     assert row[0] == dt.date(1995, 1, 1)
 
 
+def _holes(spark, data_dir, folder):
+    """Extracts of which one line has no category, one no channel and one an unknown store."""
+    tx = extracts.read_transactions(spark, f"{data_dir}/transactions.csv")
+    blank = {"category": {"category": None}, "channel": {"channel": None}, "shop": {"store_id": "?"}}
+    bad = [
+        tx.limit(1).withColumns(
+            {"transaction_id": F.lit(f"bad-{name}")}
+            | {c: F.lit(v).cast("string") for c, v in change.items()}
+        )
+        for name, change in blank.items()
+    ]
+    for part in bad:
+        tx = tx.unionByName(part)
+    tx.coalesce(1).write.option("header", True).csv(f"{folder}/transactions.csv")
+    for name in ("stores", "budget"):
+        spark.read.option("header", True).csv(f"{data_dir}/{name}.csv").coalesce(1).write.option(
+            "header", True
+        ).csv(f"{folder}/{name}.csv")
+
+
+def test_lost_lines_are_counted(spark, data_dir, tmp_path):
+    _holes(spark, data_dir, str(tmp_path / "in"))
+    built = warehouse.build_from_csv(spark, str(tmp_path / "in"), ORDER_RULES)
+    saved = warehouse.save(built, str(tmp_path / "store"))
+    report = contracts.contract_report(saved.tables(), ORDER_RULES, saved.extract_rows)
+    found = {r.check: r.violations for r in report.where("violations > 0").collect()}
+    assert found.pop("transactions not in fact_sales") == 2
+    assert found.pop("fact_sales.store_id not in dim_store") == 1
+    assert set(found) <= {"monthly_kpi revenue differs from fact_sales"}
+    assert saved.dim_channel.where("channel is null").isEmpty()
+    before, after = built.dim_customer.collect(), saved.dim_customer.collect()
+    assert sorted(map(str, before)) == sorted(map(str, after))
+
+
+def test_the_product_run_stops_on_violations(spark, data_dir, tmp_path):
+    _holes(spark, data_dir, str(tmp_path / "in"))
+    asked = ["--data", str(tmp_path / "in"), "--out", str(tmp_path / "out")]
+    asked += ["--fiscal-year", FISCAL_YEAR]
+    with pytest.raises(SystemExit, match="transactions not in fact_sales: 2"):
+        main(asked)
+    report = spark.read.option("header", True).csv(f"{tmp_path}/out/contracts")
+    assert report.where("violations > 0").count() >= 4
+    assert warehouse.load(spark, f"{tmp_path}/out/warehouse") is None
+    main([*asked, "--allow-violations"])
+    assert warehouse.load(spark, f"{tmp_path}/out/warehouse").extract_rows > 0
+    assert Path(tmp_path, "out/summary").exists()
+
+
+def test_a_refresh_that_stops_changes_nothing(spark, stored, store_dir, monkeypatch):
+    before = warehouse.load(spark, store_dir)
+    written = []
+    real = warehouse._write
+
+    def stops(table, name, out_dir, fmt):
+        if len(written) == 3:
+            raise RuntimeError("stopped")
+        written.append(name)
+        return real(table, name, out_dir, fmt)
+
+    monkeypatch.setattr(warehouse, "_write", stops)
+    with pytest.raises(RuntimeError):
+        warehouse.save(replace(stored, dim_category=stored.dim_category.limit(1)), store_dir)
+    after = warehouse.load(spark, store_dir)
+    assert after.version == before.version
+    assert after.dim_category.count() == before.dim_category.count() > 1
+
+
+def test_the_last_version_counts(spark, stored, tmp_path):
+    few = replace(stored, fact_sales=stored.fact_sales.limit(5).drop("year_month"))
+    few = replace(few, dim_date=stored.dim_date.drop("year_month"))
+    first = warehouse.save(few, str(tmp_path))
+    doubled = replace(few, fact_sales=few.fact_sales.unionByName(few.fact_sales))
+    warehouse.save(doubled, str(tmp_path))
+    last = warehouse.load(spark, str(tmp_path))
+    assert first.unique_ids and not last.unique_ids
+    assert last.number == 2 and last.fact_sales.count() == 10
+    assert warehouse.load(spark, str(tmp_path / "nothing")) is None
+
+
 def test_views_answer_sql(spark, stored):
     names = views.register(stored, ORDER_RULES)
     assert len(names) == 11
