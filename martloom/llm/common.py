@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,9 @@ from pyspark.sql import functions as F
 
 from martloom.operators.scratch import materialize
 
-SLICE_BYTES = 4 << 20
+T = TypeVar("T")
+
+SLICE_BYTES = 2 << 20
 
 _SPACES = bytes(0x20 if 0x09 <= b <= 0x0D else b for b in range(256))
 
@@ -22,6 +25,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_held: dict[Hashable, object] = {}
+
+
+def held(key: Hashable, make: Callable[[], T]) -> T:
+    """What ``make`` gave for ``key`` before in this worker. Only the last key is remembered: a
+    worker that goes on to another operator does not keep the memory of the one before."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def sliced(
     batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -60,7 +60,7 @@ def _dictionary(passages: list[bytes]) -> bytes:
         return b"".join(passages)[-DICTIONARY:]
 
 
-@cache
+@lru_cache(maxsize=8)
 def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
     held = zstandard.ZstdCompressionDict(dictionary)
     held.precompute_compress(level=LEVEL)

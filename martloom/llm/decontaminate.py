@@ -30,7 +30,7 @@ from martloom.llm.common import encoded, lists, sliced, task_id
 from martloom.operators.scratch import materialize
 
 WINDOW = 10
-SEGMENT_BYTES = 8 << 20
+SEGMENT_BYTES = 4 << 20
 BLOCK_PHRASES = 50_000
 
 _NOT_WORD = bytes(

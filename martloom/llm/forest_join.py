@@ -22,7 +22,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import encoded, lists, sliced
+from martloom.llm.common import encoded, held, lists, sliced
 from martloom.operators.scratch import materialize
 
 SHINGLE = 5
@@ -59,13 +58,8 @@ def prefix_length(
     raise ValueError(f"{trees} trees cannot reach a recall of {recall}")
 
 
-@cache
-def _word_hashes() -> dict[bytes, int]:
-    return {}
-
-
 def _hash_words(words: list[bytes]) -> np.ndarray:
-    known = _word_hashes()
+    known = held("word hashes", dict)
     if len(known) > _CACHED_WORDS:
         known.clear()
     for word in set(words).difference(known):

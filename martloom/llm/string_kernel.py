@@ -25,9 +25,9 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -39,6 +39,7 @@ from martloom.llm.common import (
     class_sizes,
     encoded,
     fold,
+    held,
     labelled_sample,
     logistic,
     probability,
@@ -64,7 +65,7 @@ INSERTED = 6  # variants of each positive word with a letter inserted
 THRESHOLD = 0.3
 FLOOR = -3.0  # margin of a text without words
 
-_KNOWN_PIECES = 400_000
+_KNOWN_PIECES = 200_000
 _SENTENCE = re.compile(r"[.!?\n|]+")
 _SHAPES = [
     ((0, *rest), DECAY ** (rest[-1] + 1 - LETTERS))
@@ -303,8 +304,8 @@ class _Scorer:
 
     def forget(self) -> None:
         self.numbers: dict[bytes, int] = {}
-        self.margins: list[float] = []
-        self.single: list[bool] = []
+        self.margins = array("f")
+        self.single = bytearray()
 
     def learn(self, pieces: set[bytes]) -> None:
         listed = list(pieces)
@@ -334,13 +335,14 @@ class _Scorer:
         if not len(full):
             return result
         starts = (np.cumsum(lengths) - lengths)[full]
-        result[full] = np.maximum.reduceat(np.array(self.margins)[numbers], starts)
-        self._spelled(result, split, np.array(self.single)[numbers], lengths)
+        result[full] = np.maximum.reduceat(np.frombuffer(self.margins, np.float32)[numbers], starts)
+        single = np.frombuffer(bytes(self.single), np.int8)[numbers]
+        self._spelled(result, split, single, lengths)
         return result
 
     def _spelled(self, result, split, single: np.ndarray, lengths: np.ndarray) -> None:
         """Words spelled out as single letters."""
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], single.view(np.int8), [0]]))).reshape(-1, 2)
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], single, [0]]))).reshape(-1, 2)
         ends = np.cumsum(lengths)
         for a, b in edges[edges[:, 1] - edges[:, 0] >= SPELLED].tolist():
             while b - a >= SPELLED:  # a run may go over the border of two texts
@@ -354,9 +356,8 @@ class _Scorer:
                 a = stop
 
 
-@cache
 def _scorer(model: Model) -> _Scorer:
-    return _Scorer(model)
+    return held(model, lambda: _Scorer(model))
 
 
 def _margin_task(model: Model):

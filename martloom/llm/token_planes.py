@@ -22,7 +22,6 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +29,13 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import encoded, sliced, task_id
+from martloom.llm.common import encoded, held, sliced, task_id
 from martloom.operators.scratch import scratch_path
 
 BLOCK = 1 << 16
 END_ID = 2
 LEVEL = 3
-_KNOWN_PIECES = 400_000
+_KNOWN_PIECES = 300_000
 
 BLOCKS = (
     "shard int, block int, first bigint, n_ids int, plane_bits int, crc32 bigint,"
@@ -139,9 +138,8 @@ class PieceTokenizer:
         return ids, np.diff(sums[pieces])
 
 
-@cache
 def tokenizer(path: str) -> PieceTokenizer:
-    return PieceTokenizer(path)
+    return held(("tokenizer", path), lambda: PieceTokenizer(path))
 
 
 def to_planes(ids: np.ndarray, plane_bits: int = 8) -> list[bytes]:
