@@ -83,11 +83,11 @@ def dim_category(
             F.percentile_approx("unit_price", 0.5, 10000).cast("double").alias("median_price")
         )
         return _banded(medians, rules)
-    return category_table(materialize(histogram(transactions, "unit_price", ["category"])), rules)
+    return category_table(histogram(transactions, "unit_price", ["category"]), rules)
 
 
 def category_table(prices: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """``prices`` is a written histogram of (category, unit_price)."""
+    """``prices`` is a histogram of (category, unit_price)."""
     return _banded(exact_median(prices, "unit_price", ["category"], out="median_price"), rules)
 
 

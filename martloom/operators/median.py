@@ -1,8 +1,8 @@
 """Exact medians from a value histogram, in bounded memory.
 
 The built-in exact median keeps every distinct value of a group in one task. Here the
-histogram is first folded into bins of a fixed width, and only the one or two bins that
-hold the middle rows are read value by value.
+histogram is range sorted over the cluster by key and value; counting its partitions tells
+which one or two hold a key's middle rows, and only those are read value by value.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.operators.attach import attach
+from martloom.operators.scratch import materialize
 
 
 def histogram(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -21,47 +21,33 @@ def histogram(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
 
 
 def exact_median(
-    counts: DataFrame,
-    value: str,
-    keys: Sequence[str] = (),
-    out: str = "median",
-    bin_width: float = 1.0,
+    counts: DataFrame, value: str, keys: Sequence[str] = (), out: str = "median"
 ) -> DataFrame:
     """Median per key as DOUBLE; the mean of the two middle values when the count is even.
 
-    ``counts`` comes from :func:`histogram` and is read twice: pass a written table when
-    computing it is expensive. No task sees more than a key's bins, or one bin's values.
+    ``counts`` comes from :func:`histogram`. No task sees more than one range partition of it,
+    or the list of a key's partitions.
     """
     keys = list(keys)
-    binned = counts.withColumn("_v", F.col(value).cast("double")).withColumn(
-        "_bin", F.floor(F.col("_v") / bin_width)
-    )
-    running = Window.partitionBy(*keys).orderBy("_bin")
-    per_bin = (
-        binned.groupBy(*keys, "_bin")
+    values = counts.select(*keys, F.col(value).cast("double").alias("_v"), "rows")
+    ranged = values.repartitionByRange(*keys, "_v").withColumn("_part", F.spark_partition_id())
+    placed = materialize(ranged, "values")
+    running = Window.partitionBy(*keys).orderBy("_part")  # a key's partitions
+    parts = (
+        placed.groupBy(*keys, "_part")
         .agg(F.sum("rows").alias("_rows"))
         .withColumn("_until", F.sum("_rows").over(running))
         .withColumn("_n", F.sum("_rows").over(Window.partitionBy(*keys)))
+        .where(_holds_middle(F.col("_until"), F.col("_rows"), F.col("_n")))
+        .select(*keys, "_part", (F.col("_until") - F.col("_rows")).alias("_skipped"), "_n")
     )
+    running = Window.partitionBy(*keys, "_part").orderBy("_v")
     middle = (
-        per_bin.where(_holds_middle(F.col("_until"), F.col("_rows"), F.col("_n")))
-        .groupBy(*keys)
-        .agg(
-            F.min("_bin").alias("_first"),
-            F.max("_bin").alias("_last"),
-            F.min(F.col("_until") - F.col("_rows")).alias("_skipped"),
-            F.max("_n").alias("_n"),
-        )
-    )
-    running = Window.partitionBy(*keys).orderBy("_v")
-    return (
-        attach(binned, middle, keys)
-        .where(F.col("_bin").isin(F.col("_first"), F.col("_last")))
+        placed.join(parts, [*keys, "_part"])
         .withColumn("_until", F.col("_skipped") + F.sum("rows").over(running))
         .where(_holds_middle(F.col("_until"), F.col("rows"), F.col("_n")))
-        .groupBy(*keys)
-        .agg(F.avg("_v").alias(out))
     )
+    return middle.groupBy(*keys).agg(F.avg("_v").alias(out))
 
 
 def _holds_middle(until: Column, rows: Column, total: Column) -> Column:

@@ -100,8 +100,8 @@ def build(
     else:
         today = history.agg(F.lit(as_of).alias("_as_of"))
     gaps = attach(history, today).select(_gap_days().alias("gap"))
-    gaps = materialize(histogram(gaps, "gap"), "gaps")
-    usual = materialize(exact_median(gaps, "gap", out="_usual_gap"), "usual_gap")
+    usual = exact_median(histogram(gaps, "gap"), "gap", out="_usual_gap")
+    usual = materialize(usual, "usual_gap")
     return (
         attach(attach(with_scores(history), today), usual)
         .withColumns(

@@ -83,12 +83,25 @@ def test_scores_match_quantile_cut(spark, n):
 def test_exact_median_per_key(spark, groups):
     rows = [(key, value) for key, values in groups.items() for value in values]
     df = spark.createDataFrame(rows, "k string, v double")
-    got = exact_median(histogram(df, "v", ["k"]), "v", ["k"], bin_width=3.0).collect()
+    got = exact_median(histogram(df, "v", ["k"]), "v", ["k"]).collect()
     assert {row.k: row.median for row in got} == {
         key: pytest.approx(statistics.median(values)) for key, values in groups.items()
     }
 
 
+def test_median_of_a_hot_key_over_many_partitions(spark):
+    rng = random.Random(8)
+    rows = [("hot", rng.random()) for _ in range(9000)] + [("cold", 3.0), ("cold", 4.0)]
+    counts = histogram(spark.createDataFrame(rows, "k string, v double"), "v", ["k"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = {r.k: r.median for r in exact_median(counts, "v", ["k"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = statistics.median(v for k, v in rows if k == "hot")
+    assert found == {"hot": pytest.approx(want), "cold": 3.5}
+
+
 def test_exact_median_without_keys_skips_nulls(spark):
     df = spark.createDataFrame([(1.0,), (None,), (4.0,), (3.0,), (2.0,)], "v double")
     assert exact_median(histogram(df, "v"), "v").first().median == 2.5
