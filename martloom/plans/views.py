@@ -63,6 +63,19 @@ def flat_sales(transactions: DataFrame, stores: DataFrame) -> DataFrame:
     )
 
 
+def monthly_cells(detail: DataFrame) -> DataFrame:
+    """Lines summed by month, store, category and channel, under the lines' own column names and
+    dated on the first of the month. Whatever works by month or fiscal year on sums of lines,
+    as variance and forecast do, gives the same on these few rows."""
+    first = cal.month_start(F.col("date_key")).alias("date_key")
+    return detail.groupBy(first, "store_name", "category", "channel").agg(
+        F.count("*").alias("lines"),
+        F.sum("quantity").alias("quantity"),
+        F.sum("net_amount").alias("net_amount"),
+        F.sum("gross_margin").alias("gross_margin"),
+    )
+
+
 def _period() -> Column:
     return cal.month_start(F.col("date_key")).alias("period")
 
