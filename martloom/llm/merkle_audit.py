@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from martloom.operators.scratch import materialize
 
 FANOUT = 16
-FILE_RECORDS = 4096  # page numbers of one archive file
+FILE_RECORDS = 1024  # page numbers of one archive file
 
 LEAF = ["file", "seq", "offset", "length", "page_id", "sha256"]
 

@@ -100,7 +100,7 @@ FROM said GROUP BY conv_id
 
 WARC_AUDIT = """
 WITH records AS (
-    SELECT coalesce(page_id // 4096, -1) AS file_no, page_id,
+    SELECT coalesce(page_id // 1024, -1) AS file_no, page_id,
            'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
            || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
            || 'WARC-Date: 1970-01-01T00:00:00Z' || chr(13) || chr(10)
