@@ -93,7 +93,8 @@ def labelled_sample(
     chosen = [known.where(F.col("y") == y).orderBy(order, "doc_id").limit(per_class) for y in (0, 1)]
     ids = materialize(chosen[0].unionByName(chosen[1]), "sample")
     texts = docs.select(F.col("doc_id").cast("bigint"), "text")
-    return materialize(texts.join(ids, "doc_id").dropDuplicates(["doc_id"]), "texts")
+    found = texts.join(ids, "doc_id").groupBy("doc_id")  # rows that repeat an id give one text
+    return materialize(found.agg(F.min("text").alias("text"), F.max("y").alias("y")), "texts")
 
 
 def class_sizes(labels: DataFrame, label: str, fit: Column) -> tuple[int, int]:

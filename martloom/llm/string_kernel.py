@@ -14,7 +14,8 @@ subsequence, and a word is scored without visiting the landmarks. A document has
 its worst word, calibrated on labelled documents.
 
 Words are white-space separated pieces with everything but letters taken out, folded to lower
-case without accents; a run of four single letters or more is also read as one word. Defined
+case without accents; of a piece with other signs inside, each run of four letters or more is
+a word as well, and a run of four single-letter pieces or more is read as one word. Defined
 cases: a text without words has the lowest margin; without labels of both classes, or without
 a word that stands out, each text has the share of label 1 as its score; a null doc_id is not
 held out.
@@ -66,6 +67,7 @@ THRESHOLD = 0.3
 FLOOR = -3.0  # margin of a text without words
 
 _KNOWN_PIECES = 200_000
+_RUN = re.compile(r"[^\W\d_]{4,}")
 _SENTENCE = re.compile(r"[.!?\n|]+")
 _SHAPES = [
     ((0, *rest), DECAY ** (rest[-1] + 1 - LETTERS))
@@ -82,6 +84,15 @@ def folded(piece: str) -> str:
     return "".join(c for c in plain if c.isalpha())
 
 
+def _words(piece: str) -> list[str]:
+    """The piece read as one word, and the words between other signs in it."""
+    whole = folded(piece)
+    if len(whole) == len(piece):
+        return [whole] if whole else []
+    runs = [folded(run) for run in _RUN.findall(piece)]
+    return [w for w in dict.fromkeys([whole, *runs]) if w]
+
+
 def _parts(word: str) -> list[str]:
     if len(word) <= LONGEST:
         return [word]
@@ -309,18 +320,19 @@ class _Scorer:
 
     def learn(self, pieces: set[bytes]) -> None:
         listed = list(pieces)
-        words = [folded(p.decode("utf-8", "replace")) for p in listed]
+        words = [_words(p.decode("utf-8", "replace")) for p in listed]
         parts, owners = [], []
-        for i, word in enumerate(words):
-            for part in _parts(word) if word else ():
-                parts.append(part)
-                owners.append(i)
+        for i, own in enumerate(words):
+            for word in own:
+                cut = _parts(word)
+                parts += cut
+                owners += [i] * len(cut)
         margin = np.full(len(listed), np.float32(FLOOR))
         np.maximum.at(margin, np.array(owners, np.int64), self.model.margins(parts))
-        for piece, word, value in zip(listed, words, margin.tolist(), strict=True):
+        for piece, own, value in zip(listed, words, margin.tolist(), strict=True):
             self.numbers[piece] = len(self.margins)
             self.margins.append(value)
-            self.single.append(len(word) == 1)
+            self.single.append(len(own) > 0 and len(own[0]) == 1)
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         split = [t.lower().split() for t in texts]

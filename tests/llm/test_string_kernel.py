@@ -79,6 +79,7 @@ def test_held_out_labels_and_bent_words(spark):
     good = docs[0][0].split(".")[0]
     odd = [("", 10_000), (None, 10_001), ("?! 12", 10_002), ("ta " * 200_000 + "snarfly", 10_003)]
     odd += [("ta re s n a r f l y lo", 10_004), ("ta gro-bbel lo", 10_005), ("ta plonkxash", 10_006)]
+    odd += [("ta.re,quizzert/lo", 10_009)]
     odd += [("SNARFLY!", None), ("x" * 300_000, 10_007), (good, 10_008), (good, 10_008)]
     rows = docs + [(t, None, i, None, None, 0) for t, i in odd]
     frame = spark.createDataFrame(rows, SCHEMA).repartition(4)
@@ -93,6 +94,7 @@ def test_held_out_labels_and_bent_words(spark):
         assert r.predicted == (r.score >= sk.THRESHOLD)
     by_id = {r.doc_id: r.predicted for r in got}
     assert [by_id[10_000 + i] for i in range(9)] == [0, 0, 0, 1, 1, 1, 1, 0, 0] and by_id[None] == 1
+    assert by_id[10_009] == 1
 
 
 def test_labels_held_out_are_never_learned(spark):
