@@ -417,16 +417,25 @@ def _exported(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     detail = views.sales_detail(stored)
     folder = scratch_path(spark, "export")
     exports.export_extracts(detail, folder, ORDER_RULES)
-    return spark.read.option("header", True).option("inferSchema", True).csv(f"{folder}/{name}")
+    found = spark.read.option("header", True).option("inferSchema", True).csv(f"{folder}/{name}")
+    counts = [c for c in ("bills", "customers", "units") if c in found.columns]
+    return found.withColumns({c: F.col(c).cast("bigint") for c in counts})
+
+
+def q_exported_monthly_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _exported(spark, sf_dir, "v_monthly_kpi")
 
 
 def q_exported_channel_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _exported(spark, sf_dir, "v_channel_mix").withColumn("customers", F.col("customers").cast("bigint"))
+    return _exported(spark, sf_dir, "v_channel_mix")
+
+
+def q_exported_concentration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _exported(spark, sf_dir, "v_customer_concentration")
 
 
 def q_exported_monthly_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grain = _exported(spark, sf_dir, "fact_monthly_grain")
-    return grain.withColumns({c: F.col(c).cast("bigint") for c in ("bills", "units")})
+    return _exported(spark, sf_dir, "fact_monthly_grain")
 
 
 def entry(spark: SparkSession) -> DataFrame:

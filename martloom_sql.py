@@ -537,6 +537,11 @@ def statements(year: str, prior: str, as_of: dt.date) -> dict[str, str]:
         f" CAST(sum(quantity) AS BIGINT) AS units, {dbl('sum(net_amount)')} AS revenue,"
         f" {dbl('sum(gross_margin)')} AS gross_margin FROM detail GROUP BY ALL",
     )
+    decile_rows = _with(
+        _DECILES,
+        f"SELECT decile, customers, {dbl('revenue')} AS revenue,"
+        f" {_DECILE_SHARE} AS pct_of_revenue FROM deciles",
+    )
     budget_rows = _with(
         _plan(prior, year),
         f"SELECT fiscal_year, month, category, budget_qty, price AS budget_price,"
@@ -592,11 +597,9 @@ def statements(year: str, prior: str, as_of: dt.date) -> dict[str, str]:
         "contract_report": _contracts(prior, year),
         "monthly_kpi": _with("", _KPI),
         "channel_mix": _with("", _MIX),
-        "customer_concentration": _with(
-            _DECILES,
-            f"SELECT decile, customers, {dbl('revenue')} AS revenue,"
-            f" {_DECILE_SHARE} AS pct_of_revenue FROM deciles",
-        ),
+        "customer_concentration": decile_rows,
+        "exported_concentration": decile_rows,
+        "exported_monthly_kpi": _with("", _KPI),
         "concentration_cumulative": _with(
             _DECILES,
             f"SELECT decile, CAST(sum(customers) {_CUM} AS BIGINT) AS cum_customers,"
