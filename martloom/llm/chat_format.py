@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import sliced
+from martloom.llm.common import in_arrow, sliced
 from martloom.operators.scratch import scratch_path
 
 TAGS = {
@@ -152,7 +152,7 @@ def formatted(conversations: DataFrame) -> DataFrame:
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    return own.mapInArrow(run, FORMATTED)
+    return in_arrow(own, run, FORMATTED)
 
 
 _ORDER = ("conv_id", "turn", "role", "piece")
@@ -218,7 +218,7 @@ def read_digests(pieces: DataFrame) -> DataFrame:
             )
 
     ordered = pieces.repartition("conv_id").sortWithinPartitions(*_ORDER)
-    return ordered.mapInArrow(run, DIGESTS)
+    return in_arrow(ordered, run, DIGESTS)
 
 
 def digests(conversations: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import encoded, lists, one_spaced, sliced, task_id
+from martloom.llm.common import encoded, in_arrow, lists, one_spaced, sliced, task_id
 from martloom.operators.scratch import materialize
 
 WINDOW = 16
@@ -86,7 +86,7 @@ def recipes(docs: DataFrame, seed: int = 0) -> DataFrame:
             )
             row += len(texts)
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, RECIPES)
+    return in_arrow(docs.select(F.col("doc_id").cast("bigint"), "text"), run, RECIPES)
 
 
 def chunks(docs: DataFrame, seed: int = 0) -> DataFrame:
@@ -100,7 +100,7 @@ def chunks(docs: DataFrame, seed: int = 0) -> DataFrame:
             content = pa.Array.from_buffers(pa.binary(), len(cuts), buffers)
             yield pa.RecordBatch.from_arrays([ids, content], names=["id", "chunk"])
 
-    return docs.select("text").mapInArrow(run, "id binary, chunk binary")
+    return in_arrow(docs.select("text"), run, "id binary, chunk binary")
 
 
 def distinct_chunks(docs: DataFrame, seed: int = 0) -> DataFrame:

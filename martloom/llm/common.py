@@ -37,6 +37,30 @@ def held(key: Hashable, make: Callable[[], T]) -> T:
     return _held[key]
 
 
+#: Rows and bytes of the batches that a Python worker is handed.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
+
+
+def in_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` in small batches.
+
+    The session's usual batches of 10,000 texts stand several times in an executor's memory,
+    on both sides of each of its workers, so the session is set to smaller ones. The worker
+    hands back what a batch took.
+    """
+    for key, value in BATCHES.items():
+        df.sparkSession.conf.set(key, value)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())
+        yield from run(batches)
+
+    return df.mapInArrow(task, schema)
+
+
 def sliced(
     batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:

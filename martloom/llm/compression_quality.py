@@ -28,6 +28,7 @@ from martloom.llm.common import (
     class_sizes,
     encoded,
     fold,
+    in_arrow,
     labelled_sample,
     logistic,
     sliced,
@@ -104,7 +105,7 @@ def passages(sample: DataFrame) -> DataFrame:
             labels = batch.select(["y", "part"]).take(pa.array(owners, pa.int32()))
             yield labels.append_column("passage", pa.array(found, pa.binary()))
 
-    cut = sample.select("y", "part", "text").mapInArrow(run, "y int, part int, passage binary")
+    cut = in_arrow(sample.select("y", "part", "text"), run, "y int, part int, passage binary")
     once = cut.groupBy("passage").agg(
         F.min("y").alias("y"), F.max("y").alias("last"), F.min("part").alias("part")
     )
@@ -149,7 +150,7 @@ def _differences(texts: DataFrame, key: str, kind: str, model: Model) -> DataFra
                 [batch.column(key), pa.array(found, pa.float64())], names=[key, "difference"]
             )
 
-    return texts.mapInArrow(run, f"{key} {kind}, difference double")
+    return in_arrow(texts, run, f"{key} {kind}, difference double")
 
 
 def _held_out(doc_id: str = "doc_id"):

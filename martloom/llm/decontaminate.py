@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import encoded, lists, sliced, task_id
+from martloom.llm.common import encoded, in_arrow, lists, sliced, task_id
 from martloom.operators.scratch import materialize
 
 WINDOW = 10
@@ -82,7 +82,7 @@ def index(docs: DataFrame) -> DataFrame:
             )
             row += batch.num_rows
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, INDEX)
+    return in_arrow(docs.select(F.col("doc_id").cast("bigint"), "text"), run, INDEX)
 
 
 def phrases(items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -101,7 +101,7 @@ def phrases(items: DataFrame, window: int = WINDOW) -> DataFrame:
                 )
 
     named = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
-    found = named.mapInArrow(run, "item_id string, phrase binary")
+    found = in_arrow(named, run, "item_id string, phrase binary")
     return found.groupBy("phrase").agg(F.collect_set("item_id").alias("item_ids"))
 
 
@@ -216,7 +216,7 @@ def matches(indexed: DataFrame, block: Block, slop: int = 0) -> DataFrame:
                         names=["row", "doc_id", "item_ids", "start", "length", "exact"],
                     )
 
-    return indexed.mapInArrow(run, MATCHES)
+    return in_arrow(indexed, run, MATCHES)
 
 
 def _hits(indexed: DataFrame, block: Block, all_rows: bool) -> DataFrame:
@@ -252,7 +252,7 @@ def _hits(indexed: DataFrame, block: Block, all_rows: bool) -> DataFrame:
                     names=["row", "doc_id", "n_words", "spans", "items"],
                 )
 
-    return indexed.mapInArrow(run, HITS)
+    return in_arrow(indexed, run, HITS)
 
 
 _NOTHING = Block({}, np.zeros((0, 1), int), np.zeros(0, int), [])

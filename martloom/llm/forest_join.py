@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import encoded, held, lists, sliced
+from martloom.llm.common import encoded, held, in_arrow, lists, sliced
 from martloom.operators.scratch import materialize
 
 SHINGLE = 5
@@ -127,7 +127,7 @@ def signed(docs: DataFrame, trees: int = TREES, length: int | None = None) -> Da
                 names=["doc_id", "text_hash", "rep", "n", "keys"],
             )
 
-    return _named(docs).mapInArrow(run, SIGNED)
+    return in_arrow(_named(docs), run, SIGNED)
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -222,7 +222,7 @@ def _members(joined: DataFrame, share: Fraction) -> DataFrame:
             needed = tile.filter(pa.array(pairs.any(axis=0) | pairs.any(axis=1)))
             yield from needed.select(["tree", "key", "low", "high", "block", "rep"]).to_batches()
 
-    return joined.mapInArrow(run, f"{TILE}, block int, rep binary")
+    return in_arrow(joined, run, f"{TILE}, block int, rep binary")
 
 
 def _verified(joined: DataFrame, share: Fraction) -> DataFrame:
@@ -248,7 +248,7 @@ def _verified(joined: DataFrame, share: Fraction) -> DataFrame:
                 names=["rep", "links", "root"],
             )
 
-    return joined.mapInArrow(run, "rep binary, links bigint, root binary")
+    return in_arrow(joined, run, "rep binary, links bigint, root binary")
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
@@ -274,7 +274,7 @@ def _shingles(docs: DataFrame, reps: DataFrame) -> DataFrame:
     wanted = reps.select("rep", "copies", "doc_id", "text_hash").alias("r")
     same = F.expr("d.doc_id <=> r.doc_id AND d.text_hash = r.text_hash")
     found = texts.join(wanted, same).select("r.rep", "r.copies", "d.text")
-    sets = found.mapInArrow(run, "rep binary, copies bigint, shingles array<bigint>")
+    sets = in_arrow(found, run, "rep binary, copies bigint, shingles array<bigint>")
     return materialize(sets.dropDuplicates(["rep"]), "shingles")  # repeated rows give one
 
 

@@ -41,6 +41,7 @@ from martloom.llm.common import (
     encoded,
     fold,
     held,
+    in_arrow,
     labelled_sample,
     logistic,
     probability,
@@ -239,7 +240,7 @@ def word_counts(sample: DataFrame) -> DataFrame:
     sentence = F.explode(F.split(F.coalesce("text", F.lit("")), _SENTENCE.pattern)).alias("text")
     sentences = sample.select(sentence, "y").groupBy(F.trim("text").alias("text"))
     sentences = sentences.agg(F.min("y").alias("y"))
-    found = sentences.mapInArrow(run, "word string, y int").groupBy("word")
+    found = in_arrow(sentences, run, "word string, y int").groupBy("word")
     counted = found.agg(F.sum("y").alias("n1"), F.sum(1 - F.col("y")).alias("n0"))
     totals = sentences.agg(F.sum("y").alias("all1"), F.sum(1 - F.col("y")).alias("all0"))
     return materialize(counted, "words"), totals.first()
@@ -288,8 +289,10 @@ def fit(docs: DataFrame, labels: DataFrame, held_in) -> Model:
             for r in hard.collect():
                 if r.word not in positive:
                     negative[r.word] = float(r.n0)
-    margins = sample.select("doc_id", "text", "y").mapInArrow(
-        _margin_task(model), "margin double, y int"
+    margins = in_arrow(
+        sample.select("doc_id", "text", "y"),
+        _margin_task(model),
+        "margin double, y int",
     )
     rows = margins.collect()
     x, y = np.array([r.margin for r in rows]), np.array([r.y for r in rows])
@@ -303,7 +306,7 @@ def _scored_words(words: DataFrame, model: Model) -> DataFrame:
             margin = model.margins(batch.column("word").to_pylist())
             yield batch.append_column("margin", pa.array(margin, pa.float32()))
 
-    return words.select("word", "n0").mapInArrow(run, "word string, n0 bigint, margin float")
+    return in_arrow(words.select("word", "n0"), run, "word string, n0 bigint, margin float")
 
 
 class _Scorer:
@@ -400,7 +403,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
             )
 
     own = docs.select(F.col("doc_id").cast("bigint"), "text")
-    found = own.mapInArrow(run, "doc_id bigint, score double")
+    found = in_arrow(own, run, "doc_id bigint, score double")
     return found.select(
         "doc_id",
         _held_out().alias("held_out"),
@@ -418,4 +421,4 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
             margins = _scorer(model).score(encoded(batch.column("text")))
             yield batch.filter(pa.array(probability(margins, model.curve) < THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_arrow(docs, run, docs.schema)

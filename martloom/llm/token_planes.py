@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import encoded, held, sliced, task_id
+from martloom.llm.common import encoded, held, in_arrow, sliced, task_id
 from martloom.operators.scratch import scratch_path
 
 BLOCK = 1 << 16
@@ -204,7 +204,7 @@ def _blocks(docs: DataFrame, path: str, end: int, block: int, plane_bits: int) -
         if size:
             yield emit()
 
-    return docs.mapInArrow(run, BLOCKS)
+    return in_arrow(docs, run, BLOCKS)
 
 
 def write(
@@ -272,7 +272,7 @@ def _parts(spark: SparkSession, folder: str) -> DataFrame:
                     names=["shard", "place", "doc_id", "block", "first", "n", "crc32"],
                 )
 
-    return spark.read.schema(BLOCKS).parquet(f"{folder}/blocks").mapInArrow(run, PARTS)
+    return in_arrow(spark.read.schema(BLOCKS).parquet(f"{folder}/blocks"), run, PARTS)
 
 
 def joined_crc32(parts: list[tuple[int, int]]) -> int:
@@ -311,7 +311,7 @@ def read_digests(spark: SparkSession, folder: str) -> DataFrame:
         .join(shard_starts(spark, folder), "shard")
         .select("doc_id", (F.col("before") + F.col("first")).alias("start"), "n_tokens", "parts")
     )
-    return whole.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return in_arrow(whole, run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def encode_and_read(docs: DataFrame) -> DataFrame:
