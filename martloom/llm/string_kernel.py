@@ -10,8 +10,9 @@ in toxic sentences far above chance, with letters inserted as well, from the wor
 sentences; it is trained again with the clean words it took for toxic ones.
 
 As the machine is linear in the kernel's subsequences, its landmarks fold into one weight per
-subsequence, and a word is scored without visiting the landmarks. A document has the score of
-its worst word, calibrated on labelled documents.
+subsequence, and a word is scored without visiting the landmarks. Letters of all scripts count:
+a subsequence of a to z has a weight of its own, others share a table by a hash of their code
+points. A document has the score of its worst word, calibrated on labelled documents.
 
 Words are white-space separated pieces with everything but letters taken out, folded to lower
 case without accents; of a piece with other signs inside, each run of four letters or more is
@@ -52,7 +53,8 @@ from martloom.operators.scratch import materialize
 LETTERS = 3  # of a subsequence
 SPAN = 5
 DECAY = 0.8  # per letter left out
-SIGNS = 28  # a word's border, a to z, any other letter
+SIGNS = 27  # a word's border, a to z
+BUCKETS = 1 << 18  # for subsequences: a cell each for those of SIGNS, hashed cells for all others
 LONGEST = 40  # longer words are scored in overlapping parts
 SPELLED = 4  # single letters in a row that are read as a word
 
@@ -104,23 +106,23 @@ def _parts(word: str) -> list[str]:
 def _features(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For words of one length each: their numbers, their subsequences and the weights, scaled
     so that a word's similarity to itself is one."""
-    by_length: dict[int, list[int]] = {}
+    alike: dict[tuple[int, bool], list[int]] = {}
     for i, word in enumerate(words):
-        by_length.setdefault(len(word), []).append(i)
-    for length, numbers in by_length.items():
+        alike.setdefault((len(word), word.isascii()), []).append(i)
+    for (length, plain), numbers in alike.items():
         for at in range(0, len(numbers), 8192):
             own = np.array(numbers[at : at + 8192])
             letters = "".join(words[i] for i in own).encode("utf-32-le")
             code = np.frombuffer(letters, np.uint32).reshape(len(own), length).astype(np.int32) - 96
-            code[(code < 1) | (code > 26)] = SIGNS - 1
+            other = (code < 1) | (code >= SIGNS)
+            plain = plain and not other.any()
+            code[other] += 96 + SIGNS  # code points, apart from the signs
             code = np.pad(code, ((0, 0), (1, 1)))
             found, weights = [], []
             for shape, weight in _SHAPES:
                 for start in range(code.shape[1] - shape[-1]):
-                    sign = np.zeros(len(own), np.int32)
-                    for offset in shape:
-                        sign = sign * SIGNS + code[:, start + offset]
-                    found.append(sign)
+                    triple = [code[:, start + offset] for offset in shape]
+                    found.append(_cells(triple) if plain else _hashed_cells(triple))
                     weights.append(weight)
             if not found:
                 continue
@@ -129,6 +131,27 @@ def _features(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
             yield own, signs, weight / _norms(signs, weight)[:, None]
 
 
+def _cells(triple: list[np.ndarray]) -> np.ndarray:
+    """The cell of each subsequence of signs, its own."""
+    cell = np.zeros(len(triple[0]), np.int32)
+    for code in triple:
+        cell = cell * SIGNS + code
+    return cell
+
+
+def _hashed_cells(triple: list[np.ndarray]) -> np.ndarray:
+    """The cell of each subsequence of any letters: those with a letter beyond the signs share
+    the cells after SIGNS**LETTERS by a hash of their code points."""
+    h = np.zeros(len(triple[0]), np.uint64)
+    for code in triple:
+        h = (h ^ code.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(32)
+    beyond = np.any([code >= SIGNS for code in triple], axis=0)
+    own = SIGNS**LETTERS
+    hashed = own + (h % np.uint64(BUCKETS - own)).astype(np.int32)
+    return np.where(beyond, hashed, _cells([np.minimum(code, SIGNS - 1) for code in triple]))
+
+
 def _norms(signs: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Lengths of the words in the space of subsequences; equal ones of a word add up."""
     order = np.argsort(signs, axis=1, kind="stable")
@@ -143,18 +166,31 @@ def _norms(signs: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return np.sqrt(total)
 
 
-def _landmark_table(landmarks: list[str]) -> np.ndarray:
-    table = np.zeros((SIGNS**LETTERS, len(landmarks)), np.float32)
+def _cells_of(landmarks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The cells that the landmarks have weight in, and for each of all cells its place among
+    them; a cell without weight has the place after the last."""
+    cells = np.unique(np.concatenate([[0], *(signs.ravel() for _, signs, _ in _features(landmarks))]))
+    row = np.full(BUCKETS, len(cells), np.int32)
+    row[cells] = np.arange(len(cells))
+    return cells, row
+
+
+def _landmark_table(landmarks: list[str], row: np.ndarray | None = None) -> np.ndarray:
+    """The landmarks' weights, a row per cell, or with ``row`` at the places it gives the cells."""
+    rows = BUCKETS if row is None else int(row.max()) + 1
+    table = np.zeros((rows, len(landmarks)), np.float32)
     for own, signs, weight in _features(landmarks):
+        signs = signs if row is None else row[signs]
         for j in range(signs.shape[1]):
             np.add.at(table, (signs[:, j], own), weight[:, j])
     return table
 
 
-def kernel(words: list[str], landmark_table: np.ndarray) -> np.ndarray:
+def kernel(words: list[str], landmark_table: np.ndarray, row: np.ndarray | None = None) -> np.ndarray:
     """Similarity of each word to each landmark, 0 to 1."""
     values = np.zeros((len(words), landmark_table.shape[1]), np.float32)
     for own, signs, weight in _features(words):
+        signs = signs if row is None else row[signs]
         for j in range(signs.shape[1]):
             values[own] += weight[:, j : j + 1] * landmark_table[signs[:, j]]
     return values
@@ -191,13 +227,15 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 10.0)
 
 
 def _inserted(words: list[str], known: set[str]) -> list[str]:
-    """Variants of the words with one letter put in, places and letters by hash."""
+    """Variants of the words with one letter put in, places and letters by hash: one of a to z,
+    or of the word's own letters if it has others."""
     found = []
     for word in words:
         for k in range(INSERTED):
             h = zlib.crc32(f"{word}{k}".encode())
             place = 1 + h % max(1, len(word) - 1)
-            variant = word[:place] + _ALPHABET[(h >> 8) % 26] + word[place:]
+            letters = _ALPHABET if word.isascii() else word
+            variant = word[:place] + letters[(h >> 8) % len(letters)] + word[place:]
             if variant not in known:
                 found.append(variant)
     return found
@@ -211,13 +249,16 @@ def train_words(
     y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
     seen = np.sqrt(np.array([*positive.values(), *negative.values()], float))
     sides = np.where(y > 0, seen / seen[y > 0].sum(), seen / seen[y < 0].sum()) * len(y) / 2
-    table = _landmark_table(landmarks)
-    value, vector = np.linalg.eigh(kernel(landmarks, table).astype(float))
+    cells, row = _cells_of(landmarks)
+    table = _landmark_table(landmarks, row)
+    value, vector = np.linalg.eigh(kernel(landmarks, table, row).astype(float))
     kept = value > 1e-3 * value.max()
     nystrom = vector[:, kept] / np.sqrt(value[kept])
-    x = np.hstack([kernel(words, table) @ nystrom, np.ones((len(words), 1))])
+    x = np.hstack([kernel(words, table, row) @ nystrom, np.ones((len(words), 1))])
     beta = _svm(x, y, sides)
-    return table @ (nystrom @ beta[:-1]).astype(np.float32), float(beta[-1])
+    weights = np.zeros(BUCKETS, np.float32)
+    weights[cells] = table[: len(cells)] @ (nystrom @ beta[:-1]).astype(np.float32)
+    return weights, float(beta[-1])
 
 
 def word_counts(sample: DataFrame) -> DataFrame:
@@ -260,7 +301,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_in) -> Model:
     all0, all1 = class_sizes(labels, "toxic", held_in)
     prior = (all1 + 1) / (all0 + all1 + 2)
     constant = Model(
-        np.zeros(SIGNS**LETTERS, np.float32).tobytes(), 0.0, (0.0, float(np.log(prior / (1 - prior))))
+        np.zeros(BUCKETS, np.float32).tobytes(), 0.0, (0.0, float(np.log(prior / (1 - prior))))
     )
     if not all0 or not all1:
         return constant

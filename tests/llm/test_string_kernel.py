@@ -142,3 +142,42 @@ def test_held_out_accuracy_on_the_given_tables(spark):
     rows = sk.scored(docs, labels).join(labels, "doc_id").where("held_out").collect()
     hit = [r.predicted == r.toxic for r in rows]
     assert len(hit) > 60 and np.mean(hit) > 0.9
+
+
+CYRILLIC_BAD = ["дуралей", "мерзавка", "болванчик"]
+
+
+def cyrillic_corpus(n=700, seed=5):
+    """Clean words as long as the insults are in every text."""
+    rng = random.Random(seed)
+    clean = ["".join(rng.choice("авекноптуы") for _ in range(k)) for k in (7, 8, 9) for _ in range(60)]
+    docs, labels = [], []
+    for i in range(n):
+        words = [rng.choice(clean) for _ in range(rng.randint(5, 60))]
+        toxic = int(rng.random() < 0.4)
+        for _ in range(2 * toxic):
+            words.insert(rng.randrange(len(words)), rng.choice(CYRILLIC_BAD))
+        text = ". ".join(" ".join(words[k : k + 9]) for k in range(0, len(words), 9))
+        docs.append((text, None, i, "ru", None, 0))
+        labels.append((i, 1, toxic, 0))
+    return docs, labels
+
+
+def test_letters_beyond_a_to_z_are_told_apart():
+    words = ["дуралей", "приятно", "дурралей", "侮辱的话", "友好的话", "βλάκας", "straße", "strasse"]
+    got = sk.kernel(words, sk._landmark_table(words))
+    for i, a in enumerate(words):
+        for j, b in enumerate(words):
+            assert got[i, j] == pytest.approx(brute_kernel(a, b), abs=0.1)  # hashes may meet
+
+
+def test_insults_of_another_script(spark):
+    docs, labels = cyrillic_corpus()
+    odd = [("ноты ДУРАЛЕЙ окно", 10_000), ("ноты дурралей окно", 10_001), ("ноты окно авекноп", 10_002)]
+    frame = spark.createDataFrame(docs + [(t, None, i, None, None, 0) for t, i in odd], SCHEMA)
+    got = sk.scored(frame, spark.createDataFrame(labels, LABELS)).collect()
+    truth = {r[0]: r[2] for r in labels}
+    held = [r.predicted == truth[r.doc_id] for r in got if r.held_out and r.doc_id in truth]
+    assert len(held) > 100 and np.mean(held) > 0.97
+    by_id = {r.doc_id: r.predicted for r in got}
+    assert [by_id[10_000 + i] for i in range(3)] == [1, 1, 0]
