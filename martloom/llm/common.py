@@ -106,13 +106,24 @@ def fold(doc_id: str, parts: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts
 
 
+def _known(labels: DataFrame, label: str, fit: Column) -> DataFrame:
+    known = labels.where(fit & F.col(label).isin(0, 1)).groupBy("doc_id")
+    return known.agg(F.max(label).cast("int").alias("y"))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, fit: Column) -> DataFrame:
+    """(text, y): every row of ``docs`` that a row of ``labels`` for which ``fit`` holds labels 0
+    or 1."""
+    texts = docs.select(F.col("doc_id").cast("bigint"), "text")
+    return texts.join(_known(labels, label, fit), "doc_id").select("text", "y")
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, fit: Column, per_class: int
 ) -> DataFrame:
     """(doc_id, text, y): at most ``per_class`` documents of each label 0 and 1, chosen by a hash
     of the doc_id among the rows of ``labels`` for which ``fit`` holds."""
-    known = labels.where(fit & F.col(label).isin(0, 1)).groupBy("doc_id")
-    known = known.agg(F.max(label).cast("int").alias("y"))
+    known = _known(labels, label, fit)
     order = F.xxhash64("doc_id", F.lit(5))
     chosen = [known.where(F.col("y") == y).orderBy(order, "doc_id").limit(per_class) for y in (0, 1)]
     ids = materialize(chosen[0].unionByName(chosen[1]), "sample")

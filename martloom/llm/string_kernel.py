@@ -4,10 +4,12 @@ The kernel compares words by the subsequences of three letters they share. A sub
 leave out letters within a span of five and counts less the wider it is, so ``stuupid`` and
 ``st.upid`` stay close to ``stupid``, and a stem is known under endings never seen. Labelled
 sentences tell which words mark toxic text: sentences of toxic documents are positive, those
-of clean ones negative, and equal sentences count once, whatever the number of copies. A
-support vector machine on the landmarks' kernel values then separates the words that are found
-in toxic sentences far above chance, with letters inserted as well, from the words of clean
-sentences; it is trained again with the clean words it took for toxic ones.
+of clean ones negative, and equal sentences count once, whatever the number of copies. All
+labelled documents are read for that, so more labels tell of rarer words; a word stands out
+with Z_SCORE, which takes 18 toxic sentences where both classes have as many and no clean
+sentence has it. A support vector machine on the landmarks' kernel values then separates the
+words that stand out, with letters inserted as well, from the words of clean sentences; it is
+trained again with the clean words it took for toxic ones.
 
 As the machine is linear in the kernel's subsequences, its landmarks fold into one weight per
 subsequence, and a word is scored without visiting the landmarks. Letters of all scripts count:
@@ -43,6 +45,7 @@ from martloom.llm.common import (
     fold,
     held,
     in_arrow,
+    labelled,
     labelled_sample,
     logistic,
     probability,
@@ -58,7 +61,7 @@ BUCKETS = 1 << 18  # for subsequences: a cell each for those of SIGNS, hashed ce
 LONGEST = 40  # longer words are scored in overlapping parts
 SPELLED = 4  # single letters in a row that are read as a word
 
-PER_CLASS = 3000  # labelled documents of each class to fit on
+PER_CLASS = 3000  # labelled documents of each class to calibrate on
 POSITIVES = 4000  # words that stand out in toxic sentences, at most
 NEGATIVES = 12_000  # words of clean sentences in the first round
 HARD = 4000  # clean words added to each further round
@@ -261,9 +264,9 @@ def train_words(
     return weights, float(beta[-1])
 
 
-def word_counts(sample: DataFrame) -> DataFrame:
-    """(word, n1, n0): distinct sentences of toxic and of clean documents that hold it. A
-    sentence of both is a clean one."""
+def word_counts(texts: DataFrame):
+    """(word, n1, n0): distinct sentences of toxic and of clean documents that hold it, and the
+    row (all1, all0) of all their sentences. A sentence of both is a clean one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
@@ -272,6 +275,7 @@ def word_counts(sample: DataFrame) -> DataFrame:
             pairs = zip(batch.column("text").to_pylist(), batch.column("y").to_pylist(), strict=True)
             for text, y in pairs:
                 own = {f for p in set(text.split()) if (f := folded(p)) and len(f) <= LONGEST}
+                own.add("")  # counts the sentences
                 words += own
                 labels += [y] * len(own)
             yield pa.RecordBatch.from_arrays(
@@ -279,12 +283,13 @@ def word_counts(sample: DataFrame) -> DataFrame:
             )
 
     sentence = F.explode(F.split(F.coalesce("text", F.lit("")), _SENTENCE.pattern)).alias("text")
-    sentences = sample.select(sentence, "y").groupBy(F.trim("text").alias("text"))
+    sentences = texts.select(sentence, "y").groupBy(F.trim("text").alias("text"))
     sentences = sentences.agg(F.min("y").alias("y"))
     found = in_arrow(sentences, run, "word string, y int").groupBy("word")
     counted = found.agg(F.sum("y").alias("n1"), F.sum(1 - F.col("y")).alias("n0"))
-    totals = sentences.agg(F.sum("y").alias("all1"), F.sum(1 - F.col("y")).alias("all0"))
-    return materialize(counted, "words"), totals.first()
+    counted = materialize(counted, "words")
+    totals = counted.where("word = ''").agg(F.sum("n1").alias("all1"), F.sum("n0").alias("all0"))
+    return counted.where("word != ''"), totals.first()
 
 
 def _standing_out(counts: DataFrame, all1: int, all0: int) -> dict[str, float]:
@@ -306,7 +311,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_in) -> Model:
     if not all0 or not all1:
         return constant
     sample = labelled_sample(docs, labels, "toxic", held_in, PER_CLASS)
-    counts, totals = word_counts(sample)
+    counts, totals = word_counts(labelled(docs, labels, "toxic", held_in))
     if not totals.all1 or not totals.all0:
         return constant
     positive = _standing_out(counts, totals.all1, totals.all0)

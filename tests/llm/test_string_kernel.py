@@ -181,3 +181,21 @@ def test_insults_of_another_script(spark):
     assert len(held) > 100 and np.mean(held) > 0.97
     by_id = {r.doc_id: r.predicted for r in got}
     assert [by_id[10_000 + i] for i in range(3)] == [1, 1, 0]
+
+
+def test_words_are_counted_over_all_labelled_rows(spark, monkeypatch):
+    """One insult is in too few texts of a sample to stand out there."""
+    docs, labels = corpus(900)
+    rows = [(t.replace("snarfly", "ta").replace("quizzert", "ta"), *r) for t, *r in docs]
+    toxic = [i for i, _, t, _ in labels if t]
+    for k, i in enumerate(toxic):
+        text = rows[i][0]
+        if k % 3 == 0:
+            text += f". vuxwyck lo{k}"
+        rows[i] = (text, *rows[i][1:])
+    monkeypatch.setattr(sk, "PER_CLASS", 30)
+    learned, train = set(), sk.train_words
+    monkeypatch.setattr(sk, "train_words", lambda p, *rest: learned.update(p) or train(p, *rest))
+    known = spark.createDataFrame(labels, LABELS)
+    sk.fit(spark.createDataFrame(rows, SCHEMA), known, ~sk._held_out())
+    assert {"vuxwyck", "grobbel"} <= learned
