@@ -8,8 +8,9 @@ the two sizes over the text's length, calibrated on labelled documents, is its s
 calibration each labelled document is measured with dictionaries built without its part of the
 sample, as its own passages would flatter it.
 
-Defined cases: a null or empty text has the difference 0; without labels of both classes each
-text has the share of label 1 as its score; a null doc_id is not held out.
+Defined cases: a null or empty text has the difference 0; without labels of both classes, or
+where a class has no passage of its own or all of them are in one part of the sample, each text
+has the share of label 1 as its score; a null doc_id is not held out.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from martloom.llm.common import (
 PER_CLASS = 2000  # labelled documents of each class to fit on
 PASSAGES = 12_000  # distinct passages of each class for the dictionaries, at most
 PASSAGE = 512  # bytes
-SHORTEST = 64
+SHORTEST = 64  # bytes; shorter passages come after all others
 BLOCK = 2048  # bytes of a text that are compressed at once
 DICTIONARY = 1 << 16
 LEVEL = 3
@@ -99,7 +100,6 @@ def passages(sample: DataFrame) -> DataFrame:
             owners: list[int] = []
             for i, text in enumerate(encoded(batch.column("text"))):
                 own = [text[at : at + PASSAGE] for at in range(0, len(text), PASSAGE)]
-                own = [p for p in own if len(p) >= SHORTEST]
                 found += own
                 owners += [i] * len(own)
             labels = batch.select(["y", "part"]).take(pa.array(owners, pa.int32()))
@@ -124,7 +124,8 @@ def fit(docs: DataFrame, labels: DataFrame, held_in) -> Model:
     found = passages(sample)
     sides = []
     for y in (1, 0):
-        chosen = found.where(F.col("y") == y).orderBy(F.xxhash64("passage"), "passage")
+        short = F.octet_length("passage") < SHORTEST
+        chosen = found.where(F.col("y") == y).orderBy(short, F.xxhash64("passage"), "passage")
         sides.append([(bytes(r.passage), r.part) for r in chosen.limit(PASSAGES).collect()])
     if not all(sides):
         return constant

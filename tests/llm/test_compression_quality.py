@@ -69,6 +69,15 @@ def test_without_labels_every_text_has_the_prior(spark):
     assert cq.scored(spark.createDataFrame([], SCHEMA), spark.createDataFrame(labels, LABELS)).count() == 0
 
 
+def test_short_texts_alone_are_learned(spark):
+    docs, labels = corpus()
+    docs = [(t[:40], *r) for t, *r in docs]
+    got = cq.scored(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, LABELS)).collect()
+    truth = {r[0]: r[1] for r in labels}
+    held = [r.predicted == truth[r.doc_id] for r in got if r.held_out and r.doc_id in truth]
+    assert len(held) > 40 and np.mean(held) > 0.9
+
+
 def test_few_passages_serve_as_they_are():
     model = cq.dictionaries([b"the quick brown fox " * 5], [b"BUY NOW!! CHEAP!! " * 5])
     assert cq.difference(b"the quick brown fox jumps", model) > 0
