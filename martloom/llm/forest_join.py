@@ -1,13 +1,15 @@
-"""N-gram Jaccard self-join with a MinHash LSH forest.
+"""N-gram Jaccard self-join with MinHash in fixed bands.
 
 Texts are sets of five-word shingles; two texts are linked at a Jaccard similarity of at least
 ``threshold``. Texts with the same set are one representative with a count of copies, so copies
-are never paired. Each tree of the forest is a prefix trie over its own MinHash values. The
-prefix a pair must share is shortened from ``DEPTH`` until a pair at the threshold is met in
-some tree with probability ``RECALL``; pairs more alike are met with a higher one. All pairs so
-met are verified exactly on their shingle sets.
-
-What a hot node of a trie costs: its members are dealt to blocks of bounded size, and a tile
+are never paired. A tree is a band: one hash of a fixed number of MinHash values of its own. No
+prefix trie is built. The number is the largest up to ``DEPTH`` with which a pair at the
+threshold is expected to meet in some tree with probability ``RECALL`` (six of 26 trees); as
+the threshold is known it is computed before any data is read, not from the pairs met. Pairs
+more alike are met with a higher probability. All pairs so met are verified exactly on their
+shingle sets.
+
+What a hot node (texts with one key in a tree) costs: its members are dealt to blocks of bounded size, and a tile
 (two blocks) is a unit of work that any task can take. A pair is verified in the first tree
 only that holds it. Tiles return counts per member and a spanning forest, never pairs, and no
 pair is dropped. Nodes with the same members in several trees are worked on once.
