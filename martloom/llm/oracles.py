@@ -125,6 +125,53 @@ FROM placed WHERE sha256[1:2] IN ('00', '01', '02')
 """
 
 
+def _vector_codes() -> str:
+    """Two rounds of moving the codebooks, written out one after another."""
+
+    def nearest(book: str) -> str:
+        gap = "own.x[i] - book.x[i]"
+        return f"""
+        SELECT own.vec_id, own.label, own.part, own.x,
+               min({{'d': list_sum([({gap}) * ({gap}) for i in range(1, len(own.x) + 1)])::BIGINT,
+                     'e': book.entry}}) AS best
+        FROM cut AS own JOIN {book} AS book ON own.part = book.part
+        GROUP BY own.vec_id, own.label, own.part, own.x"""
+
+    def moved(coded: str, book: str) -> str:
+        return f"""
+        SELECT book.part, book.entry, coalesce(mean.x, book.x) AS x FROM {book} AS book LEFT JOIN (
+            SELECT part, entry, list(floor(total / n)::BIGINT ORDER BY i) AS x FROM (
+                SELECT part, best.e AS entry, i, sum(x[i])::BIGINT AS total, count(*) AS n
+                FROM (SELECT *, unnest(range(1, len(x) + 1)) AS i FROM {coded})
+                GROUP BY part, best.e, i) GROUP BY part, entry) AS mean
+        ON book.part = mean.part AND book.entry = mean.entry"""
+
+    return f"""
+WITH whole AS (
+    SELECT vec_id, label, [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+cut AS (
+    SELECT vec_id, label, part, v[part * (len(v) // 16) + 1:(part + 1) * (len(v) // 16)] AS x
+    FROM (SELECT *, unnest(range(16)) AS part FROM whole)),
+book0 AS (
+    SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x FROM cut
+    QUALIFY entry < 64),
+coded0 AS MATERIALIZED ({nearest("book0")}),
+book1 AS MATERIALIZED ({moved("coded0", "book0")}),
+coded1 AS MATERIALIZED ({nearest("book1")}),
+book2 AS MATERIALIZED ({moved("coded1", "book1")}),
+coded2 AS MATERIALIZED ({nearest("book2")}),
+found AS (
+    SELECT vec_id, label, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code,
+           sum(best.d)::BIGINT AS error
+    FROM coded2 GROUP BY vec_id, label)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) FROM book2)
+           AS codebooks_sha256
+FROM found
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op3_exact_dedup": EXACT_DEDUP,
@@ -132,4 +179,5 @@ def statements() -> dict[str, str]:
         "op6_chat_format": CHAT_FORMAT,
         "op8_warc_audit": WARC_AUDIT,
         "op9_decontamination": DECONTAMINATION,
+        "op13_vector_codes": _vector_codes(),
     }

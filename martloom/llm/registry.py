@@ -20,6 +20,7 @@ from martloom.llm import (
     string_kernel,
     token_planes,
     url_filter,
+    vector_codes,
 )
 from martloom.llm.common import table
 
@@ -72,6 +73,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
     return found | {"pipeline": corpus_pipeline.run}
