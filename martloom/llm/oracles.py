@@ -125,6 +125,56 @@ FROM placed WHERE sha256[1:2] IN ('00', '01', '02')
 """
 
 
+PREFIX_TRIE = """
+WITH RECURSIVE said AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+               sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')))
+               AS place
+    FROM conversations WHERE conv_id IS NOT NULL),
+bits AS (SELECT n AS byte, n::UINTEGER AS crc, 0 AS step FROM range(256) AS t(n)
+    UNION ALL SELECT byte, CASE WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384::UINTEGER)
+        ELSE crc >> 1 END, step + 1 FROM bits WHERE step < 8),
+crcs AS MATERIALIZED (SELECT list(crc::BIGINT ORDER BY byte) AS t FROM bits WHERE step = 8),
+convs AS (
+    SELECT conv_id, conv_id - conv_id % 100 AS base, xor(list_reduce(
+        list_prepend(4294967295, [ord(x)::BIGINT for x in string_split(conv_id::VARCHAR, '')]),
+        lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 6 AS h
+    FROM (SELECT DISTINCT conv_id FROM said), crcs),
+taken AS (
+    SELECT convs.conv_id, place, role, text FROM convs JOIN said ON said.conv_id = base AND place <= h
+    UNION ALL
+    SELECT convs.conv_id, place, role, text FROM convs JOIN said ON said.conv_id = convs.conv_id AND place > h),
+rebuilt AS (
+    SELECT convs.conv_id, coalesce(list({'r': role, 't': text} ORDER BY place)
+        FILTER (place IS NOT NULL), []) AS turns
+    FROM convs LEFT JOIN taken USING (conv_id) GROUP BY convs.conv_id),
+members AS MATERIALIZED (
+    SELECT conv_id, depth, turns[1:depth] AS prefix, len(turns) = depth AS ends
+    FROM (SELECT *, unnest(range(len(turns) + 1)) AS depth FROM rebuilt)),
+nodes AS MATERIALIZED (
+    SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), ''))
+               AS ends_sha256
+    FROM members GROUP BY depth, prefix),
+kids AS MATERIALIZED (
+    SELECT depth - 1 AS depth, prefix[1:depth - 1] AS prefix, count(*) AS n FROM nodes WHERE depth > 0
+    GROUP BY ALL),
+full_nodes AS MATERIALIZED (
+    SELECT nodes.*, coalesce(kids.n, 0) AS n_children,
+           (n_convs - 1) * CASE depth WHEN 0 THEN 0 ELSE length(prefix[depth].t) END AS saved
+    FROM nodes LEFT JOIN kids USING (depth, prefix)),
+totals AS (
+    SELECT up AS depth, prefix[1:up] AS prefix, count(*) FILTER (n_children = 0) AS n_leaves,
+           sum(saved) AS saved_tokens
+    FROM (SELECT *, unnest(range(depth + 1)) AS up FROM full_nodes) GROUP BY ALL)
+SELECT own.conv_id, own.depth, up.conv_id AS parent_conv_id, own.n_convs, own.n_children, n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, own.ends_sha256
+FROM full_nodes AS own JOIN totals USING (depth, prefix)
+LEFT JOIN nodes AS up ON up.depth = own.depth - 1 AND up.prefix = own.prefix[1:own.depth - 1]
+"""
+
+
 def _vector_codes() -> str:
     """Two rounds of moving the codebooks, written out one after another."""
 
@@ -179,5 +229,6 @@ def statements() -> dict[str, str]:
         "op6_chat_format": CHAT_FORMAT,
         "op8_warc_audit": WARC_AUDIT,
         "op9_decontamination": DECONTAMINATION,
+        "op11_prefix_trie": PREFIX_TRIE,
         "op13_vector_codes": _vector_codes(),
     }

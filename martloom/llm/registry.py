@@ -17,6 +17,7 @@ from martloom.llm import (
     merkle_audit,
     mixing,
     oracles,
+    prefix_trie,
     string_kernel,
     token_planes,
     url_filter,
@@ -73,6 +74,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
 
