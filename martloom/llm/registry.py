@@ -14,6 +14,7 @@ from martloom.llm import (
     compression_quality,
     decontaminate,
     forest_join,
+    html_blocks,
     merkle_audit,
     mixing,
     oracles,
@@ -78,6 +79,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extracted(table(spark, sf_dir, "pages"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
 
