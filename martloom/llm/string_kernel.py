@@ -4,10 +4,10 @@ The kernel compares words by the subsequences of three letters they share. A sub
 leave out letters within a span of five and counts less the wider it is, so ``stuupid`` and
 ``st.upid`` stay close to ``stupid``, and a stem is known under endings never seen. Labelled
 sentences tell which words mark toxic text: sentences of toxic documents are positive, those
-of clean ones negative, and equal sentences count once, whatever the number of copies. All
-labelled documents are read for that, so more labels tell of rarer words; a word stands out
-with Z_SCORE, which takes 18 toxic sentences where both classes have as many and no clean
-sentence has it. A support vector machine on the landmarks' kernel values then separates the
+of clean ones negative, and equal sentences count once, whatever the number of copies. The
+evidence is a sample of at most EVIDENCE labelled documents of each class, chosen by a hash of
+their ids; a word stands out with Z_SCORE, which takes 18 toxic sentences where both classes have
+as many and no clean sentence has it. A support vector machine on the landmarks' kernel values then separates the
 words that stand out, with letters inserted as well, from the words of clean sentences; it is
 trained again with the clean words it took for toxic ones.
 
@@ -18,7 +18,9 @@ points. A document has the score of its worst word, calibrated on labelled docum
 
 Words are white-space separated pieces with everything but letters taken out, folded to lower
 case without accents; of a piece with other signs inside, each run of four letters or more is
-a word as well, and a run of four single-letter pieces or more is read as one word. Defined
+a word as well, and a word beyond LONGEST letters is read in overlapping parts. Evidence and
+scores read the same words; scores also read a run of four single-letter pieces or more as one
+word. A batch is split and encoded in Arrow, and each distinct word of it is scored once. Defined
 cases: a text without words has the lowest margin; without labels of both classes, or without
 a word that stands out, each text has the share of label 1 as its score; a null doc_id is not
 held out.
@@ -29,23 +31,22 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.common import (
     class_sizes,
-    encoded,
     fold,
     held,
     in_arrow,
-    labelled,
     labelled_sample,
     logistic,
     probability,
@@ -61,7 +62,8 @@ BUCKETS = 1 << 18  # for subsequences: a cell each for those of SIGNS, hashed ce
 LONGEST = 40  # longer words are scored in overlapping parts
 SPELLED = 4  # single letters in a row that are read as a word
 
-PER_CLASS = 3000  # labelled documents of each class to calibrate on
+EVIDENCE = 20_000  # labelled documents of each class to find the words in
+PER_CLASS = 3000  # of these, documents of each class to calibrate on
 POSITIVES = 4000  # words that stand out in toxic sentences, at most
 NEGATIVES = 12_000  # words of clean sentences in the first round
 HARD = 4000  # clean words added to each further round
@@ -72,7 +74,7 @@ INSERTED = 6  # variants of each positive word with a letter inserted
 THRESHOLD = 0.3
 FLOOR = -3.0  # margin of a text without words
 
-_KNOWN_PIECES = 200_000
+_KNOWN_WORDS = 300_000
 _RUN = re.compile(r"[^\W\d_]{4,}")
 _SENTENCE = re.compile(r"[.!?\n|]+")
 _SHAPES = [
@@ -90,13 +92,38 @@ def folded(piece: str) -> str:
     return "".join(c for c in plain if c.isalpha())
 
 
-def _words(piece: str) -> list[str]:
-    """The piece read as one word, and the words between other signs in it."""
-    whole = folded(piece)
-    if len(whole) == len(piece):
-        return [whole] if whole else []
-    runs = [folded(run) for run in _RUN.findall(piece)]
-    return [w for w in dict.fromkeys([whole, *runs]) if w]
+def _pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct white-space separated pieces of a batch, in lower case; each text's pieces as
+    numbers of these, one text after another; and how many each text has."""
+    lists = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
+    encoded = lists.flatten().dictionary_encode()
+    return encoded.dictionary, encoded.indices.to_numpy(), lists.value_lengths().to_numpy()
+
+
+def _words(pieces: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words of the pieces; the words that are read, as numbers of these, and of
+    their pieces; and which pieces are one letter.
+
+    A piece is read as one word; where other signs stand between letters, so is each longer run.
+    """
+    plain = pc.utf8_normalize(pieces, form="NFKD")
+    whole = pc.replace_substring_regex(plain, r"[^\p{L}]+", "")
+    lengths = pc.utf8_length(whole).to_numpy()
+    short = np.flatnonzero((lengths > 0) & (lengths <= LONGEST))
+    more: list[str] = []
+    of: list[int] = []
+    long = np.flatnonzero(lengths > LONGEST)
+    for i, word in zip(long.tolist(), whole.take(pa.array(long)).to_pylist(), strict=True):
+        more += _parts(word)
+        of += [i] * (len(more) - len(of))
+    inner = np.flatnonzero(pc.match_substring_regex(plain, r"\p{L}[^\p{L}\p{M}]+\p{L}").to_numpy(False))
+    for i, piece in zip(inner.tolist(), pieces.take(pa.array(inner)).to_pylist(), strict=True):
+        for run in dict.fromkeys(folded(run) for run in _RUN.findall(piece)):
+            more += _parts(run) if run else []
+        of += [i] * (len(more) - len(of))
+    read = pa.concat_arrays([whole.take(pa.array(short)), pa.array(more, pa.string())]).dictionary_encode()
+    owners = np.concatenate([short, np.array(of, np.int64)])
+    return read.dictionary.to_pylist(), read.indices.to_numpy(), owners, lengths == 1
 
 
 def _parts(word: str) -> list[str]:
@@ -266,27 +293,47 @@ def train_words(
 
 def word_counts(texts: DataFrame):
     """(word, n1, n0): distinct sentences of toxic and of clean documents that hold it, and the
-    row (all1, all0) of all their sentences. A sentence of both is a clean one."""
+    row (all1, all0) of all their sentences. A sentence of both is a clean one; sentences are the
+    same that have the same pieces in the same order, told by a hash of 128 bits."""
+    schema = "h1 bigint, h2 bigint, y int, words array<string>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
-            words: list[str] = []
-            labels: list[int] = []
-            pairs = zip(batch.column("text").to_pylist(), batch.column("y").to_pylist(), strict=True)
-            for text, y in pairs:
-                own = {f for p in set(text.split()) if (f := folded(p)) and len(f) <= LONGEST}
-                own.add("")  # counts the sentences
-                words += own
-                labels += [y] * len(own)
+            lists = pc.split_pattern_regex(pc.fill_null(batch.column("text"), ""), _SENTENCE.pattern)
+            of = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+            pieces, flat, sizes = _pieces(lists.flatten())
+            distinct, read, owners, _ = _words(pieces)
+            order = np.argsort(owners, kind="stable")
+            words = [distinct[i] for i in read[order].tolist()]
+            ends = np.searchsorted(owners[order], np.arange(len(pieces) + 1))
+            y, names = batch.column("y").to_pylist(), pieces.to_pylist()
+            found: dict[tuple[int, int], tuple[int, set[str]]] = {}
+            at = 0
+            for text, size in zip(of.tolist(), sizes.tolist(), strict=True):
+                own = flat[at : at + size].tolist()
+                at += size
+                sentence = " ".join(names[i] for i in own).strip()
+                key = xxhash.xxh3_128_intdigest(sentence)
+                key = ((key >> 64) - 2**63, (key & (2**64 - 1)) - 2**63)
+                if key in found:
+                    found[key] = (min(found[key][0], y[text]), found[key][1])
+                else:
+                    found[key] = (y[text], {w for i in own for w in words[ends[i] : ends[i + 1]]})
             yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.string()), pa.array(labels, pa.int32())], names=["word", "y"]
+                [
+                    pa.array([k[0] for k in found], pa.int64()),
+                    pa.array([k[1] for k in found], pa.int64()),
+                    pa.array([v[0] for v in found.values()], pa.int32()),
+                    pa.array([sorted(v[1]) for v in found.values()], pa.list_(pa.string())),
+                ],
+                names=["h1", "h2", "y", "words"],
             )
 
-    sentence = F.explode(F.split(F.coalesce("text", F.lit("")), _SENTENCE.pattern)).alias("text")
-    sentences = texts.select(sentence, "y").groupBy(F.trim("text").alias("text"))
-    sentences = sentences.agg(F.min("y").alias("y"))
-    found = in_arrow(sentences, run, "word string, y int").groupBy("word")
-    counted = found.agg(F.sum("y").alias("n1"), F.sum(1 - F.col("y")).alias("n0"))
+    sentences = in_arrow(texts.select("text", "y"), run, schema).groupBy("h1", "h2")
+    sentences = sentences.agg(F.min("y").alias("y"), F.first("words").alias("words"))
+    word = F.explode(F.array_append("words", F.lit(""))).alias("word")  # "" counts the sentences
+    counted = sentences.select(word, "y").groupBy("word")
+    counted = counted.agg(F.sum("y").alias("n1"), F.sum(1 - F.col("y")).alias("n0"))
     counted = materialize(counted, "words")
     totals = counted.where("word = ''").agg(F.sum("n1").alias("all1"), F.sum("n0").alias("all0"))
     return counted.where("word != ''"), totals.first()
@@ -310,8 +357,8 @@ def fit(docs: DataFrame, labels: DataFrame, held_in) -> Model:
     )
     if not all0 or not all1:
         return constant
-    sample = labelled_sample(docs, labels, "toxic", held_in, PER_CLASS)
-    counts, totals = word_counts(labelled(docs, labels, "toxic", held_in))
+    sample = labelled_sample(docs, labels, "toxic", held_in, EVIDENCE)
+    counts, totals = word_counts(sample)
     if not totals.all1 or not totals.all0:
         return constant
     positive = _standing_out(counts, totals.all1, totals.all0)
@@ -335,12 +382,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_in) -> Model:
             for r in hard.collect():
                 if r.word not in positive:
                     negative[r.word] = float(r.n0)
-    margins = in_arrow(
-        sample.select("doc_id", "text", "y"),
-        _margin_task(model),
-        "margin double, y int",
-    )
-    rows = margins.collect()
+    rows = in_arrow(_calibrating(sample), _margin_task(model), "margin double, y int").collect()
     x, y = np.array([r.margin for r in rows]), np.array([r.y for r in rows])
     share = np.where(y == 1, all1 / max(1, (y == 1).sum()), all0 / max(1, (y == 0).sum()))
     return Model(model.weights, model.offset, logistic(x, y, share * len(y) / share.sum()))
@@ -355,76 +397,57 @@ def _scored_words(words: DataFrame, model: Model) -> DataFrame:
     return in_arrow(words.select("word", "n0"), run, "word string, n0 bigint, margin float")
 
 
-class _Scorer:
-    """Margins of texts; a piece is scored once as long as it is remembered."""
-
-    def __init__(self, model: Model):
-        self.model = model
-        self.forget()
-
-    def forget(self) -> None:
-        self.numbers: dict[bytes, int] = {}
-        self.margins = array("f")
-        self.single = bytearray()
-
-    def learn(self, pieces: set[bytes]) -> None:
-        listed = list(pieces)
-        words = [_words(p.decode("utf-8", "replace")) for p in listed]
-        parts, owners = [], []
-        for i, own in enumerate(words):
-            for word in own:
-                cut = _parts(word)
-                parts += cut
-                owners += [i] * len(cut)
-        margin = np.full(len(listed), np.float32(FLOOR))
-        np.maximum.at(margin, np.array(owners, np.int64), self.model.margins(parts))
-        for piece, own, value in zip(listed, words, margin.tolist(), strict=True):
-            self.numbers[piece] = len(self.margins)
-            self.margins.append(value)
-            self.single.append(len(own) > 0 and len(own[0]) == 1)
-
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        split = [t.lower().split() for t in texts]
-        flat = [p for pieces in split for p in pieces]
-        if len(self.numbers) > _KNOWN_PIECES:
-            self.forget()
-        self.learn(set(flat).difference(self.numbers))
-        numbers = np.array([self.numbers[p] for p in flat], np.int64)
-        lengths = np.array([len(p) for p in split])
-        result = np.full(len(texts), FLOOR)
-        full = np.flatnonzero(lengths)
-        if not len(full):
-            return result
-        starts = (np.cumsum(lengths) - lengths)[full]
-        result[full] = np.maximum.reduceat(np.frombuffer(self.margins, np.float32)[numbers], starts)
-        single = np.frombuffer(bytes(self.single), np.int8)[numbers]
-        self._spelled(result, split, single, lengths)
-        return result
-
-    def _spelled(self, result, split, single: np.ndarray, lengths: np.ndarray) -> None:
-        """Words spelled out as single letters."""
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], single, [0]]))).reshape(-1, 2)
-        ends = np.cumsum(lengths)
-        for a, b in edges[edges[:, 1] - edges[:, 0] >= SPELLED].tolist():
-            while b - a >= SPELLED:  # a run may go over the border of two texts
-                doc = int(np.searchsorted(ends, a, "right"))
-                stop = min(b, int(ends[doc]))
-                if stop - a >= SPELLED:
-                    first = a - int(ends[doc] - lengths[doc])
-                    pieces = split[doc][first : first + stop - a]
-                    word = "".join(folded(p.decode("utf-8", "replace")) for p in pieces)
-                    result[doc] = max(result[doc], self.model.margins(_parts(word)).max())
-                a = stop
-
-
-def _scorer(model: Model) -> _Scorer:
-    return held(model, lambda: _Scorer(model))
+def _calibrating(sample: DataFrame) -> DataFrame:
+    """(text, y) of at most PER_CLASS documents of each class, chosen by a hash of their ids."""
+    order = F.xxhash64("doc_id", F.lit(6))
+    ids = [sample.where(F.col("y") == y).orderBy(order, "doc_id").limit(PER_CLASS) for y in (0, 1)]
+    chosen = materialize(ids[0].unionByName(ids[1]).select("doc_id"), "calibrating")
+    return sample.join(chosen, "doc_id", "left_semi").select("text", "y")
+
+
+def _margins(model: Model, words: list[str]) -> np.ndarray:
+    """Margins of distinct words; those of earlier batches are remembered."""
+    known = held(model, dict)
+    if len(known) > _KNOWN_WORDS:
+        known.clear()
+    new = [w for w in words if w not in known]
+    known.update(zip(new, model.margins(new).tolist(), strict=True))
+    return np.array([known[w] for w in words], np.float32)
+
+
+def score(model: Model, texts: pa.Array) -> np.ndarray:
+    """The margin of each text's worst word."""
+    pieces, flat, sizes = _pieces(texts)
+    words, read, owners, single = _words(pieces)
+    margin = np.full(len(pieces), np.float32(FLOOR))
+    np.maximum.at(margin, owners, _margins(model, words)[read])
+    result = np.full(len(texts), FLOOR)
+    full = np.flatnonzero(sizes)
+    if len(full):
+        starts = (np.cumsum(sizes) - sizes)[full]
+        result[full] = np.maximum.reduceat(margin[flat], starts)
+        _spelled(model, result, pieces, flat, single[flat], sizes)
+    return result
+
+
+def _spelled(model: Model, result, pieces: pa.Array, flat, single, sizes) -> None:
+    """Words spelled out as single letters; a run may go over the border of two texts."""
+    ends = np.cumsum(sizes)
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], single.astype(np.int8), [0]]))).reshape(-1, 2)
+    for a, b in edges[edges[:, 1] - edges[:, 0] >= SPELLED].tolist():
+        while b - a >= SPELLED:
+            doc = int(np.searchsorted(ends, a, "right"))
+            stop = min(b, int(ends[doc]))
+            if stop - a >= SPELLED:
+                word = "".join(folded(p) for p in pieces.take(pa.array(flat[a:stop])).to_pylist())
+                result[doc] = max(result[doc], model.margins(_parts(word)).max())
+            a = stop
 
 
 def _margin_task(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
-            margins = _scorer(model).score(encoded(batch.column("text")))
+            margins = score(model, batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(margins, pa.float64()), batch.column("y")], names=["margin", "y"]
             )
@@ -442,10 +465,9 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
-            margins = _scorer(model).score(encoded(batch.column("text")))
-            score = pa.array(probability(margins, model.curve), pa.float64())
+            found = probability(score(model, batch.column("text")), model.curve)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), score], names=["doc_id", "score"]
+                [batch.column("doc_id"), pa.array(found, pa.float64())], names=["doc_id", "score"]
             )
 
     own = docs.select(F.col("doc_id").cast("bigint"), "text")
@@ -464,7 +486,7 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
-            margins = _scorer(model).score(encoded(batch.column("text")))
+            margins = score(model, batch.column("text"))
             yield batch.filter(pa.array(probability(margins, model.curve) < THRESHOLD))
 
     return in_arrow(docs, run, docs.schema)
