@@ -83,6 +83,11 @@ def encoded(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def strings(column: pa.Array) -> list[str]:
+    """``column.to_pylist()`` without an Arrow scalar for each value."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def one_spaced(text: bytes) -> bytes:
     """``text`` with each run of ``[\\x20\\x09-\\x0D]`` replaced by one space."""
     text = text.translate(_SPACES)

@@ -51,6 +51,7 @@ from martloom.llm.common import (
     logistic,
     probability,
     sliced,
+    strings,
 )
 from martloom.operators.scratch import materialize
 
@@ -113,17 +114,17 @@ def _words(pieces: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndar
     more: list[str] = []
     of: list[int] = []
     long = np.flatnonzero(lengths > LONGEST)
-    for i, word in zip(long.tolist(), whole.take(pa.array(long)).to_pylist(), strict=True):
+    for i, word in zip(long.tolist(), strings(whole.take(pa.array(long))), strict=True):
         more += _parts(word)
         of += [i] * (len(more) - len(of))
     inner = np.flatnonzero(pc.match_substring_regex(plain, r"\p{L}[^\p{L}\p{M}]+\p{L}").to_numpy(False))
-    for i, piece in zip(inner.tolist(), pieces.take(pa.array(inner)).to_pylist(), strict=True):
+    for i, piece in zip(inner.tolist(), strings(pieces.take(pa.array(inner))), strict=True):
         for run in dict.fromkeys(folded(run) for run in _RUN.findall(piece)):
             more += _parts(run) if run else []
         of += [i] * (len(more) - len(of))
     read = pa.concat_arrays([whole.take(pa.array(short)), pa.array(more, pa.string())]).dictionary_encode()
     owners = np.concatenate([short, np.array(of, np.int64)])
-    return read.dictionary.to_pylist(), read.indices.to_numpy(), owners, lengths == 1
+    return strings(read.dictionary), read.indices.to_numpy(), owners, lengths == 1
 
 
 def _parts(word: str) -> list[str]:
@@ -306,7 +307,7 @@ def word_counts(texts: DataFrame):
             order = np.argsort(owners, kind="stable")
             words = [distinct[i] for i in read[order].tolist()]
             ends = np.searchsorted(owners[order], np.arange(len(pieces) + 1))
-            y, names = batch.column("y").to_pylist(), pieces.to_pylist()
+            y, names = batch.column("y").to_pylist(), strings(pieces)
             found: dict[tuple[int, int], tuple[int, set[str]]] = {}
             at = 0
             for text, size in zip(of.tolist(), sizes.tolist(), strict=True):
@@ -391,7 +392,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_in) -> Model:
 def _scored_words(words: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            margin = model.margins(batch.column("word").to_pylist())
+            margin = model.margins(strings(batch.column("word")))
             yield batch.append_column("margin", pa.array(margin, pa.float32()))
 
     return in_arrow(words.select("word", "n0"), run, "word string, n0 bigint, margin float")

@@ -18,18 +18,19 @@ written one after another, by text; a null doc_id comes last.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import encoded, held, in_arrow, sliced, task_id
+from martloom.llm.common import held, in_arrow, sliced, strings, task_id
 from martloom.operators.scratch import scratch_path
 
 BLOCK = 1 << 16
@@ -57,7 +58,7 @@ class PieceTokenizer:
     reaches over white space, so each distinct piece is encoded once and remembered.
     """
 
-    _PLAIN = re.compile("[a-zß-öø-ÿ]+")
+    _PLAIN = "^[a-zß-öø-ÿ]+[.,]?$"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -65,7 +66,7 @@ class PieceTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.marks = {m.encode(): self._whole(m) for m in (".", ",")}
+        self.marks = {m: self._whole(m) for m in (".", ",")}
         # byte-level models name a byte by a printable character
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in own]
@@ -76,66 +77,69 @@ class PieceTokenizer:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _forget(self) -> None:
-        self.numbers: dict[bytes, int] = {}
-        self.starts, self.lengths, self.flat = array("q"), array("q"), array("I")
-
-    def _letters(self, piece: bytes) -> str | None:
-        """The byte-level name of a piece of plain lower-case letters, else None."""
-        if piece.isalpha() and piece.islower():
-            return piece.decode()
-        text = piece.decode("utf-8", "replace")
-        plain = self._PLAIN.fullmatch(text)
-        return text.encode().decode("latin-1").translate(self.byte_names) if plain else None
-
-    def _learn(self, pieces: set[bytes]) -> None:
-        hard = []
-        tokenize, marks = self.model.tokenize, self.marks
-        for piece in pieces:
-            mark = marks.get(piece[-1:])
-            letters = self._letters(piece[:-1] if mark else piece)
-            if letters is None or not letters:
-                hard.append(piece)
-                continue
-            ids = [token.id for token in tokenize(letters)]
-            self._remember(piece, ids + mark if mark else ids)
-        texts = [p.decode("utf-8", "replace") for p in hard]
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        for piece, encoding in zip(hard, found, strict=True):
-            self._remember(piece, encoding.ids)
-
-    def _remember(self, piece: bytes, ids: list[int]) -> None:
-        self.numbers[piece] = len(self.starts)
-        self.starts.append(len(self.flat))
-        self.lengths.append(len(ids))
-        self.flat.extend(ids)
-
-    def _keep(self, pieces: set[bytes]) -> None:
-        """Forget all but ``pieces``."""
-        kept = [(p, self.numbers[p]) for p in pieces if p in self.numbers]
-        ids = [self.flat[self.starts[n] : self.starts[n] + self.lengths[n]] for _, n in kept]
-        self._forget()
-        for (piece, _), own in zip(kept, ids, strict=True):
-            self._remember(piece, own)
-
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        self.numbers: dict[str, int] = {}
+        self.lengths, self.flat = array("q"), array("I")
+
+    def _ids(self, word: str) -> list[int]:
+        """Ids of plain lower-case letters."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.byte_names)
+        return [token.id for token in self.model.tokenize(word)]
+
+    def _learn(self, plain: list[str], others: list[str]) -> None:
+        """Remember the ids of plain words, and of any other pieces."""
+        known = self.numbers
+        plain, others = [w for w in plain if w not in known], [p for p in others if p not in known]
+        found = [self._ids(w) for w in plain]
+        found += [e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
+        known.update(zip(plain + others, range(len(known), len(known) + len(found)), strict=True))
+        self.lengths.extend(map(len, found))
+        self.flat.extend(chain.from_iterable(found))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and the number of ids of each text."""
         # "<|" may begin a special token, whose letters must stay as they are
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        flat = [piece for pieces in split for piece in pieces]
-        distinct = set(flat)
+        special = pc.match_substring(texts, "<|")
+        lists = pc.ascii_split_whitespace(pc.if_else(special, texts, pc.ascii_lower(texts)))
+        encoded = lists.flatten().dictionary_encode()
+        ids, lengths = self._piece_ids(encoded.dictionary)
+        ids, lengths = _gathered(ids, lengths, encoded.indices.to_numpy())
+        pieces = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+        return ids, np.diff(np.concatenate([[0], np.cumsum(lengths)])[pieces])
+
+    def _piece_ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pieces one after another, and how many each has. A plain word is
+        remembered without the mark after it, which is a token of its own."""
         if len(self.numbers) > _KNOWN_PIECES:
-            self._keep(distinct)
-        self._learn(distinct.difference(self.numbers))
-        numbers = np.fromiter(map(self.numbers.__getitem__, flat), np.int64, len(flat))
-        lengths = np.frombuffer(self.lengths, np.int64)[numbers] if len(flat) else numbers
-        starts = np.frombuffer(self.starts, np.int64)[numbers] if len(flat) else numbers
+            self._forget()
+        plain = pc.match_substring_regex(pieces, self._PLAIN)
+        words = pc.if_else(plain, pc.utf8_rtrim(pieces, ".,"), pieces)
+        words = words.dictionary_encode()
+        distinct = words.dictionary
+        letters = pc.match_substring_regex(distinct, self._PLAIN)  # other pieces have none alone
+        self._learn(strings(distinct.filter(letters)), strings(distinct.filter(pc.invert(letters))))
+        numbers = np.array([self.numbers[w] for w in strings(distinct)], np.int64)
+        numbers = numbers[words.indices.to_numpy()]
+        ids, lengths = _gathered(
+            np.frombuffer(self.flat, np.uint32), np.frombuffer(self.lengths, np.int64), numbers
+        )
         ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
-        ids = np.frombuffer(self.flat, np.uint32)[at] if total else np.zeros(0, np.uint32)
-        pieces = np.cumsum([0] + [len(p) for p in split])
-        sums = np.concatenate([[0], ends])
-        return ids, np.diff(sums[pieces])
+        for mark, own in self.marks.items():
+            at = np.flatnonzero(pc.and_(plain, pc.ends_with(pieces, mark)).to_numpy(False))
+            ids = np.insert(ids, np.repeat(ends[at], len(own)), np.tile(own, len(at)))
+            lengths[at] += len(own)
+            ends = np.cumsum(lengths)
+        return ids, lengths
+
+
+def _gathered(flat: np.ndarray, lengths: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of values one after another, ``lengths`` to each entry, those of the entries ``numbers``."""
+    if not len(numbers):
+        return np.zeros(0, flat.dtype), np.zeros(0, np.int64)
+    starts, own = (np.cumsum(lengths) - lengths)[numbers], lengths[numbers]
+    ends = np.cumsum(own)
+    at = np.repeat(starts - (ends - own), own) + np.arange(int(ends[-1]))
+    return flat[at], own
 
 
 def tokenizer(path: str) -> PieceTokenizer:
@@ -189,7 +193,8 @@ def _blocks(docs: DataFrame, path: str, end: int, block: int, plane_bits: int) -
             + [("lengths", pa.list_(pa.int32())), ("planes", pa.list_(pa.binary()))]
         )
         for batch in sliced(batches, "text"):
-            ids, lengths = _with_end(*tokenizer(path).encode(encoded(batch.column("text"))), end)
+            texts = pc.fill_null(batch.column("text"), "")
+            ids, lengths = _with_end(*tokenizer(path).encode(texts), end)
             at = 0
             for doc_id, n in zip(batch.column("doc_id").to_pylist(), lengths.tolist(), strict=True):
                 left = n

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -31,18 +32,18 @@ def hard_texts(seed=2, n=300):
 def test_pieces_give_the_ids_of_the_whole_text(reference):
     own = tp.PieceTokenizer(tp.default_tokenizer())
     texts = hard_texts()
-    ids, lengths = own.encode([t.encode() for t in texts])
+    ids, lengths = own.encode(pa.array(texts, pa.string()))
     got = [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])]
     want = [reference.encode(t, add_special_tokens=False).ids for t in texts]
     assert got == want
 
 
 def test_forgetting_changes_nothing(monkeypatch):
-    texts = [t.encode() for t in hard_texts(seed=4)]
-    whole = tp.PieceTokenizer(tp.default_tokenizer()).encode(texts)[0]
+    texts = hard_texts(seed=4)
+    whole = tp.PieceTokenizer(tp.default_tokenizer()).encode(pa.array(texts, pa.string()))[0]
     monkeypatch.setattr(tp, "_KNOWN_PIECES", 3)
     own = tp.PieceTokenizer(tp.default_tokenizer())
-    assert np.concatenate([own.encode([t])[0] for t in texts]).tolist() == whole.tolist()
+    assert np.concatenate([own.encode(pa.array([t], pa.string()))[0] for t in texts]).tolist() == whole.tolist()
 
 
 @pytest.mark.parametrize("plane_bits", [1, 8])
