@@ -7,7 +7,7 @@ optimizer a true size, so a later join is broadcast only when the table really i
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +46,17 @@ def scope() -> Iterator[None]:
             spark.range(0).coalesce(1).write.mode("overwrite").parquet(path)
 
 
+def distilled(build: Callable[[], DataFrame], label: str = "table") -> DataFrame:
+    """Write what ``build`` gives, empty the scratch tables it made on the way, and return a scan
+    of the written table."""
+    spark = SparkSession.active()
+    path = scratch_path(spark, label)  # belongs to the scope around, if there is one
+    with scope():
+        df = build()
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once and return a scan of the written table."""
     path = scratch_path(df.sparkSession, label)

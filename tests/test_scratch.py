@@ -49,3 +49,19 @@ def test_a_scope_cleans_up_after_an_error(spark):
         path = Path(inside.inputFiles()[0].removeprefix("file://")).parent
         raise ValueError
     assert sum(p.stat().st_size for p in path.glob("*.parquet")) < 1000
+
+
+def test_distilled_keeps_the_result_alone(spark):
+    made = []
+
+    def build():
+        made.append(scratch.materialize(spark.range(50), "step"))
+        return made[0].where("id < 5")
+
+    found = scratch.distilled(build, "result")
+    assert found.count() == 5
+    path = made[0].inputFiles()[0].rsplit("/", 1)[0] if made[0].inputFiles() else None
+    assert path is None or spark.read.parquet(path).isEmpty()
+    with scratch.scope():
+        inner = scratch.distilled(lambda: spark.range(7), "inner")
+        assert inner.count() == 7
