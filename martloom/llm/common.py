@@ -44,6 +44,14 @@ BATCHES = {
 }
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it as long as ``df`` has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def in_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
     """``df.mapInArrow(run, schema)`` in small batches.
 

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import encoded, in_arrow, lists, sliced, task_id
+from martloom.llm.common import encoded, free_name, in_arrow, lists, sliced, task_id
 from martloom.operators.scratch import materialize
 
 WINDOW = 10
@@ -297,12 +297,13 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without any hit word, all columns as they are.
+    """The rows of ``docs`` without any hit word, all columns as they are, whatever their names.
 
     Rows are told apart by a hash of id and text, so equal rows share their fate.
     """
     key = F.xxhash64("doc_id", "text")
     keyed = docs.select(key.alias("doc_id"), "text")
     bad = hits(keyed, items).where("n_hit > 0").select("doc_id").distinct()
-    bad = materialize(bad, "contaminated").withColumnRenamed("doc_id", "_contaminated_key")
-    return docs.join(bad, key == F.col("_contaminated_key"), "left_anti")
+    name = free_name(docs, "contaminated_key")
+    bad = materialize(bad, "contaminated").withColumnRenamed("doc_id", name)
+    return docs.join(bad, key == F.col(name), "left_anti")

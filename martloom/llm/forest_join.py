@@ -31,8 +31,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import encoded, held, in_arrow, lists, sliced
-from martloom.operators.scratch import materialize
+from martloom.llm.common import encoded, free_name, held, in_arrow, lists, sliced
+from martloom.operators.scratch import distilled, materialize
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -389,19 +389,21 @@ def classes(
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one row of each class, all columns as they are.
+    """``docs`` with one row of each class, all columns as they are, whatever their names.
 
     Texts without a link stay where they are; of linked ones the first is looked up. Texts
     without words have no links and all stay.
     """
-    found = materialize(classes(docs, threshold).where("n_links > 0"), "linked")
-    keys = F.struct(F.col("doc_id").alias("_key_id"), F.col("text_hash").alias("_key_hash"))
-    same = (F.col("doc_id").cast("bigint").eqNullSafe(F.col("_key_id"))) & (
-        F.xxhash64("text") == F.col("_key_hash")
+    found = distilled(lambda: classes(docs, threshold).where("n_links > 0"), "linked")
+    id_name, hash_name = free_name(docs, "key_id"), free_name(docs, "key_hash")
+    keys = F.struct(F.col("doc_id").alias(id_name), F.col("text_hash").alias(hash_name))
+    same = (F.col("doc_id").cast("bigint").eqNullSafe(F.col(id_name))) & (
+        F.xxhash64("text") == F.col(hash_name)
     )
     linked = found.select(keys.alias("k")).distinct().select("k.*")
     first = found.where("kept").select(keys.alias("k")).distinct().select("k.*")
     alone = docs.join(linked, same, "left_anti")
     chosen = docs.join(first, same, "left_semi")
-    chosen = chosen.withColumn("_key_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_key_text"])
-    return alone.unionByName(chosen.drop("_key_text"))
+    text_name = free_name(docs, "key_text")
+    chosen = chosen.withColumn(text_name, F.xxhash64("text")).dropDuplicates(["doc_id", text_name])
+    return alone.unionByName(chosen.drop(text_name))

@@ -5,12 +5,15 @@ leaves is shared again. A source's target is then filled exactly where its docum
 whole passes over the source first, and for the rest a choice of documents by length. Of each
 length an equal share is taken, and the remaining budget is a bounded knapsack over the lengths
 still on hand, solved by dynamic programming. It works on counts of documents per source and
-length, never on documents. Which documents of a length are taken follows a seeded hash.
+length, never on documents. Which documents of a length are taken follows a seeded hash of the
+whole row: those up to a cut, which is found by counting hashes, so that a row decides for itself
+and neither texts nor rows are moved, sorted or ranked.
 
 Sizes are numbers of ``[^\\x20\\x09-\\x0D]+``. Defined cases: a null text has no words; a null
 source is a source of its own, the last; a source without words has the target 0 and takes
 none; empty documents are taken with their source's whole passes, which adds no words; rows
-that repeat a doc_id count and are taken one by one.
+that repeat a doc_id count and are taken one by one; of rows alike in all columns any are taken.
+Columns of any name pass through :func:`mixed`; MAP columns are not part of the hash.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.operators.scratch import materialize
 
@@ -29,7 +33,8 @@ BUDGET = 1.5  # of all words
 MOST = 2.0  # of a source's words
 SEED = 17
 KNAPSACK = 1 << 16  # largest remaining budget for the dynamic program, in words
-GROUP = 1000  # documents of one source and length that are ordered together, on average
+GROUP = 1000  # hashes of one source and length that are counted one by one, on average
+CHUNK = 1000  # copies of rows alike in all columns that one task writes
 
 
 def n_words(text: str = "text") -> Column:
@@ -154,85 +159,146 @@ def plan(histogram: DataFrame, shares: DataFrame) -> DataFrame:
     return joined.groupBy("source").applyInPandas(run, joined.schema)
 
 
-def mix(
-    docs: DataFrame,
-    weights: Sequence[float] = WEIGHTS,
-    budget: float = BUDGET,
-    most: float = MOST,
-    seed: int = SEED,
-) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken and copies, a row per document.
+def _row_hash(docs: DataFrame, seed: int) -> Column:
+    """A hash of the whole row, so that equal ids or texts alone make no ties."""
+    plain = [f"`{c.name}`" for c in docs.schema if not isinstance(c.dataType, T.MapType)]
+    return F.xxhash64(F.lit(seed), *plain)
+
+
+def cuts(rows: DataFrame, planned: DataFrame) -> DataFrame:
+    """``planned`` with ``cut``, ``alike`` and ``more``: of each source and length, rows with a
+    hash below ``cut`` are taken once more, and so are ``more`` of the ``alike`` rows at it.
 
-    A length's documents are dealt by hash to groups of about GROUP; counting the groups tells
-    which are taken whole and how many of the one at the border are, so a length that a large
-    part of a source shares is ordered in many tasks.
+    ``rows``: source, size and h. Ranges of h are counted first; only the hashes of the range
+    that holds the cut are counted one by one, and equal ones add up before they are moved.
     """
-    own = docs.select(
-        F.col("doc_id").cast("bigint"), F.col("source").cast("string"), n_words().alias("size")
+    p = planned.select(F.col("source").alias("_source"), F.col("size").alias("_size"), "n", "extra")
+    same = rows["source"].eqNullSafe(F.col("_source")) & (rows["size"] == F.col("_size"))
+    some = p.where((F.col("extra") > 0) & (F.col("extra") < F.col("n")))
+    parts = F.ceil(F.col("n") / GROUP)
+    share = (F.col("h").cast("double") + 2.0**63) / 2.0**64
+    part = F.least(F.floor(share * parts), parts - 1).alias("part")
+    ranged = rows.join(some, same).select("source", "size", "h", "extra", part)
+    key = ["source", "size"]
+
+    def crossing(counts: DataFrame, by: str) -> DataFrame:
+        """The first ``by`` at which the running count reaches ``extra``, and the count before it."""
+        upto = Window.partitionBy(*key).orderBy(by)
+        running = counts.withColumn("until", F.col("skipped") + F.sum("m").over(upto))
+        crossed = (F.col("until") >= F.col("extra")) & (F.col("until") - F.col("m") < F.col("extra"))
+        return running.where(crossed)
+
+    counted = ranged.groupBy(*key, "part").agg(F.count("*").alias("m"), F.first("extra").alias("extra"))
+    border = crossing(counted.withColumn("skipped", F.lit(0)), "part")
+    border = materialize(
+        border.select(
+            F.col("source").alias("_source"), F.col("size").alias("_size"),
+            F.col("part").alias("_part"), (F.col("until") - F.col("m")).alias("skipped"),
+        ),
+        "borders",
+    )
+    met = ranged["source"].eqNullSafe(F.col("_source")) & (ranged["size"] == F.col("_size"))
+    met &= ranged["part"] == F.col("_part")
+    hashes = ranged.join(border, met).groupBy(*key, "h").agg(
+        F.count("*").alias("m"), F.first("extra").alias("extra"), F.first("skipped").alias("skipped")
     )
-    own = materialize(own.withColumn("h", F.xxhash64("doc_id", F.lit(seed))), "sizes")
+    found = crossing(hashes, "h").select(
+        *key, F.col("h").alias("cut"), F.col("m").alias("alike"),
+        (F.col("extra") - F.col("until") + F.col("m")).alias("more"),
+    )
+    found = found.withColumnsRenamed({"source": "_source", "size": "_size"})
+    same = planned["source"].eqNullSafe(F.col("_source")) & (planned["size"] == F.col("_size"))
+    none = F.lit(0).cast("bigint")
+    all_of_it = (F.col("extra") >= F.col("n")).cast("bigint")
+    return planned.join(found, same, "left").select(
+        *key, "source_size", "target", (F.col("passes") + all_of_it).alias("passes"),
+        "cut", F.coalesce("alike", none).alias("alike"), F.coalesce("more", none).alias("more"),
+    )
+
+
+def _decided(
+    docs: DataFrame, weights: Sequence[float], budget: float, most: float, seed: int
+) -> DataFrame:
+    """The plan and cuts of :func:`mix`, a row per source and length."""
+    source = F.col("source").cast("string").alias("source")
+    own = docs.select(source, n_words().alias("size"), _row_hash(docs, seed).alias("h"))
+    own = materialize(own, "sizes")
     histogram = materialize(own.groupBy("source", "size").agg(F.count("*").alias("n")), "lengths")
     sources = histogram.groupBy("source").agg(
         F.sum(F.col("size") * F.col("n")).alias("source_size")
     )
     shares = materialize(targets(sources, weights, budget, most), "targets")
     planned = materialize(plan(histogram, shares), "plan")
+    return materialize(cuts(own, planned), "cuts")
+
 
-    p = planned.select(
-        F.col("source").alias("_source"), F.col("size").alias("_size"), "n",
-        "source_size", "target", "passes", "extra",
+def mix(
+    docs: DataFrame,
+    weights: Sequence[float] = WEIGHTS,
+    budget: float = BUDGET,
+    most: float = MOST,
+    seed: int = SEED,
+) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken and copies, a row per document."""
+    row = F.struct(F.col("doc_id").cast("bigint").alias("doc_id"))
+    found = _with_copies(docs, _decided(docs, weights, budget, most, seed), row, seed)
+    return found.select(
+        "row.doc_id",
+        "source",
+        "size",
+        "source_size",
+        "target",
+        (F.col("size") * F.col("copies")).alias("taken"),
+        "copies",
+    )
+
+
+def _with_copies(docs: DataFrame, decided: DataFrame, row: Column, seed: int) -> DataFrame:
+    """``row`` of each row of ``docs`` beside source, size, source_size, target and copies."""
+    d = decided.withColumnsRenamed({"source": "_source", "size": "_size"})
+    own = docs.select(
+        row.alias("row"), F.col("source").cast("string").alias("source"),
+        n_words().alias("size"), _row_hash(docs, seed).alias("h"),
     )
     same = own["source"].eqNullSafe(F.col("_source")) & (own["size"] == F.col("_size"))
-    group = F.pmod("h", F.ceil(F.col("n") / GROUP)).alias("group")
-    dealt = materialize(own.join(p, same).select(own["*"], "n", group, *p.columns[3:]), "dealt")
-
-    key = ["source", "size", "group"]
-    earlier = Window.partitionBy("source", "size").orderBy("group")
-    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
-    counts = dealt.groupBy(*key).agg(F.count("*").alias("m"))
-    offsets = counts.select(
-        *[F.col(c).alias(f"_{c}") for c in key], F.coalesce(F.sum("m").over(earlier), F.lit(0)).alias("skip")
-    )
-    place = F.row_number().over(Window.partitionBy(*key).orderBy("h", "doc_id"))
-    placed = dealt.withColumn("place", place)
-    same = placed["source"].eqNullSafe(F.col("_source"))
-    same &= (placed["size"] == F.col("_size")) & (placed["group"] == F.col("_group"))
-    copies = F.col("passes") + (F.col("skip") + F.col("place") <= F.col("extra")).cast("bigint")
-    return (
-        placed.join(offsets, same)
-        .withColumn("copies", copies)
-        .select(
-            "doc_id",
-            "source",
-            "size",
-            "source_size",
-            "target",
-            (F.col("size") * F.col("copies")).alias("taken"),
-            "copies",
-        )
+    # the plan has a row per source and length: broadcast where it is as small as it should be
+    joined = own.join(d, same)
+    below = F.coalesce(F.col("h") < F.col("cut"), F.lit(False)).cast("bigint")
+    at_cut = F.coalesce(F.col("h") == F.col("cut"), F.lit(False))
+    split = at_cut & (F.col("more") < F.col("alike"))
+    columns = ["row", "source", "size", "source_size", "target"]
+    whole = joined.where(~split).select(
+        *columns, (F.col("passes") + below + at_cut.cast("bigint")).alias("copies")
     )
+    if decided.where("more < alike").isEmpty():  # as a rule: no second scan then
+        return whole
+    return whole.unionByName(_alike(joined.where(split), columns))
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with each row as often as the mix takes it, all columns as they are.
-
-    Rows that repeat a doc_id, source and size share their copies: of r such rows with k
-    copies in all, each comes k // r times and the first k % r once more.
-    """
-    key = F.xxhash64(F.col("doc_id").cast("bigint"), F.col("source").cast("string"), n_words())
-    chosen = mix(docs, **options)
-    counts = chosen.groupBy(F.xxhash64("doc_id", "source", "size").alias("_mix_key")).agg(
-        F.sum("copies").alias("_mix_copies"), F.count("*").alias("_mix_rows")
+def _alike(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows alike at a cut, of which some are taken once more: brought together as one row with a
+    number before they are moved, and written out again in chunks of CHUNK."""
+    one = rows.groupBy("source", "size", "h").agg(
+        F.first("row").alias("row"),
+        *[F.first(c).alias(c) for c in ("source_size", "target", "passes", "alike", "more")],
     )
-    counts = materialize(counts.where("_mix_copies > 0"), "copies")
-    once = docs.withColumn("_mix_key", key).join(counts, "_mix_key")
-    single = once.where("_mix_rows = 1").withColumn("_mix_times", F.col("_mix_copies"))
-    order = Window.partitionBy("_mix_key").orderBy(F.xxhash64("text"))
-    place = F.row_number().over(order)
-    several = once.where("_mix_rows > 1").withColumn("_mix_place", place)
-    share = F.floor(F.col("_mix_copies") / F.col("_mix_rows"))
-    more = (F.col("_mix_place") <= F.col("_mix_copies") % F.col("_mix_rows")).cast("bigint")
-    several = several.withColumn("_mix_times", share + more).drop("_mix_place")
-    times = F.explode(F.sequence(F.lit(1), F.col("_mix_times").cast("int"))).alias("_mix_time")
-    taken = single.unionByName(several).where("_mix_times > 0").select("*", times)
-    return taken.select(*[f"`{c}`" for c in docs.columns])
+    chunks = F.explode(F.sequence(F.lit(0), F.floor((F.col("alike") - 1) / CHUNK))).alias("chunk")
+    spread = one.select("*", chunks).repartition("h", "chunk")
+    first = F.col("chunk") * CHUNK + 1
+    place = F.explode(F.sequence(first, F.least(first + CHUNK - 1, F.col("alike")))).alias("place")
+    copies = F.col("passes") + (F.col("place") <= F.col("more")).cast("bigint")
+    return spread.select("*", place).select(*columns, copies.alias("copies"))
+
+
+def mixed(
+    docs: DataFrame,
+    weights: Sequence[float] = WEIGHTS,
+    budget: float = BUDGET,
+    most: float = MOST,
+    seed: int = SEED,
+) -> DataFrame:
+    """``docs`` with each row as often as :func:`mix` takes it, all columns as they are."""
+    row = F.struct(*[f"`{c}`" for c in docs.columns])
+    found = _with_copies(docs, _decided(docs, weights, budget, most, seed), row, seed)
+    times = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    return found.where("copies > 0").select("row", times).select("row.*")

@@ -107,3 +107,13 @@ def test_clean_keeps_columns_and_clean_rows(spark):
     assert kept.schema == table.schema
     want = [d[0] for d, b in zip(docs, brute(docs, items), strict=True) if not b[5]]
     assert sorted((r.text or "") for r in kept.collect()) == sorted(t or "" for t in want)
+
+
+def test_clean_passes_columns_of_any_name(spark):
+    item = " ".join(f"w{k}" for k in range(12))
+    rows = [(1, item, 5, "x"), (2, "clean words", 6, "y"), (None, None, 7, "z")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, contaminated_key int, _contaminated_key string")
+    items = spark.createDataFrame([(9, item)], "item_id bigint, text string")
+    out = decontaminate.clean(docs, items)
+    assert out.schema == docs.schema
+    assert {tuple(r) for r in out.collect()} == set(rows[1:])

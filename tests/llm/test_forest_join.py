@@ -136,3 +136,13 @@ def test_components_of_a_long_path(spark):
     found = {r.rep: r["class"] for r in fj.components(edges).collect()}
     assert {found[f"n{i:03d}"] for i in range(1, 61)} == {"n000"}
     assert found == {k: ("n000" if k[0] == "n" else "x1") for k in found} and len(found) == 62
+
+
+def test_one_of_each_passes_columns_of_any_name(spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text, 5, "x", 0, None), (2, text, 6, "y", 1, None), (3, "other words here", 7, "z", 2, None), (None, None, 8, "n", 3, "m")]
+    schema = "doc_id bigint, text string, key_id int, key_hash string, key_text int, _key_id string"
+    docs = spark.createDataFrame(rows, schema)
+    out = fj.one_of_each(docs)
+    assert out.schema == docs.schema
+    assert {tuple(r) for r in out.collect()} == {rows[0], rows[2], rows[3]}

@@ -134,3 +134,47 @@ def test_fit_of_a_large_source():
     words = int((lengths * counts).sum())
     taken = mixing.fit(lengths, counts, words // 3)
     assert int((lengths * taken).sum()) == words // 3
+
+
+def test_a_third_of_the_rows_under_one_null_id(spark, monkeypatch):
+    """Rows without an id, alike and not, are taken as exactly as others; some of equal rows."""
+    monkeypatch.setattr(mixing, "GROUP", 7)
+    monkeypatch.setattr(mixing, "CHUNK", 9)
+    rng = random.Random(6)
+    rows = [("one two three", None, "a")] * 200 + [(f"x{k} two three", None, "a") for k in range(100)]
+    rows += [("w " * rng.randint(1, 9), k, rng.choice("ab")) for k in range(300)]
+    rng.shuffle(rows)
+    table = frame(spark, rows)
+    for budget in (0.3, 0.9, 1.5):
+        got = mixing.mix(table, budget=budget).collect()
+        assert Counter((r.doc_id, r.source, r.size) for r in got) == Counter((i, s, n_words(t)) for t, i, s in rows)
+        taken, target = defaultdict(int), {}
+        for r in got:
+            taken[r.source] += r.taken
+            target[r.source] = r.target
+        assert all(abs(taken[s] - t) <= 1 for s, t in target.items())
+        out = Counter((r.text, r.doc_id, r.source) for r in mixing.mixed(table, budget=budget).collect())
+        copies = defaultdict(int)
+        for r in got:
+            copies[r.doc_id, r.source, r.size] += r.copies
+        drawn = defaultdict(int)
+        for (text, i, s), n in out.items():
+            drawn[i, s, n_words(text)] += n
+        assert drawn == {k: n for k, n in copies.items() if n}
+
+
+def test_columns_of_any_name_pass_through(spark):
+    schema = "doc_id bigint, text string, source string, `_mix_key` int, row string, h int, size int, cut map<string,int>, `a.b` int"
+    rows = [(i, "w " * (i % 5), "s", 7, f"r{i}", i, -1, {"k": i}, i) for i in range(60)]
+    table = spark.createDataFrame(rows, schema)
+    out = mixing.mixed(table, budget=0.5)
+    assert out.schema == table.schema
+    assert {tuple(map(str, r)) for r in out.collect()} <= {tuple(map(str, r)) for r in rows}
+    assert 0 < out.count() < 60
+
+
+def test_texts_are_not_moved(spark):
+    """The plan is broadcast: no exchange in the plan of the drawn rows."""
+    out = mixing.mixed(frame(spark, sample(seed=5)))
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in text and "Window" not in text
