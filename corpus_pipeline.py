@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import partial
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -22,7 +23,7 @@ from martloom.llm import (  # noqa: E402
     token_planes,
 )
 from martloom.llm.common import table  # noqa: E402
-from martloom.operators.scratch import materialize  # noqa: E402
+from martloom.operators.scratch import distilled  # noqa: E402
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -66,8 +67,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; what a stage wrote on its way goes when it is done."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        docs = distilled(partial(stage, spark, docs, sf_dir), name)
     return docs
