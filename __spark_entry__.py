@@ -22,7 +22,7 @@ import martloom_sql  # noqa: E402
 from martloom.functions import calendar as cal  # noqa: E402
 from martloom.operators import contracts  # noqa: E402
 from martloom.operators import dimensions as dims  # noqa: E402
-from martloom.operators.scratch import materialize, scratch_path  # noqa: E402
+from martloom.operators.scratch import materialize, scratch_path, scratch_root  # noqa: E402
 from martloom.plans import (  # noqa: E402
     customers,
     forecasting,
@@ -103,8 +103,16 @@ def _built(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
 
 
 def _stored(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
-    """The star schema written to the shared folder and read back."""
-    return _saved(spark, sf_dir, check_grain=False)
+    """The star schema written to the shared folder and read back; once for a source folder and
+    a session, as the queries on a stored star are there to read it."""
+    key = (spark.sparkContext.applicationId, sf_dir, scratch_root(spark))
+    if key not in _stars:
+        _stars.clear()
+        _stars[key] = _saved(spark, sf_dir, check_grain=False)
+    return _stars[key]
+
+
+_stars: dict[tuple[str, str, str], warehouse.Warehouse] = {}
 
 
 def _saved(spark: SparkSession, sf_dir: str, check_grain: bool) -> warehouse.Warehouse:
@@ -399,7 +407,8 @@ def _as_csv(table: DataFrame, label: str) -> str:
 
 def q_csv_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines written as an extract and read with its declared schema."""
-    return extracts.read_transactions(spark, _as_csv(_transactions(spark, sf_dir), "tx"))
+    lines = _transactions(spark, sf_dir).drop("transaction_key")
+    return extracts.read_transactions(spark, _as_csv(lines, "tx"))
 
 
 def q_csv_stores(spark: SparkSession, sf_dir: str) -> DataFrame:

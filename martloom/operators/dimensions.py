@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.functions import calendar as cal
+from martloom.operators.facts import bill_count
 from martloom.operators.median import exact_median, histogram
 from martloom.operators.scratch import materialize
 from martloom.rules import DEFAULT_RULES, Rules
@@ -119,6 +120,6 @@ def dim_customer(transactions: DataFrame) -> DataFrame:
     return transactions.groupBy("customer_id").agg(
         F.min("transaction_date").alias("first_purchase"),
         F.max("transaction_date").alias("last_purchase"),
-        F.count_distinct("transaction_id").alias("lifetime_orders"),
+        bill_count(transactions).alias("lifetime_orders"),
         F.sum("net_amount").alias("lifetime_value"),
     )

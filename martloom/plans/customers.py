@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from martloom import rules as r
 from martloom.functions.rounding import half_even, ratio
 from martloom.operators.attach import attach
+from martloom.operators.facts import bill_count
 from martloom.operators.median import exact_median, histogram
 from martloom.operators.ranking import quantile_score, with_global_ranks
 from martloom.operators.scratch import materialize
@@ -34,11 +35,10 @@ class SegmentRun(NamedTuple):
 
 def purchase_history(detail: DataFrame, unique_ids: bool = False) -> DataFrame:
     """One row per customer. ``unique_ids`` counts rows where ids are known to be unique."""
-    bills = F.count("*") if unique_ids else F.count_distinct("transaction_id")
     return detail.groupBy("customer_id").agg(
         F.max("date_key").alias("last_purchase"),
         F.min("date_key").alias("first_purchase"),
-        bills.alias("frequency"),
+        bill_count(detail, unique_ids).alias("frequency"),
         F.sum("net_amount").alias("monetary"),
     )
 

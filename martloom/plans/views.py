@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions import calendar as cal
 from martloom.functions.rounding import half_up, percent, ratio
-from martloom.operators.facts import gross_margin
+from martloom.operators.facts import bill_count, gross_margin
 from martloom.operators.ranking import ntile_of, with_global_ranks
 from martloom.operators.scratch import materialize
 from martloom.plans.warehouse import Warehouse
@@ -44,9 +44,11 @@ def flat_sales(transactions: DataFrame, stores: DataFrame) -> DataFrame:
     every line has its match in them by construction. Stores are given: lines of unknown
     stores drop out, as they do in the star join.
     """
+    key = [c for c in ("transaction_key",) if c in transactions.columns]
     return transactions.join(
         stores.select("store_id", "store_name"), "store_id"
     ).select(
+        *key,
         "transaction_id",
         F.col("transaction_date").alias("date_key"),
         "store_id",
@@ -91,12 +93,6 @@ def _month_labels(rules: Rules) -> list[Column]:
     ]
 
 
-def _bills(unique_ids: bool) -> Column:
-    """Distinct transactions. Where the ids are known to be unique (see the grain check),
-    counting rows gives the same and shuffles nothing."""
-    return F.count("*") if unique_ids else F.count_distinct("transaction_id")
-
-
 def _avg_discount_pct() -> Column:
     """Unweighted line mean; the DECIMAL sum makes it independent of row order."""
     mean = ratio(F.sum("discount_pct"), F.count("discount_pct"))
@@ -107,17 +103,17 @@ def monthly_kpi(
     detail: DataFrame, rules: Rules = DEFAULT_RULES, unique_ids: bool = False
 ) -> DataFrame:
     revenue, margin = F.sum("net_amount"), F.sum("gross_margin")
-    bills = _bills(unique_ids)
+    n_bills = bill_count(detail, unique_ids)
     return (
         detail.groupBy(_period())
         .agg(
-            bills.alias("bills"),
+            n_bills.alias("bills"),
             F.count_distinct("customer_id").alias("customers"),
             F.sum("quantity").alias("units"),
             revenue.alias("revenue"),
             margin.alias("gross_margin"),
             half_up(percent(margin, revenue)).alias("gm_pct"),
-            half_up(ratio(revenue, bills)).alias("avg_bill_value"),
+            half_up(ratio(revenue, n_bills)).alias("avg_bill_value"),
             _avg_discount_pct().alias("avg_discount_pct"),
         )
         .select(
@@ -189,7 +185,7 @@ def monthly_grain(
     if categories is None:
         keys.append("price_band")
     grain = detail.groupBy(_period(), *keys).agg(
-        _bills(unique_ids).alias("bills"),
+        bill_count(detail, unique_ids).alias("bills"),
         F.sum("quantity").alias("units"),
         F.sum("net_amount").alias("revenue"),
         F.sum("gross_margin").alias("gross_margin"),

@@ -52,7 +52,9 @@ def read_transactions(
     since: dt.date | None = None,
     until: dt.date | None = None,
 ) -> DataFrame:
-    """One row per line item in the transactions layout.
+    """One row per line item in the transactions layout, and ``transaction_key``, the parts of
+    the printed ``transaction_id`` with their types: rows have equal keys where they have equal
+    ids, and what only counts ids prints none.
 
     ``since`` (inclusive) and ``until`` (exclusive) reach the scan of ``orders``.
     """
@@ -93,6 +95,9 @@ def read_transactions(
         _scaled(F.rint(F.abs("l_discount") * 10000), 4, "decimal(5,4)").alias("discount_pct"),
         _scaled(net, 2, "decimal(18,2)").alias("net_amount"),
         _scaled(_percent_of(net, cost_pct), 2, "decimal(18,2)").alias("cogs"),
+        F.struct(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", shipped.alias("shipped")
+        ).alias("transaction_key"),
     )
 
 
