@@ -183,7 +183,7 @@ def test_insults_of_another_script(spark):
     assert [by_id[10_000 + i] for i in range(3)] == [1, 1, 0]
 
 
-def test_words_are_counted_over_all_labelled_rows(spark, monkeypatch):
+def test_evidence_reads_more_than_the_calibration_sample(spark, monkeypatch):
     """One insult is in too few texts of a sample to stand out there."""
     docs, labels = corpus(900)
     rows = [(t.replace("snarfly", "ta").replace("quizzert", "ta"), *r) for t, *r in docs]
@@ -199,3 +199,16 @@ def test_words_are_counted_over_all_labelled_rows(spark, monkeypatch):
     known = spark.createDataFrame(labels, LABELS)
     sk.fit(spark.createDataFrame(rows, SCHEMA), known, ~sk._held_out())
     assert {"vuxwyck", "grobbel"} <= learned
+
+
+def test_evidence_and_scores_read_the_same_words(spark):
+    """Any white space parts pieces, signs part words, and long words are read in parts."""
+    long = "".join("abcdefghij"[i % 10] for i in range(95))
+    text = f"今天　愚か者　天気 idiot/moron Été, ta-re {long}"
+    counts, totals = sk.word_counts(spark.createDataFrame([(text, 1), (text.upper(), 1), (None, 0)], "text string, y int"))
+    learned = {r.word for r in counts.collect()}
+    pieces, _, _ = sk._pieces(sk.pa.array([text]))
+    read, numbers, _, _ = sk._words(pieces)
+    assert learned == set(read) and (totals.all1, totals.all0) == (1, 1)
+    assert {"愚か者", "idiotmoron", "idiot", "moron", "ete", "tare"} <= learned
+    assert all(len(w) <= sk.LONGEST for w in learned)
