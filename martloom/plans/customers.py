@@ -17,8 +17,8 @@ from martloom.functions.rounding import half_even, ratio
 from martloom.operators.attach import attach
 from martloom.operators.facts import bill_count
 from martloom.operators.median import exact_median, histogram
-from martloom.operators.ranking import quantile_score, with_global_ranks
 from martloom.operators.scratch import materialize
+from martloom.operators.selection import with_quantile_scores
 from martloom.rules import DEFAULT_RULES, Rules
 
 CUSTOMER_COLUMNS = [
@@ -46,15 +46,12 @@ def purchase_history(detail: DataFrame, unique_ids: bool = False) -> DataFrame:
 def with_scores(history: DataFrame, bins: int = 5) -> DataFrame:
     """R, F and M from 1 to ``bins``; ties go by customer id.
 
-    The oldest last purchase ranks lowest, so R needs no as-of date.
+    The oldest last purchase ranks lowest, so R needs no as-of date. ``history`` is scanned
+    several times for the boundaries: pass a written table.
     """
-    tie = F.asc("customer_id")
     measures = {"R": "last_purchase", "F": "frequency", "M": "monetary"}
-    ranked = with_global_ranks(
-        history, {name: [F.asc(measure), tie] for name, measure in measures.items()}, "_n"
-    )
-    scores = {name: quantile_score(F.col(name), F.col("_n"), bins) for name in measures}
-    return ranked.withColumns(scores).drop("_n")
+    orders = {name: [F.col(m), F.col("customer_id")] for name, m in measures.items()}
+    return with_quantile_scores(history, orders, bins)
 
 
 def _gap_days() -> Column:

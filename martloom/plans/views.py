@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from martloom.functions import calendar as cal
 from martloom.functions.rounding import half_up, percent, ratio
 from martloom.operators.facts import bill_count, gross_margin
-from martloom.operators.ranking import ntile_of, with_global_ranks
 from martloom.operators.scratch import materialize
+from martloom.operators.selection import with_tiles
 from martloom.plans.warehouse import Warehouse
 from martloom.rules import DEFAULT_RULES, Rules
 from martloom.schemas import SALES_DETAIL_COLUMNS
@@ -146,11 +146,12 @@ def channel_mix(detail: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
 def customer_concentration(detail: DataFrame, tiles: int = 10) -> DataFrame:
     """Revenue by customer decile, best customers first; equal customers order by id."""
     customers = detail.groupBy("customer_id").agg(F.sum("net_amount").alias("ltv"))
-    best_first = [F.desc("ltv"), F.asc("customer_id")]
-    ranked = with_global_ranks(materialize(customers, "ltv"), {"rank": best_first})
+    ltv = F.col("ltv")
+    best_first = [ltv.isNull(), -ltv, F.col("customer_id")]
+    dealt = with_tiles(materialize(customers, "ltv"), {"decile": best_first}, tiles)
     all_deciles = Window.partitionBy()  # at most ``tiles`` rows
     return (
-        ranked.groupBy(ntile_of(F.col("rank"), F.col("total"), tiles).alias("decile"))
+        dealt.groupBy("decile")
         .agg(F.count("*").alias("customers"), F.sum("ltv").alias("revenue"))
         .withColumn(
             "pct_of_revenue",
