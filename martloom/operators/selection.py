@@ -235,3 +235,16 @@ def with_quantile_scores(
 ) -> DataFrame:
     """Add a score from 1 to ``bins`` per order, by equal-width quantiles of the ranks."""
     return _with_steps(table, orders, lambda rows: score_ends(rows, bins))
+
+
+def median(table: DataFrame, value: Column, leaf: int = LEAF, sample: int = SAMPLE) -> float | None:
+    """The exact median of a number over the rows that have one, None if there are none. Nothing
+    is sorted but the list around the middle; equal values may be any share of the rows."""
+    number = value.cast("double")
+
+    def middle(rows: int) -> list[int]:
+        return [(rows + 1) // 2, rows // 2 + 1]
+
+    given = table.select(number.alias("value")).where(F.col("value").isNotNull())
+    found = rows_at(given, {"value": [F.col("value")]}, middle, leaf, sample)["value"]
+    return sum(row[0] for row in found) / len(found) if found else None

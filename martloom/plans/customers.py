@@ -16,9 +16,8 @@ from martloom import rules as r
 from martloom.functions.rounding import half_even, ratio
 from martloom.operators.attach import attach
 from martloom.operators.facts import bill_count
-from martloom.operators.median import exact_median, histogram
 from martloom.operators.scratch import materialize
-from martloom.operators.selection import with_quantile_scores
+from martloom.operators.selection import median, with_quantile_scores
 from martloom.rules import DEFAULT_RULES, Rules
 
 CUSTOMER_COLUMNS = [
@@ -96,11 +95,10 @@ def build(
         today = history.agg(F.max("last_purchase").alias("_as_of"))
     else:
         today = history.agg(F.lit(as_of).alias("_as_of"))
-    gaps = attach(history, today).select(_gap_days().alias("gap"))
-    usual = exact_median(histogram(gaps, "gap"), "gap", out="_usual_gap")
-    usual = materialize(usual, "usual_gap")
+    today = materialize(today, "today")
+    usual_gap = F.lit(median(attach(history, today), _gap_days())).cast("double")
     return (
-        attach(attach(with_scores(history), today), usual)
+        attach(with_scores(history), today)
         .withColumns(
             {
                 "recency_days": F.datediff("_as_of", "last_purchase"),
@@ -108,7 +106,7 @@ def build(
                 "avg_gap_days": _gap_days(),
             }
         )
-        .withColumn("expected_gap", F.coalesce("avg_gap_days", "_usual_gap"))
+        .withColumn("expected_gap", F.coalesce("avg_gap_days", usual_gap))
         .withColumns(
             {
                 "overdue_ratio": _overdue_ratio(),

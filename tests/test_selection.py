@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import statistics
 from decimal import Decimal
 
 import numpy as np
@@ -113,3 +114,31 @@ def test_steps_neither_sort_nor_shuffle_nor_write_rows(measured, monkeypatch):
         plan = scored._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "Sort" not in plan and "Window" not in plan
         assert plan.count("FileScan") == 1 and "measured" in plan
+
+
+@pytest.mark.parametrize(
+    "values",
+    [[], [2.0], [1.0, 2.5], [None, 4.0, None, 1.0, 3.0], [None] * 3],
+    ids=["none", "one", "two", "with nulls", "only nulls"],
+)
+def test_median_of_few(spark, values):
+    table = spark.createDataFrame([(v,) for v in values], "v double")
+    known = [v for v in values if v is not None]
+    assert selection.median(table, F.col("v")) == (statistics.median(known) if known else None)
+
+
+def test_median_whose_first_sample_misses(spark, monkeypatch):
+    """Proposals far from the middle only cost another round."""
+    values = [float(i * i) for i in range(4001)] + [9.0] * 1500
+    table = materialize(spark.createDataFrame([(v,) for v in values], "v double"), "missed")
+    propose, rounds = selection._propose, []
+
+    def misled(*args):
+        rounds.append(args)
+        if len(rounds) == 1:
+            return {target: ((-5.0,), (9.0,)) for target in args[2]}
+        return propose(*args)
+
+    monkeypatch.setattr(selection, "_propose", misled)
+    assert selection.median(table, F.col("v"), leaf=500, sample=900) == statistics.median(values)
+    assert len(rounds) > 2
