@@ -156,6 +156,11 @@ def q_load_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.load_totals(_transactions(spark, sf_dir))
 
 
+def q_stored_load_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The totals as observed while the fact was written."""
+    return warehouse.stored_totals(_stored(spark, sf_dir))
+
+
 def q_stored_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per table of the stored star schema."""
     counts = [
@@ -192,7 +197,9 @@ def q_extract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_contract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = _stored(spark, sf_dir)
-    return contracts.contract_report(stored.tables(), ORDER_RULES, stored.extract_rows)
+    return contracts.contract_report(
+        stored.tables(), ORDER_RULES, stored.extract_rows, stored.observed
+    )
 
 
 # --- reporting views ----------------------------------------------------------------

@@ -57,7 +57,9 @@ def refresh(
     and name what it found, in the stored tables or in the extract's own lines."""
     built = warehouse.build_from_csv(spark, data_dir)
     stored = warehouse.save(built, store, fmt, make_current=False)
-    report = contracts.contract_report(stored.tables(), extract_rows=stored.extract_rows)
+    report = contracts.contract_report(
+        stored.tables(), extract_rows=stored.extract_rows, observed=stored.observed
+    )
     lines = contracts.extract_checks(
         extracts.read_transactions(spark, f"{data_dir}/transactions.csv")
     )

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martloom.functions import calendar as cal
@@ -83,13 +84,35 @@ def _line_report(lines: DataFrame, table: str, required: list[str]) -> DataFrame
     return _report(lines, {name: _rows_where(bad) for name, bad in rules.items()})
 
 
+LOST_LINES = "transactions not in fact_sales"
+
 STAR_KEYS = ["date_key", "store_id", "category_id", "channel_id"]
 
 
-def star_cells(fact: DataFrame) -> DataFrame:
+def line_measures() -> list[Column]:
+    """Rows, revenue and broken line rules of the fact, to be observed while it is written."""
+    rules = _line_rules("fact_sales", FACT_COLUMNS)
+    return [
+        F.count("*").alias("rows"),
+        F.sum("net_amount").alias("revenue"),
+        *[_rows_where(bad).alias(name) for name, bad in rules.items()],
+    ]
+
+
+def observed_checks(
+    spark: SparkSession, observed: Mapping[str, Decimal], extract_rows: int | None = None
+) -> DataFrame:
+    """The line rules and the check for lost lines from what the write of the fact has observed."""
+    rows = [(name, int(observed[name])) for name in _line_rules("fact_sales", FACT_COLUMNS)]
+    if extract_rows is not None:
+        rows.append((LOST_LINES, extract_rows - int(observed["rows"])))
+    return spark.createDataFrame(rows, "check string, violations bigint")
+
+
+def star_cells(fact: DataFrame, line_rules: bool = True) -> DataFrame:
     """One pass over the fact: rows, revenue and broken line rules per day, store, category and
     channel. All checks but those on ids and customers follow from it."""
-    rules = _line_rules("fact_sales", FACT_COLUMNS)
+    rules = _line_rules("fact_sales", FACT_COLUMNS) if line_rules else {}
     return fact.groupBy(*STAR_KEYS).agg(
         F.count("*").alias("rows"),
         F.sum("net_amount").alias("revenue"),
@@ -106,7 +129,7 @@ def line_checks(star: DataFrame) -> DataFrame:
 def completeness_check(star: DataFrame, extract_rows: int) -> DataFrame:
     """Lines of the extract that found no key and are not in the fact."""
     lost = F.lit(extract_rows) - F.coalesce(F.sum("rows"), F.lit(0))
-    return _report(star, {"transactions not in fact_sales": lost})
+    return _report(star, {LOST_LINES: lost})
 
 
 def grain_check(fact: DataFrame) -> DataFrame:
@@ -199,16 +222,24 @@ def contract_report(
     tables: Mapping[str, DataFrame],
     rules: Rules = DEFAULT_RULES,
     extract_rows: int | None = None,
+    observed: Mapping[str, Decimal] | None = None,
 ) -> DataFrame:
     """All checks: ``(check, violations)``. A sound warehouse shows zero everywhere.
 
     The fact is read three times: for its cells, for its ids and for its customers.
-    ``extract_rows`` adds the check for lines lost on the way from the extract.
+    ``extract_rows`` adds the check for lines lost on the way from the extract. ``observed`` is
+    what was measured while the fact was written: the cells then carry no line rules.
     """
     fact = tables["fact_sales"]
-    star = materialize(star_cells(fact), "cells")
+    star = materialize(star_cells(fact, line_rules=observed is None), "cells")
+    if observed is not None:
+        lines = [observed_checks(fact.sparkSession, observed, extract_rows)]
+    elif extract_rows is not None:
+        lines = [line_checks(star), completeness_check(star, extract_rows)]
+    else:
+        lines = [line_checks(star)]
     parts = [
-        line_checks(star),
+        *lines,
         grain_check(fact),
         orphan_checks(tables, star),
         table_checks(tables),
@@ -216,6 +247,4 @@ def contract_report(
         tie_out_checks(tables, star),
         calendar_checks(tables["dim_date"], rules),
     ]
-    if extract_rows is not None:
-        parts.append(completeness_check(star, extract_rows))
     return reduce(DataFrame.unionByName, parts)

@@ -8,10 +8,12 @@ the last version named there. Older versions stay until someone removes their fo
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martloom import schemas
@@ -27,13 +29,17 @@ TABLES = [
     "dim_date", "dim_store", "dim_category", "dim_channel", "dim_customer", "fact_sales", "budget",
 ]
 
-VERSIONS = "number int, version string, unique_ids boolean, extract_rows bigint"
+VERSIONS = (
+    "number int, version string, unique_ids boolean, extract_rows bigint,"
+    " observed map<string,decimal(38,2)>"
+)
 
 
 @dataclass(frozen=True)
 class Warehouse:
     """``unique_ids`` is what the grain check of a stored fact has found; ``extract_rows`` the
-    number of lines in the extract it was built from, where that is known."""
+    number of lines in the extract it was built from, where that is known; ``observed`` what was
+    measured while a stored fact was written (see :func:`contracts.line_measures`)."""
 
     dim_date: DataFrame
     dim_store: DataFrame
@@ -44,6 +50,7 @@ class Warehouse:
     budget: DataFrame
     unique_ids: bool = False
     extract_rows: int | None = None
+    observed: Mapping[str, Decimal] | None = None
     number: int | None = None
     version: str | None = None
 
@@ -109,13 +116,15 @@ def save(
     known = _versions(spark, out_dir)
     number = known.agg(F.max("number")).first()[0] + 1 if known is not None else 1
     version = f"v{number:06d}-{uuid.uuid4().hex}"
-    stored = {
-        name: _write(table, name, f"{out_dir}/{version}", fmt)
-        for name, table in warehouse.tables().items()
-    }
+    observation = Observation()
+    stored = {}
+    for name, table in warehouse.tables().items():
+        watched = {"observation": observation} if name == "fact_sales" else {}
+        stored[name] = _write(table, name, f"{out_dir}/{version}", fmt, **watched)
+    observed = {name: Decimal(value or 0) for name, value in observation.get.items()}
     unique = check_grain and contracts.grain_check(stored["fact_sales"]).first().violations == 0
     whole = Warehouse(**stored, unique_ids=unique, extract_rows=warehouse.extract_rows,
-                      number=number, version=version)
+                      observed=observed or None, number=number, version=version)
     if make_current:
         publish(whole, out_dir)
     return whole
@@ -123,7 +132,7 @@ def save(
 
 def publish(stored: Warehouse, out_dir: str) -> None:
     """Make a saved version the current one."""
-    row = [(stored.number, stored.version, stored.unique_ids, stored.extract_rows)]
+    row = [(stored.number, stored.version, stored.unique_ids, stored.extract_rows, stored.observed)]
     named = stored.fact_sales.sparkSession.createDataFrame(row, VERSIONS).coalesce(1)
     named.write.mode("append").parquet(f"{out_dir}/versions")
 
@@ -138,19 +147,25 @@ def _versions(spark: SparkSession, out_dir: str) -> DataFrame | None:
         return None
 
 
-def _write(table: DataFrame, name: str, out_dir: str, fmt: str) -> DataFrame:
+def _write(
+    table: DataFrame, name: str, out_dir: str, fmt: str, observation: Observation | None = None
+) -> DataFrame:
     """Write one table and scan it; the fact by month, since days would make many tiny files.
 
     ``rebalance`` puts a month's rows together for large files, and splits a month that is
     far larger than the others over several tasks. ``dim_date`` carries the same
-    ``year_month``, so a filter on the calendar prunes the fact's folders at run time.
+    ``year_month``, so a filter on the calendar prunes the fact's folders at run time. The fact
+    is observed after its shuffle, in the tasks that write: a task that is run again for a lost
+    executor counts once there, while one before the shuffle could count twice.
     """
     if name in ("fact_sales", "dim_date"):
         table = table.withColumn("year_month", cal.year_month(F.col("date_key")))
     path = f"{out_dir}/{name}"
     if name == "fact_sales":
-        monthly = table.hint("rebalance", "year_month").write.partitionBy("year_month")
-        monthly.mode("overwrite").format(fmt).save(path)
+        monthly = table.hint("rebalance", "year_month")
+        if observation is not None:
+            monthly = monthly.observe(observation, *contracts.line_measures())
+        monthly.write.partitionBy("year_month").mode("overwrite").format(fmt).save(path)
     else:
         table.write.mode("overwrite").format(fmt).save(path)
     reader = table.sparkSession.read.format(fmt)
@@ -168,9 +183,19 @@ def load(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> Warehouse |
     reader = spark.read.format(fmt)
     tables = {name: reader.load(f"{out_dir}/{last.version}/{name}") for name in TABLES}
     return Warehouse(**tables, unique_ids=last.unique_ids, extract_rows=last.extract_rows,
-                     number=last.number, version=last.version)
+                     observed=last.observed, number=last.number, version=last.version)
 
 
 def load_totals(fact: DataFrame) -> DataFrame:
     """Row count and revenue of the loaded fact."""
     return fact.agg(F.count("*").alias("fact_rows"), F.sum("net_amount").alias("revenue"))
+
+
+def stored_totals(stored: Warehouse) -> DataFrame:
+    """The same of a stored warehouse, as observed while its fact was written: no scan. A version
+    stored without measures is counted."""
+    if stored.observed is None:
+        return load_totals(stored.fact_sales)
+    row = [(int(stored.observed["rows"]), stored.observed["revenue"])]
+    schema = "fact_rows bigint, revenue decimal(38,2)"
+    return stored.fact_sales.sparkSession.createDataFrame(row, schema)

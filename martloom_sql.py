@@ -560,6 +560,9 @@ def statements(year: str, prior: str, as_of: dt.date) -> dict[str, str]:
             LEFT JOIN series USING (store_id, period)"""
     last_whole = """(SELECT max(period) FROM series
         WHERE last_day(period) <= (SELECT max(date_key) FROM detail))"""
+    totals = _with(
+        "", f"SELECT count(*) AS fact_rows, {dbl('sum(net_amount)')} AS revenue FROM tx"
+    )
     return {
         "dim_date": _with("", "SELECT * FROM dim_date"),
         "dim_store": _with("", "SELECT * FROM stores"),
@@ -577,9 +580,8 @@ def statements(year: str, prior: str, as_of: dt.date) -> dict[str, str]:
             " season, is_weekend, store_name, category, price_band, channel, is_physical,"
             f" customer_id, quantity, {fact_money} FROM detail",
         ),
-        "load_totals": _with(
-            "", f"SELECT count(*) AS fact_rows, {dbl('sum(net_amount)')} AS revenue FROM tx"
-        ),
+        "load_totals": totals,
+        "stored_load_totals": totals,
         "stored_tables": _with(
             _plan(prior, year),
             " UNION ALL ".join(

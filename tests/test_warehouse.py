@@ -25,7 +25,7 @@ def data_dir(spark, sf_dir, tmp_path_factory):
     """The order lines as the three CSV extracts."""
     folder = tmp_path_factory.mktemp("extracts")
     frames = {
-        "transactions": order_lines.read_transactions(spark, sf_dir),
+        "transactions": order_lines.read_transactions(spark, sf_dir).drop("transaction_key"),
         "stores": order_lines.read_stores(spark, sf_dir),
         "budget": _plan(spark, sf_dir),
     }
@@ -254,3 +254,46 @@ def test_all_outputs(spark, stored, tmp_path):
     assert document["fiscal_year"] == FISCAL_YEAR
     assert [step["kind"] for step in document["bridge"]][0] == "total"
     assert set(document["backtest"]) >= {"model_mape_pct", "seasonal_naive_mape_pct", "verdict"}
+
+
+def test_measures_of_the_write_equal_a_scan(spark, stored, tmp_path):
+    fact = stored.fact_sales.drop("year_month")
+    broken = fact.limit(4).withColumns(
+        {"quantity": F.lit(0), "cogs": F.lit(None).cast("decimal(18,2)")}
+    )
+    few = replace(
+        stored,
+        fact_sales=fact.unionByName(broken),
+        dim_date=stored.dim_date.drop("year_month"),
+        extract_rows=fact.count() + 7,
+    )
+    warehouse.save(few, str(tmp_path))
+    saved = warehouse.load(spark, str(tmp_path))
+    assert saved.observed["fact_sales.quantity <= 0"] == 4
+    assert saved.observed["fact_sales.cogs is null"] == 4
+    totals = warehouse.stored_totals(saved)
+    assert totals.collect() == warehouse.load_totals(saved.fact_sales).collect()
+    assert "FileScan" not in totals._jdf.queryExecution().executedPlan().toString()
+
+    def report(observed):
+        made = contracts.contract_report(saved.tables(), ORDER_RULES, saved.extract_rows, observed)
+        return {row.check: row.violations for row in made.collect()}
+
+    found = report(saved.observed)
+    assert found == report(None)
+    assert found["transactions not in fact_sales"] == 3
+
+
+def test_measures_of_an_empty_fact(stored, tmp_path):
+    empty = replace(
+        stored,
+        fact_sales=stored.fact_sales.drop("year_month").limit(0),
+        dim_date=stored.dim_date.drop("year_month"),
+    )
+    saved = warehouse.save(empty, str(tmp_path))
+    assert warehouse.stored_totals(saved).first().fact_rows == 0
+
+
+def test_a_version_without_measures_is_counted(stored):
+    old = replace(stored, observed=None)
+    assert warehouse.stored_totals(old).first().fact_rows == stored.fact_sales.count() > 0
