@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 LEAF = 1 << 14  # rows that are sorted as one list
+LEAST_LEAF = 32  # in a list of fewer rows the margin around a boundary covers all of them
 SAMPLE = 1 << 14  # expected rows of the sample that proposes where to split
 
 Key = tuple[Any, ...]
@@ -95,6 +96,8 @@ def rows_at(
     ``table`` is scanned once for the row count, once for the last lists and twice for each
     narrowing, which keeps about ``3 / sqrt(sample)`` of a bracket: pass a written table.
     """
+    if leaf < LEAST_LEAF:
+        raise ValueError(f"a leaf of {leaf} rows could never be reached: {LEAST_LEAF} or more")
     rows = table.count()
     wanted = list(ranks(rows)) if rows else []
     keys, columns = _keys(table, orders)

@@ -64,7 +64,7 @@ def test_rows_at_any_rank(measured, leaf, sample):
 
 def test_rows_that_are_all_alike(spark):
     table = materialize(spark.range(5000).select(F.lit(3).alias("v")), "alike")
-    found = rows_at(table, {"v": [F.col("v")]}, lambda n: [1, 2500, n], leaf=10, sample=50)
+    found = rows_at(table, {"v": [F.col("v")]}, lambda n: [1, 2500, n], leaf=40, sample=50)
     assert found == {"v": [(3,), (3,), (3,)]}
 
 
@@ -100,9 +100,13 @@ def test_last_ranks(n):
         assert score_ends(n, 5) == [int((cut <= score).sum()) for score in range(4)]
 
 
-def test_steps_neither_sort_nor_shuffle_nor_write_rows(measured, monkeypatch):
+def test_a_leaf_that_no_search_reaches_is_refused(spark):
+    with pytest.raises(ValueError, match="leaf"):
+        rows_at(spark.range(9), {"id": [F.col("id")]}, lambda n: [1], leaf=1)
+
+
+def test_steps_neither_sort_nor_shuffle_nor_write_rows(measured):
     _, table = measured
-    monkeypatch.setattr(selection, "LEAF", 10)
     history = table.select(
         F.col("id").alias("customer_id"), F.col("day").alias("last_purchase"),
         F.length("id").alias("frequency"), F.col("amount").alias("monetary"),
