@@ -1,18 +1,24 @@
-"""N-gram Jaccard self-join with MinHash in fixed bands.
+"""N-gram Jaccard self-join with a MinHash LSH forest.
 
 Texts are sets of five-word shingles; two texts are linked at a Jaccard similarity of at least
 ``threshold``. Texts with the same set are one representative with a count of copies, so copies
-are never paired. A tree is a band: one hash of a fixed number of MinHash values of its own. No
-prefix trie is built. The number is the largest up to ``DEPTH`` with which a pair at the
-threshold is expected to meet in some tree with probability ``RECALL`` (six of 26 trees); as
-the threshold is known it is computed before any data is read, not from the pairs met. Pairs
-more alike are met with a higher probability. All pairs so met are verified exactly on their
-shingle sets.
-
-What a hot node (texts with one key in a tree) costs: its members are dealt to blocks of bounded size, and a tile
-(two blocks) is a unit of work that any task can take. A pair is verified in the first tree
-only that holds it. Tiles return counts per member and a spanning forest, never pairs, and no
-pair is dropped. Nodes with the same members in several trees are worked on once.
+are never paired. Each of ``trees`` trees gives a representative a label: ``DEPTH`` MinHash values
+of its own, one byte of each, the first on top. A tree's sorted labels are its prefix trie.
+
+Pairs are met from the longest prefix down. The first round works on labels that are equal as a
+whole, each further one on prefixes shorter by one value, and there only on nodes with several
+children, as only these hold pairs not met before. All pairs met are verified exactly on their
+shingle sets. The least similarity verified so far decides whether to shorten once more: it stops
+as soon as pairs that alike are met in some tree with probability ``recall``. Less similar pairs
+would nearly all have been met by then too (at eight values and 26 trees 99 of 100 at 0.8), and one
+of them is enough to go on. Without any link the threshold itself is aimed at, so no prefix is
+shorter than that takes (six values); labels alone under their prefix of that length are left out
+of the tries.
+
+What a hot node (texts under one prefix) costs: its members are dealt to blocks of bounded size,
+and a tile (two blocks) is a unit of work that any task can take. A pair is verified in the first
+round and tree only that holds it. Tiles return counts per member and a spanning forest, never
+pairs, and no pair is dropped. Nodes with the same members in several trees are worked on once.
 
 Words are runs of ``[^\\x20\\x09-\\x0D]`` after A-Z is lower-cased; a text of one to four words
 is one shingle; shingles are compared by a 64-bit hash. Defined cases: a null or wordless text
@@ -24,11 +30,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.common import encoded, free_name, held, in_arrow, lists, sliced
@@ -37,7 +44,8 @@ from martloom.operators.scratch import distilled, materialize
 SHINGLE = 5
 THRESHOLD = 0.8
 TREES = 26
-DEPTH = 8
+DEPTH = 8  # values in a label; eight bytes are a bigint
+VALUE_BITS = 8
 RECALL = 0.9995
 BLOCK_DOCS = 512
 BLOCK_SHINGLES = 400_000
@@ -45,17 +53,22 @@ BLOCK_SHINGLES = 400_000
 _CACHED_WORDS = 200_000
 
 SIGNED = (
-    "doc_id bigint, text_hash bigint, rep binary, n int, keys array<bigint>"
+    "doc_id bigint, text_hash bigint, rep binary, n int, labels array<bigint>"
 )
 TILE = "tree int, key bigint, low int, high int"
 
 
+def meeting(similarity: float, length: int, trees: int = TREES) -> float:
+    """Probability that a pair of texts shares a prefix of ``length`` values in some tree."""
+    return 1 - (1 - similarity**length) ** trees
+
+
 def prefix_length(
     threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL
 ) -> int:
     """The longest prefix that still meets pairs at the threshold often enough."""
     for length in range(depth, 0, -1):
-        if 1 - (1 - threshold**length) ** trees >= recall:
+        if meeting(threshold, length, trees) >= recall:
             return length
     raise ValueError(f"{trees} trees cannot reach a recall of {recall}")
 
@@ -87,35 +100,42 @@ def shingle_set(text: bytes) -> np.ndarray:
     return np.unique(total)
 
 
-def _tree_keys(sets: list[np.ndarray], trees: int, length: int) -> np.ndarray:
-    """A key per text and tree: the hash of its prefix of ``length`` MinHash values."""
+def _labels(sets: list[np.ndarray], trees: int) -> np.ndarray:
+    """A label per text and tree: a byte of each of ``DEPTH`` MinHash values."""
     rng = np.random.default_rng(20_24)
-    multiply = rng.integers(1, 2**32, trees * length, dtype=np.uint32) | np.uint32(1)
+    multiply = rng.integers(1, 2**32, trees * DEPTH, dtype=np.uint32) | np.uint32(1)
     flat = _mixed(np.concatenate(sets))
     low, high = flat.astype(np.uint32), (flat >> np.uint64(32)).astype(np.uint32)
     offsets = np.cumsum([0] + [len(s) for s in sets[:-1]])
-    keys = np.empty((len(sets), trees), np.uint64)
-    for tree in range(trees):
-        key = np.full(len(sets), tree, np.uint64)
-        for k in range(tree * length, (tree + 1) * length):
-            smallest = np.minimum.reduceat(low * multiply[k] + high, offsets)
-            key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + smallest)
-        keys[:, tree] = key
-    return keys.view(np.int64)
+    labels = np.zeros((len(sets), trees), np.uint64)
+    for k in range(trees * DEPTH):
+        smallest = np.minimum.reduceat(low * multiply[k] + high, offsets).astype(np.uint64)
+        value = _mixed(_mixed(smallest + np.uint64(1))) >> np.uint64(64 - VALUE_BITS)
+        own = labels[:, k // DEPTH]
+        labels[:, k // DEPTH] = (own << np.uint64(VALUE_BITS)) | value
+    return labels.view(np.int64)
+
+
+def _below(length: int) -> int:
+    """Bits of a label below its prefix of ``length`` values."""
+    return VALUE_BITS * (DEPTH - length)
+
+
+def _prefix(label: str, length: int) -> Column:
+    return F.shiftrightunsigned(label, _below(length))
 
 
-def signed(docs: DataFrame, trees: int = TREES, length: int | None = None) -> DataFrame:
-    """Per row: id, hash of the text, digest and size of its shingle set, tree keys. Digest and
-    keys are null without shingles."""
-    length = length or prefix_length(trees=trees)
+def signed(docs: DataFrame, trees: int = TREES) -> DataFrame:
+    """Per row: id, hash of the text, digest and size of its shingle set, a label per tree. Digest
+    and labels are null without shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
             sets = [shingle_set(x) for x in encoded(batch.column("text"))]
             full = [i for i, s in enumerate(sets) if len(s)]
-            keys = _tree_keys([sets[i] for i in full], trees, length) if full else np.zeros((0, trees))
+            labels = _labels([sets[i] for i in full], trees) if full else np.zeros((0, trees))
             rows: list = [None] * len(sets)
-            for i, own in zip(full, keys, strict=True):
+            for i, own in zip(full, labels, strict=True):
                 rows[i] = own
             digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -126,7 +146,7 @@ def signed(docs: DataFrame, trees: int = TREES, length: int | None = None) -> Da
                     pa.array([len(s) for s in sets], pa.int32()),
                     pa.array(rows, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "text_hash", "rep", "n", "keys"],
+                names=["doc_id", "text_hash", "rep", "n", "labels"],
             )
 
     return in_arrow(_named(docs), run, SIGNED)
@@ -159,10 +179,12 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.
         yield pa.Table.from_batches(held)
 
 
-def _new_pairs(tile: pa.Table, share: Fraction) -> np.ndarray:
-    """Pairs of a tile that no earlier tree holds and whose sizes allow the threshold."""
+def _new_pairs(tile: pa.Table, share: Fraction, length: int) -> np.ndarray:
+    """Pairs of a tile that no longer prefix and no earlier tree holds and whose sizes allow the
+    threshold."""
     tree, low, high = (tile.column(c)[0].as_py() for c in ("tree", "low", "high"))
-    keys = tile.column("keys").combine_chunks().flatten().to_numpy().reshape(tile.num_rows, -1)
+    flat = tile.column("labels").combine_chunks().flatten().to_numpy()
+    labels = flat.view(np.uint64).reshape(tile.num_rows, -1)
     block = tile.column("block").to_numpy()
     n = tile.column("n").to_numpy().astype(np.int64)
     if low == high:
@@ -171,8 +193,11 @@ def _new_pairs(tile: pa.Table, share: Fraction) -> np.ndarray:
         pairs = np.outer(block == low, block == high)
     smaller, larger = np.minimum.outer(n, n), np.maximum.outer(n, n)
     pairs &= smaller * share.denominator >= larger * share.numerator
-    for earlier in range(tree):
-        pairs &= np.not_equal.outer(keys[:, earlier], keys[:, earlier])
+    for own in (labels >> np.uint64(_below(length))).T[:tree]:
+        pairs &= np.not_equal.outer(own, own)
+    if length < DEPTH:
+        for own in (labels >> np.uint64(_below(length + 1))).T:
+            pairs &= np.not_equal.outer(own, own)
     return pairs
 
 
@@ -201,38 +226,38 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _roots(linked: np.ndarray) -> np.ndarray:
-    """The smallest member of each member's component."""
+    """The smallest member of each member's component: every member takes the least root among
+    its neighbours, then that one's own, until nothing changes."""
+    near = linked | linked.T
+    np.fill_diagonal(near, True)
     root = np.arange(len(linked))
-    for i, j in np.argwhere(linked):
-        a, b = i, j
-        while root[a] != a:
-            root[a] = a = root[root[a]]
-        while root[b] != b:
-            root[b] = b = root[root[b]]
-        root[max(a, b)] = min(a, b)
-    for i in range(len(root)):  # a parent comes before its members
-        root[i] = root[root[i]]
-    return root
-
-
-def _members(joined: DataFrame, share: Fraction) -> DataFrame:
+    while True:
+        least = np.where(near, root, len(root)).min(axis=1)
+        least = least[least]
+        if (least == root).all():
+            return root
+        root = least
+
+
+def _members(joined: DataFrame, share: Fraction, length: int) -> DataFrame:
     """The members of each tile that are in a new pair; only their shingles are moved."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tile in _grouped(batches, ["tree", "key", "low", "high"]):
-            pairs = _new_pairs(tile, share)
+            pairs = _new_pairs(tile, share, length)
             needed = tile.filter(pa.array(pairs.any(axis=0) | pairs.any(axis=1)))
             yield from needed.select(["tree", "key", "low", "high", "block", "rep"]).to_batches()
 
     return in_arrow(joined, run, f"{TILE}, block int, rep binary")
 
 
-def _verified(joined: DataFrame, share: Fraction) -> DataFrame:
-    """Per tile and linked member: copies it is linked to, and the root of its component."""
+def _verified(joined: DataFrame, share: Fraction, length: int) -> DataFrame:
+    """Per tile and linked member: copies it is linked to, the root of its component, and the
+    tile's least similarity of linked texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tile in _grouped(batches, ["tree", "key", "low", "high"]):
-            pairs = _new_pairs(tile, share)
+            pairs = _new_pairs(tile, share, length)
             listed = tile.column("shingles").combine_chunks()
             flat, ends = listed.flatten().to_numpy(), np.cumsum(tile.column("n").to_numpy())
             sets = np.split(flat, ends[:-1])
@@ -245,12 +270,20 @@ def _verified(joined: DataFrame, share: Fraction) -> DataFrame:
             root = _roots(linked)
             reps = tile.column("rep").combine_chunks()
             some = np.flatnonzero(linked.any(axis=0) | linked.any(axis=1))
+            if not len(some):
+                continue
+            lowest = (common[linked] / union[linked]).min()
             yield pa.RecordBatch.from_arrays(
-                [reps.take(some), pa.array(links[some], pa.int64()), reps.take(root[some])],
-                names=["rep", "links", "root"],
+                [
+                    reps.take(some),
+                    pa.array(links[some], pa.int64()),
+                    reps.take(root[some]),
+                    pa.array(np.full(len(some), lowest)),
+                ],
+                names=["rep", "links", "root", "lowest"],
             )
 
-    return in_arrow(joined, run, "rep binary, links bigint, root binary")
+    return in_arrow(joined, run, "rep binary, links bigint, root binary, lowest double")
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
@@ -306,43 +339,40 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
 
 
-def classes(
-    docs: DataFrame,
-    threshold: float = THRESHOLD,
-    trees: int = TREES,
-    recall: float = RECALL,
-) -> DataFrame:
-    """doc_id, text_hash, class_id, n_links and kept, one row per row of ``docs``.
+def _tries(reps: DataFrame, shortest: int) -> DataFrame:
+    """The labels that share their shortest prefix with another, sorted by tree and label, written."""
+    spread = reps.select("rep", "n", F.posexplode("labels").alias("tree", "label"))
+    spread = spread.withColumn("key", _prefix("label", shortest))
+    shared = spread.groupBy("tree", "key").agg(F.count("*").alias("members")).where("members > 1")
+    shared = materialize(shared.select("tree", "key"), "shared")
+    kept = spread.join(shared, ["tree", "key"]).select("tree", "label", "rep", "n")
+    order = ["tree", "label", "rep"]
+    return materialize(kept.repartitionByRange(*order).sortWithinPartitions(*order), "tries")
 
-    class_id is the smallest doc_id of all texts reached over links; n_links counts the other
-    rows at the threshold or above, copies included; kept marks one row of each class.
-    """
-    share = Fraction(str(threshold))
-    length = prefix_length(threshold, trees, DEPTH, recall)
-    rows = materialize(signed(docs, trees, length), "signed")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "n", "keys"))
-    reps = rows.where("rep IS NOT NULL").groupBy("rep").agg(first.alias("r"), F.count("*").alias("copies"))
-    reps = materialize(reps.select("rep", "copies", "r.*"), "reps")
 
-    spread = reps.select("rep", "n", F.posexplode("keys").alias("tree", "key"))
-    nodes = (
-        spread.groupBy("tree", "key")
-        .agg(
-            F.count("*").alias("members"),
-            F.bit_xor(F.xxhash64("rep")).alias("a"),
-            F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("b"),
-            F.sum("n").alias("load"),
-        )
-        .where("members > 1")
-    )
+def _tiles(tries: DataFrame, length: int) -> DataFrame:
+    """The members of all nodes at prefixes of ``length`` values that hold new pairs, in tiles."""
+    nodes = tries.withColumn("key", _prefix("label", length)).groupBy("tree", "key")
+    if length == DEPTH:
+        branches = F.count("*") > 1
+    else:
+        child = _prefix("label", length + 1)
+        branches = F.min(child) != F.max(child)
+    nodes = nodes.agg(
+        F.count("*").alias("members"),
+        F.bit_xor(F.xxhash64("rep")).alias("a"),
+        F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("b"),
+        F.sum("n").alias("load"),
+        branches.alias("branches"),
+    ).where("branches")
     nodes = nodes.groupBy("members", "a", "b", "load").agg(F.min(F.struct("tree", "key")).alias("node"))
     split = F.ceil(F.greatest(F.col("members") / BLOCK_DOCS, F.col("load") / BLOCK_SHINGLES))
     nodes = materialize(nodes.select("node.tree", "node.key", split.alias("parts")), "nodes")
 
     own = F.pmod(F.xxhash64("rep", F.lit(2)), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int"))).alias("other")
-    tiles = (
-        spread.select("tree", "key", "rep")
+    return (
+        tries.select("tree", _prefix("label", length).alias("key"), "rep")
         .join(nodes, ["tree", "key"])
         .select("tree", "key", "rep", own.alias("block"), other)
         .select(
@@ -354,14 +384,55 @@ def classes(
             "rep",
         )
     )
-    signatures = reps.select("rep", "n", "keys")
-    needed = _members(_dealt(tiles.join(signatures, "rep")), share)
-    needed = materialize(needed, "members")
-
-    near = reps.join(needed.select("rep").distinct(), "rep", "left_semi")
-    sets = _shingles(docs, near)
-    moved = needed.join(signatures, "rep").join(sets, "rep")
-    linked = materialize(_verified(_dealt(moved), share), "linked")
+
+
+def _linked(
+    docs: DataFrame, reps: DataFrame, threshold: float, trees: int, recall: float
+) -> DataFrame:
+    """All links, met from the longest prefix down to the one that the links found ask for.
+
+    A round reads the texts only of representatives that no earlier one has needed.
+    """
+    share = Fraction(str(threshold))
+    shortest = prefix_length(threshold, trees, DEPTH, recall)
+    tries = _tries(reps, shortest)
+    signatures = reps.select("rep", "n", "labels")
+    rounds: list[DataFrame] = []
+    sets: list[DataFrame] = []
+    lowest = None  # the least similarity of a link
+    for length in range(DEPTH, shortest - 1, -1):
+        dealt = _dealt(_tiles(tries, length).join(signatures, "rep"))
+        needed = materialize(_members(dealt, share, length), "members")
+        near = reps.select("rep", "copies", "doc_id", "text_hash")
+        near = near.join(needed.select("rep").distinct(), "rep", "left_semi")
+        for known in sets:
+            near = near.join(known.select("rep"), "rep", "left_anti")
+        sets.append(_shingles(docs, materialize(near, "near")))
+        moved = needed.join(signatures, "rep").join(reduce(DataFrame.union, sets), "rep")
+        rounds.append(materialize(_verified(_dealt(moved), share, length), "linked"))
+        found = rounds[-1].agg(F.min("lowest")).first()[0]
+        lowest = min((x for x in (lowest, found) if x is not None), default=None)
+        if lowest is not None and meeting(lowest, length, trees) >= recall:
+            break
+    return reduce(DataFrame.union, rounds)
+
+
+def classes(
+    docs: DataFrame,
+    threshold: float = THRESHOLD,
+    trees: int = TREES,
+    recall: float = RECALL,
+) -> DataFrame:
+    """doc_id, text_hash, class_id, n_links and kept, one row per row of ``docs``.
+
+    class_id is the smallest doc_id of all texts reached over links; n_links counts the other
+    rows at the threshold or above, copies included; kept marks one row of each class.
+    """
+    rows = materialize(signed(docs, trees), "signed")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "n", "labels"))
+    reps = rows.where("rep IS NOT NULL").groupBy("rep").agg(first.alias("r"), F.count("*").alias("copies"))
+    reps = materialize(reps.select("rep", "copies", "r.*"), "reps")
+    linked = _linked(docs, reps, threshold, trees, recall)
 
     links = linked.groupBy("rep").agg(F.sum("links").alias("links"))
     found = components(linked.where("rep != root"))

@@ -113,21 +113,74 @@ def test_empty_table(spark):
     assert fj.classes(none).count() == 0 and fj.one_of_each(none).count() == 0
 
 
-def test_the_prefix_is_shortened_until_the_recall_is_met():
+def test_the_shortest_prefix_follows_from_threshold_and_recall():
     assert fj.prefix_length() == 6
     assert fj.prefix_length(threshold=0.95) > fj.prefix_length(threshold=0.8)
     assert fj.prefix_length(recall=0.9) > fj.prefix_length(recall=0.9999)
 
 
-def test_measured_recall_at_the_threshold():
+def lengths_worked_on(spark, monkeypatch, rows):
+    seen = []
+    tiles = fj._tiles
+    monkeypatch.setattr(fj, "_tiles", lambda tries, length: (seen.append(length), tiles(tries, length))[1])
+    got = [tuple(r) for r in fj.classes(frame(spark, rows)).select("doc_id", "class_id", "n_links").collect()]
+    assert sorted(got, key=key) == sorted(brute(rows), key=key)
+    return seen
+
+
+def pairs_sharing(common, n=25, size=100):
+    """Pairs of texts of ``size`` shingles with the first ``common`` shared, as rows."""
+    rows = []
+    for p in range(n):
+        base = [f"p{p}w{i}" for i in range(size + fj.SHINGLE - 1)]
+        other = base[: common + fj.SHINGLE - 1] + [f"q{p}w{i}" for i in range(size - common)]
+        rows += [(" ".join(base), 2 * p), (" ".join(other), 2 * p + 1)]
+    return rows
+
+
+def test_prefixes_stay_long_where_all_links_are_close(spark, monkeypatch):
+    # 98 of 102: 0.96, met by eight values with a probability above the target
+    assert lengths_worked_on(spark, monkeypatch, pairs_sharing(98)) == [8]
+
+
+def test_prefixes_are_shortened_for_links_near_the_threshold(spark, monkeypatch):
+    # 90 of 110: 0.82 asks for six or seven values
+    seen = lengths_worked_on(spark, monkeypatch, pairs_sharing(90) + [("far from all", 999)])
+    assert seen[0] == 8 and len(seen) > 1 and seen[-1] >= 6
+
+
+def test_without_links_the_threshold_is_aimed_at(spark, monkeypatch):
+    assert lengths_worked_on(spark, monkeypatch, pairs_sharing(40, n=5)) == [8, 7, 6]
+
+
+def test_nested_prefixes_meet_as_often_as_expected():
     rng = np.random.default_rng(7)
     sets = []
     for _ in range(2000):  # pairs with 400 of 500 shingles in common: 0.8
         both = rng.integers(0, 2**63, 500, dtype=np.uint64)
         sets += [np.unique(both[:450]), np.unique(both[50:])]
-    keys = fj._tree_keys(sets, fj.TREES, fj.prefix_length())
-    met = (keys[0::2] == keys[1::2]).any(axis=1).mean()
-    assert met >= 0.998  # 0.9995 expected
+    labels = fj._labels(sets, fj.TREES).view(np.uint64)
+    met = {}
+    for length in (8, 7, 6):
+        prefixes = labels >> np.uint64(fj._below(length))
+        met[length] = (prefixes[0::2] == prefixes[1::2]).any(axis=1).mean()
+        assert abs(met[length] - fj.meeting(0.8, length)) < 0.008
+        strangers = (prefixes[0:-2:2] == prefixes[2::2]).any(axis=1).mean()
+        assert strangers < 0.002
+    assert met[6] >= 0.998  # 0.9995 expected
+
+
+def test_roots_are_the_least_members_of_components():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 40):
+        linked = np.triu(rng.random((n, n)) < 1.2 / n, 1)
+        want = list(range(n))
+        for _ in range(n):
+            for i, j in np.argwhere(linked):
+                want[i] = want[j] = min(want[i], want[j])
+        assert fj._roots(linked).tolist() == want
+    path = np.eye(300, k=1, dtype=bool)
+    assert not fj._roots(path).any()
 
 
 def test_components_of_a_long_path(spark):
