@@ -292,8 +292,9 @@ def _dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition(*tile).sortWithinPartitions(*tile, "block", "rep")
 
 
-def _shingles(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """The shingle sets of the representatives' own texts, written."""
+def _shingles(docs: DataFrame, reps: DataFrame, shuffled: bool) -> DataFrame:
+    """The shingle sets of the representatives' own texts, written. ``shuffled`` says that they are
+    a share of all texts, so that the join is planned alike at every size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
@@ -308,7 +309,8 @@ def _shingles(docs: DataFrame, reps: DataFrame) -> DataFrame:
     texts = _named(docs).alias("d")
     wanted = reps.select("rep", "copies", "doc_id", "text_hash").alias("r")
     same = F.expr("d.doc_id <=> r.doc_id AND d.text_hash = r.text_hash")
-    found = texts.join(wanted, same).select("r.rep", "r.copies", "d.text")
+    found = texts.join(wanted.hint("merge") if shuffled else wanted, same)
+    found = found.select("r.rep", "r.copies", "d.text")
     sets = in_arrow(found, run, "rep binary, copies bigint, shingles array<bigint>")
     return materialize(sets.dropDuplicates(["rep"]), "shingles")  # repeated rows give one
 
@@ -396,6 +398,8 @@ def _linked(
     share = Fraction(str(threshold))
     shortest = prefix_length(threshold, trees, DEPTH, recall)
     tries = _tries(reps, shortest)
+    reps = reps.join(tries.select("rep").distinct(), "rep", "left_semi")
+    reps = materialize(reps, "company")  # the others meet no text and are not moved again
     signatures = reps.select("rep", "n", "labels")
     rounds: list[DataFrame] = []
     sets: list[DataFrame] = []
@@ -407,7 +411,7 @@ def _linked(
         near = near.join(needed.select("rep").distinct(), "rep", "left_semi")
         for known in sets:
             near = near.join(known.select("rep"), "rep", "left_anti")
-        sets.append(_shingles(docs, materialize(near, "near")))
+        sets.append(_shingles(docs, materialize(near, "near"), shuffled=length == DEPTH))
         moved = needed.join(signatures, "rep").join(reduce(DataFrame.union, sets), "rep")
         rounds.append(materialize(_verified(_dealt(moved), share, length), "linked"))
         found = rounds[-1].agg(F.min("lowest")).first()[0]
