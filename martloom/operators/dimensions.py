@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.functions import calendar as cal
-from martloom.operators.facts import bill_count
+from martloom.operators.bills import with_bills
 from martloom.operators.median import exact_median, histogram
 from martloom.operators.scratch import materialize
 from martloom.rules import DEFAULT_RULES, Rules
@@ -117,9 +117,15 @@ def dim_channel(lines: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
 
 
 def dim_customer(transactions: DataFrame) -> DataFrame:
-    return transactions.groupBy("customer_id").agg(
+    sums = [
         F.min("transaction_date").alias("first_purchase"),
         F.max("transaction_date").alias("last_purchase"),
-        bill_count(transactions).alias("lifetime_orders"),
         F.sum("net_amount").alias("lifetime_value"),
+    ]
+    return with_bills(transactions, ["customer_id"], sums).select(
+        "customer_id",
+        "first_purchase",
+        "last_purchase",
+        F.col("bills").alias("lifetime_orders"),
+        "lifetime_value",
     )

@@ -22,13 +22,3 @@ def fact_sales(transactions: DataFrame, categories: DataFrame, channels: DataFra
         .withColumn("gross_margin", gross_margin())
         .select(*FACT_COLUMNS)
     )
-
-
-def bill_count(lines: DataFrame, unique_ids: bool = False) -> Column:
-    """Distinct transactions. Where the ids are known to be unique (see the grain check),
-    counting rows gives the same and shuffles nothing. Lines that carry the parts of their ids as
-    ``transaction_key`` are counted by these: no id is printed or shuffled as text."""
-    if unique_ids:
-        return F.count("*")
-    keyed = "transaction_key" in lines.columns
-    return F.count_distinct("transaction_key" if keyed else "transaction_id")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from martloom import rules as r
 from martloom.functions.rounding import half_even, ratio
 from martloom.operators.attach import attach
-from martloom.operators.facts import bill_count
+from martloom.operators.bills import with_bills
 from martloom.operators.scratch import materialize
 from martloom.operators.selection import median, with_quantile_scores
 from martloom.rules import DEFAULT_RULES, Rules
@@ -34,12 +34,13 @@ class SegmentRun(NamedTuple):
 
 def purchase_history(detail: DataFrame, unique_ids: bool = False) -> DataFrame:
     """One row per customer. ``unique_ids`` counts rows where ids are known to be unique."""
-    return detail.groupBy("customer_id").agg(
+    sums = [
         F.max("date_key").alias("last_purchase"),
         F.min("date_key").alias("first_purchase"),
-        bill_count(detail, unique_ids).alias("frequency"),
         F.sum("net_amount").alias("monetary"),
-    )
+    ]
+    history = with_bills(detail, ["customer_id"], sums, unique_ids)
+    return history.withColumnRenamed("bills", "frequency")
 
 
 def with_scores(history: DataFrame, bins: int = 5) -> DataFrame:

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from martloom.functions import calendar as cal
 from martloom.functions.rounding import half_up, percent, ratio
-from martloom.operators.facts import bill_count, gross_margin
+from martloom.operators.bills import with_bills
+from martloom.operators.facts import gross_margin
 from martloom.operators.scratch import materialize
 from martloom.operators.selection import with_tiles
 from martloom.plans.warehouse import Warehouse
@@ -103,24 +104,20 @@ def monthly_kpi(
     detail: DataFrame, rules: Rules = DEFAULT_RULES, unique_ids: bool = False
 ) -> DataFrame:
     revenue, margin = F.sum("net_amount"), F.sum("gross_margin")
-    n_bills = bill_count(detail, unique_ids)
-    return (
-        detail.groupBy(_period())
-        .agg(
-            n_bills.alias("bills"),
-            F.count_distinct("customer_id").alias("customers"),
-            F.sum("quantity").alias("units"),
-            revenue.alias("revenue"),
-            margin.alias("gross_margin"),
-            half_up(percent(margin, revenue)).alias("gm_pct"),
-            half_up(ratio(revenue, n_bills)).alias("avg_bill_value"),
-            _avg_discount_pct().alias("avg_discount_pct"),
-        )
-        .select(
-            *_month_labels(rules), "bills", "customers", "units", "revenue",
-            "gross_margin", "gm_pct", "avg_bill_value", "avg_discount_pct",
-        )
-    )
+    sums = [
+        F.count_distinct("customer_id").alias("customers"),
+        F.sum("quantity").alias("units"),
+        revenue.alias("revenue"),
+        margin.alias("gross_margin"),
+        half_up(percent(margin, revenue)).alias("gm_pct"),
+        _avg_discount_pct().alias("avg_discount_pct"),
+    ]
+    months = with_bills(detail, [_period()], sums, unique_ids)
+    bill_value = half_up(ratio(F.col("revenue"), F.col("bills"))).alias("avg_bill_value")
+    return months.select(
+        *_month_labels(rules), "bills", "customers", "units", "revenue",
+        "gross_margin", "gm_pct", bill_value, "avg_discount_pct",
+    )
 
 
 def channel_mix(detail: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -185,12 +182,12 @@ def monthly_grain(
     keys = ["store_name", "category", "channel"]
     if categories is None:
         keys.append("price_band")
-    grain = detail.groupBy(_period(), *keys).agg(
-        bill_count(detail, unique_ids).alias("bills"),
+    sums = [
         F.sum("quantity").alias("units"),
         F.sum("net_amount").alias("revenue"),
         F.sum("gross_margin").alias("gross_margin"),
-    )
+    ]
+    grain = with_bills(detail, [_period(), *keys], sums, unique_ids)
     if categories is not None:
         grain = grain.join(categories.select("category", "price_band"), "category")
     return grain.select(

@@ -1,0 +1,78 @@
+"""Distinct bills from id hashes: exact with repeats, clashes of hashes, nulls and a hot id."""
+
+from __future__ import annotations
+
+import io
+from contextlib import redirect_stdout
+
+import pytest
+from pyspark.sql import functions as F
+
+from martloom.operators import bills, contracts
+
+SCHEMA = "transaction_id string, shop string, amount int"
+
+
+def lines(spark, repeated=True):
+    rows = [(f"id-{i}", None if i % 7 == 0 else f"s{i % 3}", i) for i in range(300)]
+    if repeated:
+        rows += [("hot", "s0", 1)] * 150 + [("hot", None, 2)] * 10  # one id, a third of the lines
+        rows += [(None, "s1", 5)] * 4 + [(None, "empty", 6)] + [("id-1", "s1", 7), ("id-2", "s0", 8)]
+    return rows, spark.createDataFrame(rows, SCHEMA).repartition(5)
+
+
+def expected(rows):
+    out = {}
+    for shop in {r[1] for r in rows}:
+        own = [r for r in rows if r[1] == shop]
+        out[shop] = (len({r[0] for r in own} - {None}), sum(r[2] for r in own))
+    return out
+
+
+def counted(df, unique_ids=False):
+    found = bills.with_bills(df, ["shop"], [F.sum("amount").alias("amount")], unique_ids)
+    return {r.shop: (r.bills, r.amount) for r in found.collect()}
+
+
+def plan(df):
+    with redirect_stdout(io.StringIO()) as out:
+        df.explain("formatted")
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("repeated", [True, False])
+def test_bills_are_exact(spark, repeated):
+    rows, df = lines(spark, repeated)
+    assert counted(df) == expected(rows)
+
+
+@pytest.mark.parametrize("cells", [1, 20])
+def test_bills_are_exact_when_hashes_clash(spark, monkeypatch, cells):
+    monkeypatch.setattr(bills, "_hash", lambda name: F.pmod(F.xxhash64(name), F.lit(cells)))
+    for repeated in (True, False):
+        rows, df = lines(spark, repeated)
+        assert counted(df) == expected(rows)
+        ids = [r[0] for r in rows if r[0] is not None]
+        assert bills.repeats(df).first().repeats == len(ids) - len(set(ids))
+
+
+def test_clean_ids_are_not_shuffled(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    lines(spark, repeated=False)[1].write.parquet(path)
+    shown = plan(bills.with_bills(spark.read.parquet(path), ["shop"], [F.sum("amount").alias("amount")]))
+    for node in shown.split("\n\n"):
+        if "Exchange" in node.split("\n")[0]:
+            assert "transaction_id" not in node
+    assert "Expand" not in shown and "Join" not in shown
+
+
+def test_typed_keys_stand_for_printed_ids(spark):
+    rows, df = lines(spark)
+    keyed = df.withColumn("transaction_key", F.when(F.col("transaction_id").isNotNull(), F.struct("transaction_id")))
+    assert counted(keyed) == expected(rows)
+
+
+def test_no_lines(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert counted(none) == {} and bills.repeats(none).first().repeats == 0
+    assert contracts.grain_check(none).first().violations == 0
