@@ -353,7 +353,8 @@ def _tries(reps: DataFrame, shortest: int) -> DataFrame:
 
 
 def _tiles(tries: DataFrame, length: int) -> DataFrame:
-    """The members of all nodes at prefixes of ``length`` values that hold new pairs, in tiles."""
+    """The members of all nodes at prefixes of ``length`` values that hold new pairs, a row each,
+    with the number of blocks their node is dealt to."""
     nodes = tries.withColumn("key", _prefix("label", length)).groupBy("tree", "key")
     if length == DEPTH:
         branches = F.count("*") > 1
@@ -371,23 +372,34 @@ def _tiles(tries: DataFrame, length: int) -> DataFrame:
     split = F.ceil(F.greatest(F.col("members") / BLOCK_DOCS, F.col("load") / BLOCK_SHINGLES))
     nodes = materialize(nodes.select("node.tree", "node.key", split.alias("parts")), "nodes")
 
+    members = tries.select("tree", _prefix("label", length).alias("key"), "rep")
+    return members.join(nodes, ["tree", "key"]).select("tree", "key", "rep", "parts")
+
+
+def _in_tiles(members: DataFrame) -> DataFrame:
+    """A row per member and tile. Whatever a member carries is joined before: joins see a member
+    of a node once, however many tiles the node has."""
     own = F.pmod(F.xxhash64("rep", F.lit(2)), F.col("parts")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int"))).alias("other")
+    other = F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int")))
     return (
-        tries.select("tree", _prefix("label", length).alias("key"), "rep")
-        .join(nodes, ["tree", "key"])
-        .select("tree", "key", "rep", own.alias("block"), other)
-        .select(
-            "tree",
-            "key",
-            F.least("block", "other").alias("low"),
-            F.greatest("block", "other").alias("high"),
-            "block",
-            "rep",
-        )
+        members.withColumn("block", own)
+        .withColumn("other", other)
+        .withColumn("low", F.least("block", "other"))
+        .withColumn("high", F.greatest("block", "other"))
+        .drop("parts", "other")
     )
 
 
+def _with_payload(needed: DataFrame, *payloads: DataFrame) -> DataFrame:
+    """The rows of ``needed``, a member in a tile each, with what is known of the member. The joins
+    see a member of a node once, with a list of its tiles."""
+    tiles = F.collect_list(F.struct("low", "high")).alias("tiles")
+    members = needed.groupBy("tree", "key", "block", "rep").agg(tiles)
+    for payload in payloads:
+        members = members.join(payload, "rep")
+    return members.withColumn("tile", F.explode("tiles")).select("*", "tile.*").drop("tiles", "tile")
+
+
 def _linked(
     docs: DataFrame, reps: DataFrame, threshold: float, trees: int, recall: float
 ) -> DataFrame:
@@ -405,14 +417,14 @@ def _linked(
     sets: list[DataFrame] = []
     lowest = None  # the least similarity of a link
     for length in range(DEPTH, shortest - 1, -1):
-        dealt = _dealt(_tiles(tries, length).join(signatures, "rep"))
+        dealt = _dealt(_in_tiles(_tiles(tries, length).join(signatures, "rep")))
         needed = materialize(_members(dealt, share, length), "members")
         near = reps.select("rep", "copies", "doc_id", "text_hash")
         near = near.join(needed.select("rep").distinct(), "rep", "left_semi")
         for known in sets:
             near = near.join(known.select("rep"), "rep", "left_anti")
         sets.append(_shingles(docs, materialize(near, "near"), shuffled=length == DEPTH))
-        moved = needed.join(signatures, "rep").join(reduce(DataFrame.union, sets), "rep")
+        moved = _with_payload(needed, signatures, reduce(DataFrame.union, sets))
         rounds.append(materialize(_verified(_dealt(moved), share, length), "linked"))
         found = rounds[-1].agg(F.min("lowest")).first()[0]
         lowest = min((x for x in (lowest, found) if x is not None), default=None)
