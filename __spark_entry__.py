@@ -22,7 +22,7 @@ import martloom_sql  # noqa: E402
 from martloom.functions import calendar as cal  # noqa: E402
 from martloom.operators import contracts  # noqa: E402
 from martloom.operators import dimensions as dims  # noqa: E402
-from martloom.operators.scratch import materialize, scratch_path, scratch_root  # noqa: E402
+from martloom.operators.scratch import materialize, scope, scratch_path  # noqa: E402
 from martloom.plans import (  # noqa: E402
     customers,
     forecasting,
@@ -94,30 +94,27 @@ def _series(spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = ()) -> Dat
 
 
 def _built(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
+    """Profile, customers, fact and plan all read the lines: they are joined once."""
+    lines = order_lines.written_transactions(spark, sf_dir)
+    sales = views.flat_sales(lines, order_lines.read_stores(spark, sf_dir, with_city=False))
     return warehouse.build(
-        _transactions(spark, sf_dir),
+        lines,
         order_lines.read_stores(spark, sf_dir),
-        _plan(spark, sf_dir),
+        planning.build_plan(sales, PRIOR_YEAR, rules=ORDER_RULES),
         ORDER_RULES,
     )
 
 
 def _stored(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
-    """The star schema written to the shared folder and read back; once for a source folder and
-    a session, as the queries on a stored star are there to read it."""
-    key = (spark.sparkContext.applicationId, sf_dir, scratch_root(spark))
-    if key not in _stars:
-        _stars.clear()
-        _stars[key] = _saved(spark, sf_dir, check_grain=False)
-    return _stars[key]
-
-
-_stars: dict[tuple[str, str, str], warehouse.Warehouse] = {}
+    """The star schema written to the shared folder and read back. Each query stores its own, so
+    its work does not depend on what ran before it, and it reads the tables as they are now."""
+    return _saved(spark, sf_dir, check_grain=False)
 
 
 def _saved(spark: SparkSession, sf_dir: str, check_grain: bool) -> warehouse.Warehouse:
     folder = scratch_path(spark, "warehouse")
-    warehouse.save(_built(spark, sf_dir), folder, check_grain=check_grain)
+    with scope():  # what the build has written on the way is not needed by the stored star
+        warehouse.save(_built(spark, sf_dir), folder, check_grain=check_grain)
     return warehouse.load(spark, folder)
 
 
