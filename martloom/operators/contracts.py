@@ -86,6 +86,7 @@ def _line_report(lines: DataFrame, table: str, required: list[str]) -> DataFrame
 
 
 LOST_LINES = "transactions not in fact_sales"
+NO_ID = "fact_sales.transaction_id is null"  # as measured while the fact is written
 
 STAR_KEYS = ["date_key", "store_id", "category_id", "channel_id"]
 
@@ -111,26 +112,35 @@ def observed_checks(
 
 
 def star_cells(fact: DataFrame, line_rules: bool = True) -> DataFrame:
-    """One pass over the fact: rows, revenue and broken line rules per day, store, category and
-    channel. All checks but those on ids and customers follow from it."""
+    """One pass over the fact: rows, revenue and broken line rules per value of each of
+    ``STAR_KEYS`` by itself; ``of`` names the key. There are as many cells as the dimensions have
+    rows, while combinations of the keys may be as many as the lines."""
     rules = _line_rules("fact_sales", FACT_COLUMNS) if line_rules else {}
-    return fact.groupBy(*STAR_KEYS).agg(
+    of = F.coalesce(*[F.when(F.grouping(key) == 0, F.lit(key)) for key in STAR_KEYS])
+    return fact.groupingSets([[key] for key in STAR_KEYS], *STAR_KEYS).agg(
+        of.alias("of"),
         F.count("*").alias("rows"),
         F.sum("net_amount").alias("revenue"),
         *[_rows_where(bad).alias(name) for name, bad in rules.items()],
     )
 
 
+def _cells_of(star: DataFrame, key: str) -> DataFrame:
+    """The cells of one key, which hold every line once."""
+    return star.where(F.col("of") == key)
+
+
 def line_checks(star: DataFrame) -> DataFrame:
     """NOT NULL and domain rules of the fact, from its :func:`star_cells`."""
     rules = _line_rules("fact_sales", FACT_COLUMNS)
-    return _report(star, {name: F.sum(F.col(f"`{name}`")) for name in rules})
+    cells = _cells_of(star, "date_key")
+    return _report(cells, {name: F.sum(F.col(f"`{name}`")) for name in rules})
 
 
 def completeness_check(star: DataFrame, extract_rows: int) -> DataFrame:
     """Lines of the extract that found no key and are not in the fact."""
     lost = F.lit(extract_rows) - F.coalesce(F.sum("rows"), F.lit(0))
-    return _report(star, {LOST_LINES: lost})
+    return _report(_cells_of(star, "date_key"), {LOST_LINES: lost})
 
 
 def grain_check(fact: DataFrame) -> DataFrame:
@@ -148,7 +158,7 @@ def orphan_checks(tables: Mapping[str, DataFrame], star: DataFrame | None = None
     buyers = tables["fact_sales"].groupBy("customer_id").agg(F.count("*").alias("rows"))
     orphans = []
     for key, dim in FOREIGN_KEYS.items():
-        counted = buyers if key == "customer_id" else star.groupBy(key).agg(F.sum("rows").alias("rows"))
+        counted = buyers if key == "customer_id" else _cells_of(star, key)
         missing = counted.join(tables[dim].select(key), key, "left_anti")
         orphans.append(_report(missing, {f"fact_sales.{key} not in {dim}": F.sum("rows")}))
     return reduce(DataFrame.unionByName, orphans)
@@ -189,19 +199,22 @@ def tie_out_checks(
     tables: Mapping[str, DataFrame], star: DataFrame, tolerance: float = 1.0
 ) -> DataFrame:
     """Revenue of the star join against the fact, and channel shares against 100 percent per
-    year. Cells of the fact are joined, not its lines."""
+    year. The join goes to one written row per year and channel."""
     joined = (
-        star.join(tables["dim_date"].select("date_key", "fiscal_year"), "date_key")
+        tables["fact_sales"].select(*STAR_KEYS, "net_amount")
+        .join(tables["dim_date"].select("date_key", "fiscal_year"), "date_key")
         .join(tables["dim_store"].select("store_id"), "store_id")
         .join(tables["dim_category"].select("category_id"), "category_id")
         .join(tables["dim_channel"].select("channel_id", "channel"), "channel_id")
+        .groupBy("fiscal_year", "channel")
+        .agg(F.sum("net_amount").alias("revenue"))
     )
-    both = star.agg(F.sum("revenue").alias("fact")).withColumn(
-        "view", joined.agg(F.sum("revenue")).scalar()
+    mix = materialize(joined, "mix")
+    both = _cells_of(star, "date_key").agg(F.sum("revenue").alias("fact")).withColumn(
+        "view", mix.agg(F.sum("revenue")).scalar()
     )
     gap = F.abs(F.col("fact") - F.coalesce("view", F.lit(0))) > tolerance
     revenue = _report(both, {"monthly_kpi revenue differs from fact_sales": _rows_where(gap)})
-    mix = joined.groupBy("fiscal_year", "channel").agg(F.sum("revenue").alias("revenue"))
     total = F.sum("revenue").over(Window.partitionBy("fiscal_year"))  # a year's channels
     shares = mix.withColumn("share", half_up(percent(F.col("revenue"), total)))
     years = shares.groupBy("fiscal_year").agg(F.sum("share").alias("share"))
@@ -226,7 +239,7 @@ def contract_report(
 ) -> DataFrame:
     """All checks: ``(check, violations)``. A sound warehouse shows zero everywhere.
 
-    The fact is read three times: for its cells, for its ids and for its customers.
+    The fact is read four times: for its cells, its star join, its ids and its customers.
     ``extract_rows`` adds the check for lines lost on the way from the extract. ``observed`` is
     what was measured while the fact was written: the cells then carry no line rules.
     """

@@ -1,0 +1,30 @@
+"""Cells of the contract report: as many as the dimensions have rows, not as the fact has lines."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from martloom.operators import contracts
+
+
+def test_cells_are_per_key(spark):
+    kinds = {"date_key": 50, "store_id": 49, "category_id": 3, "channel_id": 2}
+    lines = spark.range(600).select(
+        *[(F.col("id") % n).alias(key) for key, n in kinds.items()],
+        F.lit(2).cast("decimal(18,2)").alias("net_amount"),
+    )
+    lines = lines.withColumn("store_id", F.when(F.col("store_id") > 0, F.col("store_id")))
+    cells = contracts.star_cells(lines, line_rules=False)
+    found = cells.groupBy("of").agg(F.count("*").alias("cells"), F.sum("rows"), F.sum("revenue"))
+    assert {r["of"]: tuple(r)[1:] for r in found.collect()} == {key: (n, 600, 1200) for key, n in kinds.items()}
+    (lost,) = contracts.completeness_check(cells, 605).collect()
+    assert lost.violations == 5
+    tables = {"fact_sales": lines.withColumn("customer_id", F.lit(1))}
+    tables["dim_customer"] = spark.range(1, 2).select(F.col("id").alias("customer_id"))
+    for key, n in kinds.items():
+        name = contracts.FOREIGN_KEYS[key]
+        tables[name] = spark.range(n).select(F.col("id").alias(key))
+    orphans = {r.check: r.violations for r in contracts.orphan_checks(tables, cells).collect()}
+    missing = lines.where("store_id IS NULL").count()
+    assert missing and orphans["fact_sales.store_id not in dim_store"] == missing
+    assert sum(orphans.values()) == missing
