@@ -57,17 +57,21 @@ def with_bills(
     keys: Sequence[Column | str],
     sums: Sequence[Column],
     unique_ids: bool = False,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """``lines`` grouped by ``keys``, with ``sums`` and the number of distinct ``bills``.
 
-    ``unique_ids`` says that the ids are known to be unique (see the grain check): the narrow pass
-    is then not needed.
+    ``unique_ids`` says that every line is known to have an id of its own (see
+    ``warehouse.save``): the narrow pass is then not needed, nor are the ids. ``repeated`` are the
+    :func:`repeated_hashes` of these lines, where they are known already.
     """
     name = bill_id(lines)
-    counted = lines.groupBy(*keys).agg(F.count(name).alias("bills"), *sums)
+    one_each = F.count("*") if unique_ids else F.count(name)
+    counted = lines.groupBy(*keys).agg(one_each.alias("bills"), *sums)
     if unique_ids:
         return counted
-    repeated = repeated_hashes(lines)
+    if repeated is None:
+        repeated = repeated_hashes(lines)
     if repeated.isEmpty():
         return counted
     more = suspects(lines, repeated).groupBy(*keys).agg(surplus(name).alias("_surplus"))

@@ -101,7 +101,10 @@ def _avg_discount_pct() -> Column:
 
 
 def monthly_kpi(
-    detail: DataFrame, rules: Rules = DEFAULT_RULES, unique_ids: bool = False
+    detail: DataFrame,
+    rules: Rules = DEFAULT_RULES,
+    unique_ids: bool = False,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     revenue, margin = F.sum("net_amount"), F.sum("gross_margin")
     sums = [
@@ -112,7 +115,7 @@ def monthly_kpi(
         half_up(percent(margin, revenue)).alias("gm_pct"),
         _avg_discount_pct().alias("avg_discount_pct"),
     ]
-    months = with_bills(detail, [_period()], sums, unique_ids)
+    months = with_bills(detail, [_period()], sums, unique_ids, repeated)
     bill_value = half_up(ratio(F.col("revenue"), F.col("bills"))).alias("avg_bill_value")
     return months.select(
         *_month_labels(rules), "bills", "customers", "units", "revenue",
@@ -176,6 +179,7 @@ def monthly_grain(
     categories: DataFrame | None = None,
     rules: Rules = DEFAULT_RULES,
     unique_ids: bool = False,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """The pre-aggregated extract. ``categories`` supplies price bands if ``detail`` has none;
     it then joins the aggregated rows, not the lines."""
@@ -187,7 +191,7 @@ def monthly_grain(
         F.sum("net_amount").alias("revenue"),
         F.sum("gross_margin").alias("gross_margin"),
     ]
-    grain = with_bills(detail, [_period(), *keys], sums, unique_ids)
+    grain = with_bills(detail, [_period(), *keys], sums, unique_ids, repeated)
     if categories is not None:
         grain = grain.join(categories.select("category", "price_band"), "category")
     return grain.select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from martloom.operators.bills import repeated_hashes
 from martloom.plans import views
 from martloom.rules import DEFAULT_RULES, Rules
 
@@ -26,12 +27,14 @@ def write_json(df: DataFrame, path: str) -> str:
 def export_extracts(
     detail: DataFrame, out_dir: str, rules: Rules = DEFAULT_RULES, unique_ids: bool = False
 ) -> list[str]:
-    """The three aggregate views and the monthly grain, for BI tools to import as they are."""
+    """The three aggregate views and the monthly grain, for BI tools to import as they are.
+    Both that count bills share one look for repeated ids."""
+    repeated = None if unique_ids else repeated_hashes(detail)
     frames = [
-        views.monthly_kpi(detail, rules, unique_ids).orderBy("year", "month"),
+        views.monthly_kpi(detail, rules, unique_ids, repeated).orderBy("year", "month"),
         views.channel_mix(detail, rules).orderBy("fiscal_year", "channel"),
         views.customer_concentration(detail),
-        views.monthly_grain(detail, rules=rules, unique_ids=unique_ids),
+        views.monthly_grain(detail, rules=rules, unique_ids=unique_ids, repeated=repeated),
     ]
     small = [True, True, True, False]
     return [
