@@ -37,7 +37,7 @@ VERSIONS = (
 
 @dataclass(frozen=True)
 class Warehouse:
-    """``unique_ids`` is what the grain check of a stored fact has found; ``extract_rows`` the
+    """``unique_ids`` says that the grain check of a stored fact has found an id of its own on every line; ``extract_rows`` the
     number of lines in the extract it was built from, where that is known; ``observed`` what was
     measured while a stored fact was written (see :func:`contracts.line_measures`)."""
 
@@ -107,7 +107,7 @@ def save(
     """Full refresh into a new version; returns the stored warehouse.
 
     Customers are those of the extracts. ``check_grain`` counts repeated transaction ids once;
-    where there are none, the stored warehouse lets views count rows instead of distinct ids.
+    where there are none, and no line is without one, the stored warehouse lets views count rows instead of distinct ids.
     Without ``make_current`` readers keep the version they had until :func:`publish`.
     """
     if fmt not in ("parquet", "delta"):
@@ -122,7 +122,8 @@ def save(
         watched = {"observation": observation} if name == "fact_sales" else {}
         stored[name] = _write(table, name, f"{out_dir}/{version}", fmt, **watched)
     observed = {name: Decimal(value or 0) for name, value in observation.get.items()}
-    unique = check_grain and contracts.grain_check(stored["fact_sales"]).first().violations == 0
+    unique = _has_ids(observed) and check_grain
+    unique = unique and contracts.grain_check(stored["fact_sales"]).first().violations == 0
     whole = Warehouse(**stored, unique_ids=unique, extract_rows=warehouse.extract_rows,
                       observed=observed or None, number=number, version=version)
     if make_current:
@@ -130,6 +131,11 @@ def save(
     return whole
 
 
+def _has_ids(observed: Mapping[str, Decimal] | None) -> bool:
+    """Whether the write of the fact is known to have seen no line without an id."""
+    return observed is not None and observed.get(contracts.NO_ID) == 0
+
+
 def publish(stored: Warehouse, out_dir: str) -> None:
     """Make a saved version the current one."""
     row = [(stored.number, stored.version, stored.unique_ids, stored.extract_rows, stored.observed)]
@@ -182,7 +188,8 @@ def load(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> Warehouse |
         return None
     reader = spark.read.format(fmt)
     tables = {name: reader.load(f"{out_dir}/{last.version}/{name}") for name in TABLES}
-    return Warehouse(**tables, unique_ids=last.unique_ids, extract_rows=last.extract_rows,
+    unique = last.unique_ids and _has_ids(last.observed)
+    return Warehouse(**tables, unique_ids=unique, extract_rows=last.extract_rows,
                      observed=last.observed, number=last.number, version=last.version)
 
 
