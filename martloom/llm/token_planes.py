@@ -37,6 +37,7 @@ BLOCK = 1 << 16
 END_ID = 2
 LEVEL = 3
 _KNOWN_PIECES = 300_000
+_KNOWN_LETTERS = 4_000_000
 
 BLOCKS = (
     "shard int, block int, first bigint, n_ids int, plane_bits int, crc32 bigint,"
@@ -55,7 +56,8 @@ class PieceTokenizer:
     """Ids of whole texts, put together from the ids of their white-space separated pieces.
 
     For a tokenizer that drops white space and lower-cases, such as ``word_bpe_49k``: no token
-    reaches over white space, so each distinct piece is encoded once and remembered.
+    reaches over white space, so each distinct piece is encoded once and remembered, until there
+    are _KNOWN_PIECES of them or, as in texts without white space, _KNOWN_LETTERS in them.
     """
 
     _PLAIN = "^[a-zß-öø-ÿ]+[.,]?$"
@@ -78,6 +80,7 @@ class PieceTokenizer:
 
     def _forget(self) -> None:
         self.numbers: dict[str, int] = {}
+        self.letters = 0
         self.lengths, self.flat = array("q"), array("I")
 
     def _ids(self, word: str) -> list[int]:
@@ -93,6 +96,7 @@ class PieceTokenizer:
         found = [self._ids(w) for w in plain]
         found += [e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
         known.update(zip(plain + others, range(len(known), len(known) + len(found)), strict=True))
+        self.letters += sum(map(len, plain)) + sum(map(len, others))
         self.lengths.extend(map(len, found))
         self.flat.extend(chain.from_iterable(found))
 
@@ -110,7 +114,7 @@ class PieceTokenizer:
     def _piece_ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct pieces one after another, and how many each has. A plain word is
         remembered without the mark after it, which is a token of its own."""
-        if len(self.numbers) > _KNOWN_PIECES:
+        if len(self.numbers) > _KNOWN_PIECES or self.letters > _KNOWN_LETTERS:
             self._forget()
         plain = pc.match_substring_regex(pieces, self._PLAIN)
         words = pc.if_else(plain, pc.utf8_rtrim(pieces, ".,"), pieces)

@@ -46,6 +46,19 @@ def test_forgetting_changes_nothing(monkeypatch):
     assert np.concatenate([own.encode(pa.array([t], pa.string()))[0] for t in texts]).tolist() == whole.tolist()
 
 
+def test_long_pieces_are_forgotten_by_their_letters(reference):
+    rng = random.Random(6)
+    own = tp.PieceTokenizer(tp.default_tokenizer())
+    most = 0
+    for _ in range(12):  # 6 million letters in few pieces: texts without white space
+        texts = ["".join(rng.choices("日本語のテキスト。", k=5_000)) for _ in range(100)]
+        ids, lengths = own.encode(pa.array(texts, pa.string()))
+        most = max(most, sum(map(len, own.numbers)))
+        want = reference.encode(texts[-1], add_special_tokens=False).ids
+        assert ids[-lengths[-1] :].tolist() == want
+    assert most <= 4_500_000  # the limit, and one batch
+
+
 @pytest.mark.parametrize("plane_bits", [1, 8])
 @pytest.mark.parametrize("n", [1, 7, 8, 1000])
 def test_planes_round_trip(plane_bits, n):
